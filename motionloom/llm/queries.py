@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from motionloom.llm import exact_dedup, simhash
+from motionloom.llm import bpe, exact_dedup, packing, simhash
 
 
 def queries() -> dict:
     return {
+        "op3_bpe_encode_decode": bpe.op3_bpe_encode_decode,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+        "op10_packing": packing.op10_packing,
     }
 
 
