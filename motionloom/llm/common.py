@@ -107,7 +107,3 @@ class AtomicFile:
         self.fs.move(self.tmp, self.path)
 
 
-def read_range(uri: str, start: int, length: int) -> bytes:
-    fs, path = file_system(uri)
-    with fs.open_input_file(path) as f:
-        return f.read_at(length, start)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from motionloom.llm import bpe, exact_dedup, packing, simhash
+from motionloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, topk, warc
 
 
 def queries() -> dict:
     return {
+        "op1_language_id": langid.op1_language_id,
+        "op2_warc": warc.op2_warc,
         "op3_bpe_encode_decode": bpe.op3_bpe_encode_decode,
+        "op4_exact_topk": topk.op4_exact_topk,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+        "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_packing": packing.op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.SQL}
+    return {"op2_warc": warc.SQL, "op4_exact_topk": topk.SQL, "op5_exact_dedup": exact_dedup.SQL}
