@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, topk, warc
+from motionloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_files, topk, warc
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op4_exact_topk": topk.op4_exact_topk,
         "op5_exact_dedup": exact_dedup.op5_exact_dedup,
         "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+        "op7_token_files": token_files.op7_token_files,
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_packing": packing.op10_packing,
