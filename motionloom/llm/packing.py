@@ -75,11 +75,11 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id", te
     slices = 1 << max(0, math.ceil(math.log2(max(1, got.count()) / SLICE_PIECES)))
     got = got.withColumn("slice", F.pmod(F.xxhash64("id", "start"), F.lit(slices)))
     sizes = got.groupBy("length", "slice").agg(F.count(F.lit(1)).alias("n"))
-    # at most 13 lengths x slices rows, one for each 200,000 / 13 pieces
+    # at most 13 lengths x slices rows; whether they are broadcast is left to the planner, which knows their size
     before = sizes.select(F.col("length").alias("l"), F.col("slice").alias("s"), F.coalesce(F.sum("n").over(Window.orderBy(F.desc("length"), "slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     own = F.row_number().over(Window.partitionBy("length", "slice").orderBy("id", "start", "doc_tokens", "ids_crc32"))
     keep = ["start", "length", "ids_crc32", "doc_tokens", *(["ids"] * with_ids)]
-    return got.withColumn("own", own).join(F.broadcast(before), (F.col("length") == F.col("l")) & (F.col("slice") == F.col("s"))).select(F.col("id").alias(id_col), *keep, (F.col("before") + F.col("own") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return got.withColumn("own", own).join(before, (F.col("length") == F.col("l")) & (F.col("slice") == F.col("s"))).select(F.col("id").alias(id_col), *keep, (F.col("before") + F.col("own") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
