@@ -2,10 +2,37 @@
 
 from __future__ import annotations
 
+import importlib
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+MODULES = ("kinematics", "alignment", "tables", "reports", "repair")
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def keep(f: Query) -> Query:
+        _queries[name] = f
+        if sql:
+            _sql[name] = sql
+        return f
+
+    return keep
+
+
+def _load() -> None:
+    for m in MODULES:
+        importlib.import_module(f"motionloom.plans.{m}")
+
+
+def queries() -> dict[str, Query]:
+    _load()
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_sql)
