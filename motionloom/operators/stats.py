@@ -58,7 +58,7 @@ def guarded_corr(a: Column, b: Column) -> Column:
     """Pearson over pairs that are both finite; null under 3 pairs or without spread."""
     both = finite(a).isNotNull() & finite(b).isNotNull()
     x, y = F.when(both, a), F.when(both, b)
-    return F.when((F.count(x) >= 3) & (F.stddev_pop(x) > 1e-12) & (F.stddev_pop(y) > 1e-12), F.corr(x, y))
+    return F.when((F.count(x) >= 3) & (F.stddev_pop(x) > 1e-12) & (F.stddev_pop(y) > 1e-12), F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def rmse(d: Column) -> Column:
