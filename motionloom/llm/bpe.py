@@ -55,6 +55,7 @@ class Bpe:
 
     def __init__(self, path: str, library: bool = False, cache_pieces: int = 400_000):
         """library: new pieces go to the tokenizers library's own model, not to the pair occurrence index."""
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -78,7 +79,7 @@ class Bpe:
             self.strings[i] = s
         back = {c: b for b, c in enumerate(chars)}
         self.token_bytes = [bytes(map(back.__getitem__, s)) if all(c in back for c in s) else s.encode() for s in self.strings]
-        self.library = None
+        self.library = self.newest = None
         if library:
             from tokenizers import Tokenizer
 
@@ -169,6 +170,7 @@ class Bpe:
 
     def _pieces(self, text: str) -> list:
         """The pieces of a text without special tokens: Latin-1 bytes, or str where that does not do."""
+        raw = text
         if self.lower:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
@@ -176,7 +178,19 @@ class Bpe:
         try:
             return self.split[0].findall(text.encode("latin-1"))
         except UnicodeEncodeError:
+            return self._any_pieces(raw, text)
+
+    def _any_pieces(self, raw: str, text: str) -> list[str]:
+        """Pieces of a text beyond Latin-1. Characters that this Python's data lacks are split by the library, since the
+        library, this Python and the regex module may each know another version of Unicode."""
+        if not self.lower or all(unicodedata.category(c) != "Cn" for c in set(raw)):
             return self.split[1].findall(text)
+        if self.newest is None:
+            from tokenizers import Tokenizer
+
+            self.newest = self.library or Tokenizer.from_file(self.path)
+        text = self.newest.normalizer.normalize_str(raw)
+        return [text[s:e] for _, (s, e) in self.newest.pre_tokenizer.pre_tokenize_str(text)]
 
     def _parts(self, text: str) -> Iterator[list | int]:
         """The text's pieces, between the ids of special tokens in it."""
