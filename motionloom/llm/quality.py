@@ -73,7 +73,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     rng = np.random.default_rng(seed)
     bias, linear = float(np.log(share / (1 - share))), np.zeros(N_FEATURES, np.float32)
     factors = rng.normal(0, 0.02, (N_FEATURES, FACTORS)).astype(np.float32)
-    if labels.min(initial=1) == labels.max(initial=0):
+    if len(set(labels.tolist())) < 2:
         return Machine(bias, linear, np.zeros_like(factors))
     g_bias, g_linear, g_factors = 1e-6, np.full(N_FEATURES, 1e-6, np.float32), np.full((N_FEATURES, FACTORS), 1e-6, np.float32)
     for _ in range(epochs):

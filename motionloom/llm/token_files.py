@@ -86,6 +86,8 @@ class Model:
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Blocks of ids (under 65,536), longest first -> payloads."""
     lanes = len(blocks)
+    if not lanes:
+        return []
     sizes = np.array([len(b) for b in blocks])
     ids = np.zeros((int(sizes.max(initial=0)), lanes), np.int64)
     for k, b in enumerate(blocks):
@@ -141,12 +143,14 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         word[over] &= 0xFFFF
         word[over - 1] += carry
     ends = np.cumsum(np.bincount(lane, minlength=lanes))
-    return [x.astype("<u2").tobytes() for x in np.split(word, ends[:-1])] if lanes else []
+    return [x.astype("<u2").tobytes() for x in np.split(word, ends[:-1])]
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """Payloads of blocks, longest first, and their numbers of ids -> ids."""
     lanes = len(payloads)
+    if not lanes:
+        return []
     size = np.array(sizes)
     out = np.zeros((int(size.max(initial=0)), lanes), np.int64)
     model = Model(lanes)
@@ -163,7 +167,7 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
         small = np.flatnonzero(sp < 1 << 32)
         if len(small):
             own = lane[small]
-            co[small] = co[small] << 16 | data[at[own]]
+            co[small] = co[small] << 16 | data[np.minimum(at[own], len(data) - 1)]  # a damaged block may ask for more
             sp[small] <<= 16
             at[own] += 1
         return co, sp
