@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -40,6 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """After a cut: lets the driver notice that the shuffles before it are unreachable, so that their files go now and not
+    whenever it next collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(c, UPPER, UPPER.lower())

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import as_bytes, cut, table, text_slices
+from motionloom.llm.common import as_bytes, cut, release, table, text_slices
 
 DEPTH, GRAM = 200, 64
 SECTION = 1 << 20
@@ -170,6 +170,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
     seen = _runs(rows, depth)
     shared = seen.groupBy(F.col("digit").alias("d")).agg(F.count(F.lit(1)).alias("times"), F.max("cyclic").alias("any_cyclic")).where("times > 1 OR any_cyclic").select("d")
     mine = cut(seen.join(shared, F.col("digit") == F.col("d")).drop("d"))
+    release(rows.sparkSession)
     contents = mine.groupBy("digit", "h1", "h2", "n").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "th", "start")).alias("owner"))
     per_digit = contents.groupBy(F.col("digit").alias("pd")).agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("rarest"))
     known = contents.join(per_digit, F.col("digit") == F.col("pd")).select(F.col("digit").alias("kd"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("n").alias("kn"), "times", "owner", "kinds", "rarest")
@@ -180,6 +181,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
         .withColumn("look", (~F.col("whole") & ((F.col("kinds") > 1) | F.col("cyclic"))) | (F.col("whole") & (F.col("kinds") > 1) & (F.col("rarest") == 1) & (F.struct("id", "th", "start") == F.col("owner"))))
         .where("whole OR look").select("id", "th", "digit", "start", "n", "whole", "look", (F.col("kinds") > hot).alias("hot"))
     )
+    release(rows.sparkSession)
     found = judged.where("whole").select("id", "th", F.col("start").alias("a"), (F.col("start") + F.col("n") + depth - 1).alias("b"))
 
     wanted = judged.where("look").groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct("digit", "start", "n", "whole", "hot")).alias("runs"))
@@ -206,6 +208,8 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
     texts = rows.join(wanted, (F.col("id") == F.col("i")) & (F.col("th") == F.col("t"))).select("id", "th", "text", "runs")
     fetched = cut(texts.mapInArrow(fetch, "id bigint, th bigint, digit bigint, h2 bigint, start bigint, weight int, hot boolean, seg binary"))
 
+    release(rows.sparkSession)
+
     def sort(key: tuple, got: pa.Table) -> pa.Table:
         owner, offset = repeated_suffixes(got.column("seg").to_pylist(), got.column("digit").to_numpy(), got.column("weight").to_numpy(), depth)
         start = got.column("start").to_numpy()[owner] + offset
