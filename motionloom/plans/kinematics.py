@@ -147,7 +147,6 @@ def trim_renumber(spark: SparkSession, d: str) -> DataFrame:
     return Q.trim(vector_frames(spark, d), 5, 29, FPS).select(E, "frame_index", r6("timestamp").alias("timestamp"), "done", r6(F.col("state")[0]).alias("first"))
 
 
-_W = Window.partitionBy(E).orderBy("frame_index")
 BEFORE_AFTER = f"""{VF}, ba AS (SELECT episode_index, frame_index, action AS b, list_transform(list_zip(coalesce(lag(action) OVER w, action), action, coalesce(lead(action) OVER w, action)), lambda p: (p[1] + p[2] + p[3]) / 3) AS a
  FROM vf WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index))"""
 
@@ -155,7 +154,7 @@ BEFORE_AFTER = f"""{VF}, ba AS (SELECT episode_index, frame_index, action AS b,
 def before_after(spark: SparkSession, d: str) -> DataFrame:
     """Actions and a smoothed copy: the mean of three neighbours."""
     v = vector_frames(spark, d)
-    prev, nxt = F.coalesce(F.lag("action").over(_W), F.col("action")), F.coalesce(F.lead("action").over(_W), F.col("action"))
+    prev, nxt = F.coalesce(F.lag("action").over(Q.order()), F.col("action")), F.coalesce(F.lead("action").over(Q.order()), F.col("action"))
     mean = F.zip_with(F.zip_with(prev, F.col("action"), lambda x, y: x + y), nxt, lambda s, z: (s + z) / 3)
     return v.select(E, "frame_index", F.col("action").alias("before"), mean.alias("after"))
 
@@ -241,7 +240,7 @@ def rot6d_validity(spark: SparkSession, d: str) -> DataFrame:
  SELECT episode_index, round(avg(d), 5) AS angle_mean, round(quantile_cont(d, 0.95), 5) AS angle_p95, round(max(d), 5) AS angle_max FROM d GROUP BY 1""")
 def rot6d_step_angle(spark: SparkSession, d: str) -> DataFrame:
     rows = vector_frames(spark, d).select(E, "frame_index", V.rot6d_rows(F.slice("state", 11, 6)).alias("r"))
-    turned = rows.select(E, V.rotation_between(F.lag("r").over(_W), F.col("r")).alias("a")).where("a IS NOT NULL")
+    turned = rows.select(E, V.rotation_between(F.lag("r").over(Q.order()), F.col("r")).alias("a")).where("a IS NOT NULL")
     out = turned.groupBy(E).agg(*A.summary(F.col("a"), "angle", ("mean", "p95", "max")))
     return out.select(E, *[F.round(c, 5).alias(c) for c in out.columns if c != E])
 
