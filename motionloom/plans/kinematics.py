@@ -286,3 +286,27 @@ def first_mean_vs_max(spark: SparkSession, d: str) -> DataFrame:
 def state_action_corr(spark: SparkSession, d: str) -> DataFrame:
     v = vector_frames(spark, d).select(E, F.col("state")[7].alias("a"), F.col("action")[0].alias("b"))
     return v.groupBy(E).agg(r6(A.guarded_corr(F.col("a"), F.col("b"))).alias("corr"), F.count(F.lit(1)).alias("n"))
+
+
+def _derived(prefix: str, column: str) -> str:
+    """velocity, acceleration and jerk of a vector expression as chained views."""
+    out, last = [], f"SELECT episode_index, frame_index, {column} AS x FROM vf"
+    for n in range(3):
+        step = f"SELECT episode_index, frame_index, CASE WHEN lag(x) OVER w IS NOT NULL THEN list_transform(list_zip(x, lag(x) OVER w), lambda p: (p[1] - p[2]) * 10) END AS x FROM ({last}) WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index)"
+        out.append(f"{prefix}{n} AS ({step})")
+        last = f"SELECT * FROM {prefix}{n} WHERE x IS NOT NULL"
+    return ", ".join(out)
+
+
+_L2 = "sqrt(list_sum(list_transform(x, lambda t: t * t)))"
+
+
+@query("gate_episode_metrics", f"""WITH {VF}, {_derived('a', 'state[1:7]')}, {_derived('h', 'state[17:26]')}, n AS (SELECT episode_index, count(*) AS parquet_rows FROM vf GROUP BY 1),
+ j AS (SELECT episode_index, round(quantile_cont({_L2}, 0.95), 6) AS arm_joint_jerk_l2_p95 FROM a2 GROUP BY 1), v AS (SELECT episode_index, round(quantile_cont({_L2}, 0.95), 6) AS finger_velocity_p95 FROM h0 GROUP BY 1),
+ c AS (SELECT episode_index, round(avg({_L2}), 6) AS hand_state_acceleration_l2_mean FROM h1 GROUP BY 1)
+ SELECT * FROM n JOIN j USING (episode_index) JOIN v USING (episode_index) JOIN c USING (episode_index)""")
+def gate_episode_metrics(spark: SparkSession, d: str) -> DataFrame:
+    from motionloom.operators.gate import episode_metrics
+
+    out = episode_metrics(vector_frames(spark, d), FPS, groups=("arm_joint", "hand_state"))
+    return out.select(E, "parquet_rows", r6("arm_joint_jerk_l2_p95").alias("arm_joint_jerk_l2_p95"), r6("finger_velocity_p95").alias("finger_velocity_p95"), r6("hand_state_acceleration_l2_mean").alias("hand_state_acceleration_l2_mean"))
