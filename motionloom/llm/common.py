@@ -48,6 +48,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def apart(*keys: Column) -> Column:
+    """A join key with the same equality as keys but another partitioning.
+
+    Where one side of a join comes out of an aggregation by the same keys, Spark keeps that partitioning and shuffles only
+    the other side, and then adaptive execution can't split a hot key. Joined on apart(), both sides are shuffled for the
+    join, and it can."""
+    return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(c, UPPER, UPPER.lower())

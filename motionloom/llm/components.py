@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import cut
+from motionloom.llm.common import apart, cut
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -14,10 +14,10 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        new = both.where("b > a").join(low, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        new = both.where("b > a").join(low, apart(F.col("a")) == apart(F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         low = links.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        new = links.join(low, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        new = links.join(low, apart(F.col("a")) == apart(F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return new.where("a > b").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
 
 

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import UPPER, ascii_lower, table
+from motionloom.llm.common import UPPER, apart, ascii_lower, table
 
 
 def content_hash(text: Column) -> Column:
@@ -39,7 +39,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(F.col("h").alias("gh"), F.col("sha").alias("gsha"), "n", "keep")
     )
     back = rows.select("id", "h", F.sha2("norm", 256).alias("sha"))
-    return back.join(groups, (F.col("h") == F.col("gh")) & (F.col("sha") == F.col("gsha"))).select(
+    return back.join(groups, apart(F.col("h"), F.col("sha")) == apart(F.col("gh"), F.col("gsha"))).select(
         F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("n").alias("group_size"), F.col("id").eqNullSafe(F.col("keep")).alias("kept"), F.col("sha").alias("text_sha256")
     )
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import as_bytes, cut, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
 RADIUS = 3
@@ -169,7 +169,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     roots = connected_components(links(distinct))
     placed = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = placed.groupBy(F.col("root").alias("r")).agg(F.min("low").alias("component_id"))
-    by_fp = placed.join(lowest, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
+    by_fp = placed.join(lowest, apart(F.col("root")) == apart(F.col("r"))).select(F.col("fp").alias("f"), "component_id")
     return rows.join(by_fp, F.col("fp") == F.col("f")).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import as_bytes, cut, release, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, release, table, text_slices
 
 DEPTH, GRAM = 200, 64
 SECTION = 1 << 20
@@ -169,11 +169,11 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
     """rows: id, th (hash of the text), text -> id, th, a, b: byte intervals that repeated windows cover, overlapping."""
     seen = _runs(rows, depth)
     shared = seen.groupBy(F.col("digit").alias("d")).agg(F.count(F.lit(1)).alias("times"), F.max("cyclic").alias("any_cyclic")).where("times > 1 OR any_cyclic").select("d")
-    mine = cut(seen.join(shared, F.col("digit") == F.col("d")).drop("d"))
+    mine = cut(seen.join(shared, apart(F.col("digit")) == apart(F.col("d"))).drop("d"))
     release(rows.sparkSession)
     contents = mine.groupBy("digit", "h1", "h2", "n").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "th", "start")).alias("owner"))
     per_digit = contents.groupBy(F.col("digit").alias("pd")).agg(F.count(F.lit(1)).alias("kinds"), F.min("times").alias("rarest"))
-    known = contents.join(per_digit, F.col("digit") == F.col("pd")).select(F.col("digit").alias("kd"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("n").alias("kn"), "times", "owner", "kinds", "rarest")
+    known = contents.join(per_digit, apart(F.col("digit")) == apart(F.col("pd"))).select(F.col("digit").alias("kd"), F.col("h1").alias("k1"), F.col("h2").alias("k2"), F.col("n").alias("kn"), "times", "owner", "kinds", "rarest")
     same = (F.col("digit") == F.col("kd")) & (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")) & (F.col("n") == F.col("kn"))
     judged = cut(
         mine.join(known, same)
@@ -225,7 +225,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
     sorted_ = cold.withColumn("bucket", F.pmod(F.xxhash64("digit"), F.lit(buckets))).groupBy("bucket").applyInArrow(sort, "id bigint, th bigint, a bigint, b bigint")
     warm = fetched.where("hot").select("id", "th", F.col("digit").alias("w1"), F.col("h2").alias("w2"), "start", "weight")
     twice = warm.groupBy(F.col("w1").alias("x1"), F.col("w2").alias("x2")).agg(F.sum("weight").alias("total")).where("total > 1")
-    counted = warm.join(twice, (F.col("w1") == F.col("x1")) & (F.col("w2") == F.col("x2"))).select("id", "th", F.col("start").alias("a"), (F.col("start") + depth).alias("b"))
+    counted = warm.join(twice, apart(F.col("w1"), F.col("w2")) == apart(F.col("x1"), F.col("x2"))).select("id", "th", F.col("start").alias("a"), (F.col("start") + depth).alias("b"))
     return found.unionByName(sorted_).unionByName(counted)
 
 

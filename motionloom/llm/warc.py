@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import AtomicFile, fresh_dir, table, text_slices
+from motionloom.llm.common import AtomicFile, apart, fresh_dir, table, text_slices
 from motionloom.llm.common import file_system as _file_system
 
 LEAST_REVISIT = 100
@@ -135,7 +135,7 @@ def with_types(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = rows.withColumn("digest", F.when(F.octet_length("html") >= least, F.sha2("html", 256)))
     first = rows.where("digest IS NOT NULL").groupBy(F.col("digest").alias("d")).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     again = F.col("d").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    return rows.join(first, F.col("digest") == F.col("d"), "left").select("id", "url", "html", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    return rows.join(first, apart(F.col("digest")) == apart(F.col("d")), "left").select("id", "url", "html", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
 
 
 INDEX = "page_id bigint, record_type string, refers_to bigint, file string, frame int, frame_offset bigint, length bigint"
