@@ -122,3 +122,40 @@ def issues_truncated(spark: SparkSession, d: str) -> DataFrame:
 def pca_outliers(spark: SparkSession, d: str) -> DataFrame:
     out = A.pca2(step_metrics(spark, d), E, METRICS)
     return out.select(E, r6("pc1").alias("pc1"), r6("pc2").alias("pc2"))
+
+
+@query("merged_report", """WITH ep AS (SELECT o_custkey AS episode_index, count(*) AS frames FROM orders GROUP BY 1), tm AS (SELECT c_custkey AS k, c_acctbal AS lag FROM customer WHERE c_custkey % 3 <> 0),
+ vd AS (SELECT o_custkey AS k, avg(l_quantity) AS quantity, avg(l_discount) AS discount FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)
+ SELECT ep.episode_index, ep.frames, round(tm.lag, 6) AS lag_timing, round(vd.quantity, 6) AS quantity_video, round(vd.discount, 6) AS discount_video FROM ep LEFT JOIN tm ON ep.episode_index = tm.k LEFT JOIN vd ON ep.episode_index = vd.k""")
+def merged_report(spark: SparkSession, d: str) -> DataFrame:
+    """Episodes with their timing row and the means of the numeric columns of their videos, both optional."""
+    from motionloom.plans.views import read
+
+    o = read(spark, d, "orders").select(F.col("o_orderkey"), F.col("o_custkey").alias(E))
+    ep = o.groupBy(E).agg(F.count(F.lit(1)).alias("frames"))
+    tm = read(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k"), r6("c_acctbal").alias("lag_timing"))
+    vd = A.mean_of_numeric(read(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(E, "l_quantity", "l_discount"), [E])
+    vd = vd.select(F.col(E).alias("v"), r6("l_quantity").alias("quantity_video"), r6("l_discount").alias("discount_video"))
+    return ep.join(tm, F.col(E) == F.col("k"), "left").join(vd, F.col(E) == F.col("v"), "left").select(E, "frames", "lag_timing", "quantity_video", "discount_video")
+
+
+@query("nonfinite_counts", """SELECT label AS episode_index, CAST(sum(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x)))) AS BIGINT) AS nonfinite, min(len(embedding)) = max(len(embedding)) AS even, max(len(embedding)) AS width FROM embeddings GROUP BY 1""")
+def nonfinite_counts(spark: SparkSession, d: str) -> DataFrame:
+    from motionloom.functions.vectors import finite
+    from motionloom.plans.views import read
+
+    v = read(spark, d, "embeddings")
+    bad = F.size(F.filter("embedding", lambda x: finite(x).isNull()))
+    return v.groupBy(F.col("label").alias(E)).agg(F.sum(bad).alias("nonfinite"), (F.min(F.size("embedding")) == F.max(F.size("embedding"))).alias("even"), F.max(F.size("embedding")).cast("bigint").alias("width"))
+
+
+@query("correlation_matrix", """WITH x AS (SELECT l_returnflag AS g, l_quantity AS a, l_extendedprice AS b, l_discount AS c FROM lineitem)
+ SELECT g, 'a' AS row, 'b' AS col, round(corr(a, b), 6) AS corr FROM x GROUP BY 1 UNION ALL SELECT g, 'a', 'c', round(corr(a, c), 6) FROM x GROUP BY 1 UNION ALL SELECT g, 'b', 'c', round(corr(b, c), 6) FROM x GROUP BY 1""")
+def correlation_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs in one aggregation, unfolded afterwards."""
+    from motionloom.plans.views import read
+
+    x = read(spark, d, "lineitem").select(F.col("l_returnflag").alias("g"), F.col("l_quantity").alias("a"), F.col("l_extendedprice").alias("b"), F.col("l_discount").alias("c"))
+    pairs = [("a", "b"), ("a", "c"), ("b", "c")]
+    one = x.groupBy("g").agg(*[A.guarded_corr(F.col(p), F.col(q)).alias(p + q) for p, q in pairs])
+    return one.select("g", F.explode(F.array(*[F.struct(F.lit(p).alias("row"), F.lit(q).alias("col"), r6(p + q).alias("corr")) for p, q in pairs])).alias("m")).select("g", "m.*")
