@@ -47,29 +47,33 @@ def rot6d_matrices(r: np.ndarray) -> np.ndarray:
     return np.stack([a, b, np.cross(a, b)], axis=1)
 
 
-def best_rotation_map(frames: DataFrame, state: str, action: str, key: str = "episode_index", most: int = 200) -> DataFrame:
+def best_rotation_map(frames: DataFrame, state: str, action: str, key: str = "episode_index", most: int = 0, chunk: int = 2048) -> DataFrame:
     """Key, transpose, left, right, degrees: the map L A R (or of A transposed) with the smallest mean angle to the state.
-    (L, R) and (-L, -R) are the same map; the pair with the smaller numbers is given. most: frames per episode, spaced evenly.
+    (L, R) and (-L, -R) are the same map; the pair with the smaller numbers is given. most: frames per episode, spaced evenly;
+    0 takes every frame. chunk: frames whose angles are held at a time.
     The trace of each candidate is a signed sum of nine products out of 81, so no candidate multiplies matrices."""
     axes = signed_axis_matrices()
-    col = np.abs(axes).argmax(axis=2)
-    sign = np.take_along_axis(axes, col[:, :, None], 2)[:, :, 0]
+    # of L and -L, the one with the smaller number
+    lefts = [n for n in range(48) if n % 8 < 4]
+    # trace = sum of s[i, j] b[m, k] L[i, m] R[k, j]
+    weights = np.einsum("lim,rkj->ijmklr", axes[lefts], axes).reshape(81, -1)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame_index")
-        pick = np.unique(np.linspace(0, len(pdf) - 1, min(most, len(pdf))).astype(int))
-        s, a = (rot6d_matrices(np.stack([np.asarray(v, float) for v in pdf[c].iloc[pick]])) for c in (state, action))
+        pick = np.unique(np.linspace(0, len(pdf) - 1, min(most or len(pdf), len(pdf))).astype(int))
+        total = np.zeros((2, weights.shape[1]))
+        for at in range(0, len(pick), chunk):
+            s, a = (rot6d_matrices(np.stack([np.asarray(v, float) for v in pdf[c].iloc[pick[at : at + chunk]]])) for c in (state, action))
+            for flip in (0, 1):
+                b = a.transpose(0, 2, 1) if flip else a
+                traces = np.einsum("nij,nmk->nijmk", s, b).reshape(-1, 81) @ weights
+                total[flip] += np.degrees(np.arccos(np.clip((traces - 1) / 2, -1, 1))).sum(axis=0)
         best = None
-        for flip in (False, True):
-            b = a.transpose(0, 2, 1) if flip else a
-            for left in range(48):
-                lb = sign[left][None, :, None] * b[:, col[left], :]  # L B
-                # (L B R)_ij = sum_k (LB)_ik R_kj; R_kj is +-1 at j = col[k]
-                traces = np.stack([(s[:, :, col[r]] * sign[r][None, None, :] * lb).sum(axis=(1, 2)) for r in range(48)])
-                deg = np.degrees(np.arccos(np.clip((traces - 1) / 2, -1, 1))).mean(axis=1)
+        for flip, degs in enumerate((total / len(pick)).reshape(2, len(lefts), 48)):
+            for left, deg in zip(lefts, degs, strict=True):
                 r = int(np.argmin(np.round(deg, 9)))
                 if best is None or deg[r] < best[3] - 1e-9:
-                    best = (flip, left, r, float(deg[r]))
+                    best = (bool(flip), left, r, float(deg[r]))
         return pd.DataFrame([[pdf[key].iloc[0], *best]], columns=[key, "transpose", "left", "right", "degrees"])
 
     return frames.select(key, "frame_index", state, action).groupBy(key).applyInPandas(search, f"{key} bigint, transpose boolean, left int, right int, degrees double")

@@ -238,6 +238,30 @@ def test_rotation_map_is_found(spark, transpose):
     assert r.degrees < 1e-3 and np.allclose(made, st)
 
 
+def test_rotation_map_reads_every_frame(spark):
+    """450 frames: 250 follow one map, but every frame that an even sample of 200 picks follows another."""
+    axes, n = mapping.signed_axis_matrices(), 450
+    q = np.linalg.qr(np.random.default_rng(6).normal(size=(n, 3, 3)))[0]
+    q *= np.sign(np.linalg.det(q))[:, None, None]
+    sampled = np.unique(np.linspace(0, n - 1, 200).astype(int))
+    proper = [m for m in axes if np.linalg.det(m) > 0]
+    st = proper[3] @ q
+    st[sampled] = proper[5] @ q[sampled]
+    rows = [(0, i, s[:2].ravel().tolist(), a[:2].ravel().tolist()) for i, (s, a) in enumerate(zip(st, q, strict=True))]
+    df = spark.createDataFrame(rows, "episode_index bigint, frame_index bigint, s array<double>, a array<double>")
+    means = []
+    for flip in (False, True):
+        for left in range(48):
+            for right in range(48):
+                made = axes[left] @ (q.transpose(0, 2, 1) if flip else q) @ axes[right]
+                means.append((round(float(np.degrees(np.arccos(np.clip(((st * made).sum(axis=(1, 2)) - 1) / 2, -1, 1))).mean()), 6), flip, left, right))
+    for chunk in (2048, 64):
+        r = mapping.best_rotation_map(df, "s", "a", chunk=chunk).first()
+        assert (round(r.degrees, 6), r.transpose, r.left, r.right) == min(means)
+    few = mapping.best_rotation_map(df, "s", "a", most=200).first()
+    assert few.degrees < 1e-3 and (few.left, few.right) != min(means)[2:]
+
+
 def test_one_error_lowers_the_score(spark):
     t = spark.createDataFrame([(0, "d", True), (1, "d", False)], "episode_index bigint, source_date string, frame_count_match boolean")
     found = rules.issues(t, [rules.Rule("state_action_frame_mismatch", "error", ~F.col("frame_count_match"))])
