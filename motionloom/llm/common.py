@@ -57,6 +57,23 @@ def apart(*keys: Column) -> Column:
     return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with __node, a number of each row; cut, so that it stays the same wherever it is read."""
+    return cut(docs.withColumn("__node", F.monotonically_increasing_id()))
+
+
+def keep_one(rows: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """numbered rows without all but one of each group. members: node, grp, at most one row for each node.
+
+    The smallest id stays, a null id only if there is no other; of equal ids the smallest hash of the text, then of equal
+    texts the smallest number. The choice is an aggregate with a map side; the anti-join carries numbers only."""
+    order = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("s"), F.col("__node").alias("k"))
+    placed = rows.select("__node", order.alias("o")).join(members, F.col("__node") == F.col("node"))
+    best = placed.groupBy("grp").agg(F.min("o").alias("o")).select(F.col("o.k").alias("best"))
+    gone = members.join(best, F.col("node") == F.col("best"), "left_anti").select(F.col("node").alias("__gone"))
+    return rows.join(gone, F.col("__node") == F.col("__gone"), "left_anti").drop("__node")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(c, UPPER, UPPER.lower())

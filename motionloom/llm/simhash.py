@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import apart, as_bytes, cut, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
 RADIUS = 3
@@ -174,9 +174,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, without those whose component holds a smaller id. Rows without id stay."""
-    gone = simhash_components(docs, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__gone"), "left_anti")
+    """The rows of docs, all columns, that stay: exactly one of each component, chosen as in keep_one."""
+    rows = numbered(docs)
+    members = simhash_components(rows, "__node", text_col).select(F.col("__node").alias("node"), F.col("component_id").alias("grp"))
+    return keep_one(rows, members, id_col, text_col)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

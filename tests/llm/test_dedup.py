@@ -70,6 +70,20 @@ def test_exact_filter(docs):
     assert exact_dedup.exact_groups(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("keep", ["min", "max"])
+def test_exact_filter_keeps_one_of_equal_and_null_ids(spark, keep):
+    rows = [(5, "A b", 3), (5, "a b", 1), (5, "a b", 1), (None, "a b", 0), (None, "alone", 2), (None, "Alone", 2), (None, "alone", 1), (5, "other", 1), (None, None, 1), (None, "", 1), (7, "a b", 9), (7, "a b", 9)]
+    got = exact_dedup.drop_exact_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string, n int"), keep=keep).collect()
+    assert sorted((lower(r.text), r.doc_id) for r in got if r.doc_id) == [("a b", 5 if keep == "min" else 7), ("other", 5)]
+    assert sorted(lower(r.text) for r in got if r.doc_id is None) == ["", "alone"]
+
+
+def test_near_filter_keeps_one_of_equal_and_null_ids(spark):
+    rows = [(9, "p q r s"), (9, "p q r s"), (None, "p q r s"), (None, "one two three"), (None, "one two three"), (3, "far away from it all"), (3, "far away from it all")]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, got), key=str) == [(3, "far away from it all"), (9, "p q r s"), (None, "one two three")]
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", lower(text))
     shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)] if words else []
