@@ -48,15 +48,16 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of docs, all columns, that stay: per group of equal texts exactly one, that with the smallest (or largest) id.
 
     Rows that share this id, or a group without ids: the smallest row by text and the other columns stays, which therefore
-    must have an order (no maps). The anti-join carries ids and hashes of dropped rows only; the choice among what is left
-    is an aggregate with a map side, so a row repeated many times leaves each task once."""
-    gone = exact_groups(docs, id_col, text_col, keep).where(~F.col("kept")).select(F.col(id_col).alias("__gone_id"), F.col("text_sha256").alias("__gone_sha"))
+    must have an order (no maps). Rows of equal id and text meet in an aggregate with a map side, so a row repeated many
+    times leaves each task once; the anti-join then keeps that partitioning and moves only the keys of dropped rows."""
+    key = lambda i, sha: F.concat(sha, F.when(i.isNull(), "-").otherwise(F.concat(F.lit("="), i.cast("string"))))
     sha = F.sha2(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 256)
-    left = docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone_id")) & (sha == F.col("__gone_sha")), "left_anti")
     names = [text_col] + [c for c in docs.columns if c != text_col]
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(names)])
-    one = left.groupBy(F.col(f"`{id_col}`").alias("__id"), sha.alias("__sha")).agg(F.min(row).alias("__row"))
-    return one.select(*[F.col(f"__row.c{names.index(c)}").alias(c) for c in docs.columns])
+    one = docs.select(key(F.col(f"`{id_col}`"), sha).alias("__k"), row.alias("__row")).groupBy("__k").agg(F.min("__row").alias("__row"))
+    gone = exact_groups(docs, id_col, text_col, keep).where(~F.col("kept")).select(key(F.col(id_col), F.col("text_sha256")).alias("__gone"))
+    left = one.join(gone, F.col("__k") == F.col("__gone"), "left_anti")
+    return left.select(*[F.col(f"__row.c{names.index(c)}").alias(c) for c in docs.columns])
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

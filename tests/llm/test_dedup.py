@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from motionloom.llm import components, exact_dedup, simhash, suffix_dedup, topk, warc
+from motionloom.llm import components, exact_dedup, jaccard, simhash, suffix_dedup, topk, warc
 
 
 @pytest.fixture(scope="module")
@@ -107,6 +107,53 @@ def test_simhash(docs, rows):
     assert simhash.simhash_components(docs.where("false")).count() == 0
 
 
+def brute_sets(texts):
+    out = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        out.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))})
+    return out
+
+
+def brute_near(rows):
+    """Rows that stay: of each component over Jaccard >= 0.8 the smallest id, then the smallest hash of the text."""
+    sets, root = brute_sets([t for _, t in rows]), list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if r == b else r for r in root]
+    groups = defaultdict(list)
+    for r, (i, t) in zip(root, rows, strict=True):
+        groups[r].append((i is None, i or 0, hashlib.sha256((t or "").encode()).hexdigest(), (i, t)))
+    return sorted((min(g)[3] for g in groups.values()), key=str)
+
+
+def test_near_pairs_of_every_similarity(spark, rows, monkeypatch):
+    """Copies with more and more words changed, families whose first member is not like all others, equal and null ids."""
+    rng = random.Random(12)
+    out = [(i, t) for i, t in rows]
+    for f in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100 + f)]
+        for k in range(14):
+            words = list(base)
+            for at in rng.sample(range(len(base)), k % 7):
+                words[at] = f"x{rng.randrange(10**6)}"
+            out.append((None if k == 9 else 1000 * f + rng.randrange(900), " ".join(words[rng.randrange(3) : len(words) - rng.randrange(4)])))
+    boiler = " ".join(f"license{k}" for k in range(40))
+    out += [(50_000 + k, boiler + " " + " ".join(f"own{k}x{j}" for j in range(k % 60))) for k in range(60)]
+    # exactly 0.8 (20 shingles, 16 shared of 20), and just below
+    line = [f"e{k}" for k in range(24)]
+    out += [(60_000, " ".join(line)), (60_001, " ".join(line[:20])), (60_002, " ".join(line[5:]))]
+    expected = brute_near(out)
+    df = spark.createDataFrame(out, "doc_id bigint, text string").repartition(3)
+    for common in (3, 10**9):
+        monkeypatch.setattr(jaccard, "COMMON_IN_SAMPLE", common)
+        assert sorted(map(tuple, jaccard.drop_near_duplicates(df).collect()), key=str) == expected
+    assert len(expected) < len(out) - 60 and (60_001, " ".join(line[:20])) not in expected
+    assert jaccard.drop_near_duplicates(df.where("false")).count() == 0
+
+
 def test_long_text_in_steps():
     text = " ".join(f"w{k % 997}" for k in range(3000)).encode()
     assert simhash.fingerprint(text) == simhash.fingerprint(text, step=255 * 3) == brute_fingerprint(text.decode())
