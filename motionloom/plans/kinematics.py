@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from motionloom.functions.vectors import r6
 from motionloom.operators import relative as R
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
-from motionloom.plans.registry import query
+from motionloom.plans.registry import query, sql_of
 from motionloom.plans.views import FPS, SFR, VF, read, scalar_frames, vector_frames
 
 E = "episode_index"
@@ -147,6 +149,15 @@ def trim_renumber(spark: SparkSession, d: str) -> DataFrame:
     return Q.trim(vector_frames(spark, d), 5, 29, FPS).select(E, "frame_index", r6("timestamp").alias("timestamp"), "done", r6(F.col("state")[0]).alias("first"))
 
 
+#: Those of the reference. The SQL of the older queries stops before; the queries NAME_all_horizons have all.
+HORIZONS = (1, 2, 4, 8, 16, 32)
+
+
+def _all_horizons(sql: str, shorter: str) -> str:
+    assert sql.count(shorter) == 1
+    return sql.replace(shorter, str(list(HORIZONS)))
+
+
 BEFORE_AFTER = f"""{VF}, ba AS (SELECT episode_index, frame_index, action AS b, list_transform(list_zip(coalesce(lag(action) OVER w, action), action, coalesce(lead(action) OVER w, action)), lambda p: (p[1] + p[2] + p[3]) / 3) AS a
  FROM vf WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index))"""
 
@@ -172,9 +183,9 @@ def smoothing_change(spark: SparkSession, d: str) -> DataFrame:
  r AS (SELECT x.episode_index, h.horizon, list_distance(list_transform(list_zip(y.a[1:3], x.a[1:3]), lambda p: p[1] - p[2]), list_transform(list_zip(y.b[1:3], x.b[1:3]), lambda p: p[1] - p[2])) AS d
  FROM ba x CROSS JOIN h JOIN ba y ON x.episode_index = y.episode_index AND y.frame_index = x.frame_index + h.horizon)
  SELECT horizon, count(d) AS diff_n, round(avg(d), 6) AS diff_mean, round(quantile_cont(d, 0.5), 6) AS diff_p50, round(quantile_cont(d, 0.95), 6) AS diff_p95, round(max(d), 6) AS diff_max FROM r GROUP BY 1""")
-def before_after_diff_by_horizon(spark: SparkSession, d: str) -> DataFrame:
+def before_after_diff_by_horizon(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8)) -> DataFrame:
     both = before_after(spark, d).select(E, "frame_index", F.concat(F.slice("before", 1, 3), F.slice("after", 1, 3)).alias("v"))
-    rel = R.relative_vector(R.ahead(both, "v", (1, 2, 4, 8)))
+    rel = R.relative_vector(R.ahead(both, "v", horizons))
     diff = V.norm(V.minus(F.slice("rel", 4, 3), F.slice("rel", 1, 3)))
     out = rel.select("horizon", diff.alias("x")).groupBy("horizon").agg(*A.summary(F.col("x"), "diff", ("n", "mean", "p50", "p95", "max")))
     return out.select("horizon", "diff_n", *[r6(f"diff_{k}").alias(f"diff_{k}") for k in ("mean", "p50", "p95", "max")])
@@ -187,36 +198,36 @@ REL = f"""{VF}, h AS (SELECT CAST(unnest([1, 2, 4, 8, 16]) AS INTEGER) AS horizo
  c AS (SELECT l.*, q01, q99, 2 * (value - q01) / greatest(q99 - q01, 1e-8) - 1 AS norm FROM l JOIN b USING (horizon, dim))"""
 
 
-def _hand_relative(spark: SparkSession, d: str) -> DataFrame:
+def _hand_relative(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
     hand = vector_frames(spark, d).select(E, "frame_index", F.slice("action", 10, 10).alias("hand"))
-    return R.relative_vector(R.ahead(hand, "hand", (1, 2, 4, 8, 16)))
+    return R.relative_vector(R.ahead(hand, "hand", horizons))
 
 
 @query("relative_horizon_stats", f"""WITH {REL}, n AS (SELECT horizon, sqrt(list_sum(list_transform(rel, lambda x: x * x))) AS x FROM r)
  SELECT horizon, count(x) AS rel_n, round(avg(x), 6) AS rel_mean, round(quantile_cont(x, 0.5), 6) AS rel_p50, round(quantile_cont(x, 0.95), 6) AS rel_p95, round(quantile_cont(x, 0.99), 6) AS rel_p99, round(max(x), 6) AS rel_max FROM n GROUP BY 1""")
-def relative_horizon_stats(spark: SparkSession, d: str) -> DataFrame:
-    out = _hand_relative(spark, d).groupBy("horizon").agg(*A.summary(V.norm(F.col("rel")), "rel", ("n", "mean", "p50", "p95", "p99", "max")))
+def relative_horizon_stats(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
+    out = _hand_relative(spark, d, horizons).groupBy("horizon").agg(*A.summary(V.norm(F.col("rel")), "rel", ("n", "mean", "p50", "p95", "p99", "max")))
     return out.select("horizon", "rel_n", *[r6(f"rel_{k}").alias(f"rel_{k}") for k in ("mean", "p50", "p95", "p99", "max")])
 
 
 @query("clip_ratio", f"WITH {REL} SELECT episode_index, horizon, CAST(sum(CASE WHEN abs(norm) > 1 THEN 1 ELSE 0 END) AS BIGINT) AS clipped, count(*) AS values, round(avg(CASE WHEN abs(norm) > 1 THEN 1.0::DOUBLE ELSE 0 END), 6) AS ratio FROM c GROUP BY 1, 2")
-def clip_ratio(spark: SparkSession, d: str) -> DataFrame:
-    rel = _hand_relative(spark, d)
+def clip_ratio(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
+    rel = _hand_relative(spark, d, horizons)
     return R.clip_ratio(R.against_bounds(rel, R.bounds(rel)), (E, "horizon")).select(E, "horizon", "clipped", "values", r6("ratio").alias("ratio"))
 
 
 @query("clipped_rows", f"""WITH {REL} SELECT episode_index, frame_index AS start, horizon, dim, CASE WHEN norm < -1 THEN 'low' ELSE 'high' END AS side, round(value, 6) AS value,
  round(CASE WHEN norm < -1 THEN q01 - value ELSE value - q99 END, 6) AS excess FROM c WHERE abs(norm) > 1""")
-def clipped_rows(spark: SparkSession, d: str) -> DataFrame:
-    rel = _hand_relative(spark, d)
+def clipped_rows(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
+    rel = _hand_relative(spark, d, horizons)
     out = R.clipped_rows(R.against_bounds(rel, R.bounds(rel)))
     return out.select(E, F.col("frame_index").alias("start"), "horizon", "dim", "side", r6("value").alias("value"), r6("excess").alias("excess"))
 
 
 @query("clipped_by_group_side", f"""WITH {REL}, s AS (SELECT CASE WHEN dim < 5 THEN 'thumb_index' ELSE 'other' END AS action_group, norm FROM c WHERE abs(norm) > 1)
  SELECT action_group, count(*) FILTER (norm > 1) AS high, count(*) FILTER (norm < -1) AS low FROM s GROUP BY 1""")
-def clipped_by_group_side(spark: SparkSession, d: str) -> DataFrame:
-    rel = _hand_relative(spark, d)
+def clipped_by_group_side(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
+    rel = _hand_relative(spark, d, horizons)
     rows = R.clipped_rows(R.against_bounds(rel, R.bounds(rel)))
     return rows.groupBy(F.when(F.col("dim") < 5, "thumb_index").otherwise("other").alias("action_group")).pivot("side", ["high", "low"]).agg(F.count(F.lit(1))).na.fill(0)
 
@@ -255,12 +266,22 @@ def quat_to_rot6d(spark: SparkSession, d: str) -> DataFrame:
 @query("relative_pose_by_horizon", f"""WITH {VF}, {GS}, p AS (SELECT m.*, vf.state[8:10] AS p FROM m JOIN vf USING (episode_index, frame_index)), h AS (SELECT CAST(unnest([1, 4]) AS INTEGER) AS horizon),
  j AS (SELECT h.horizon, a.x, a.y, a.z, list_transform(list_zip(b.p, a.p), lambda q: q[1] - q[2]) AS d, list_dot_product(a.x, b.x) + list_dot_product(a.y, b.y) + list_dot_product(a.z, b.z) AS t FROM p a CROSS JOIN h JOIN p b ON a.episode_index = b.episode_index AND b.frame_index = a.frame_index + h.horizon)
  SELECT horizon, round(avg(x[1] * d[1] + y[1] * d[2] + z[1] * d[3]), 6) AS forward_mean, round(max(sqrt(list_dot_product(d, d))), 6) AS move_max, round(avg(degrees(acos(greatest(-1.0::DOUBLE, least(1.0::DOUBLE, (t - 1) / 2))))), 5) AS degrees_mean FROM j GROUP BY 1""")
-def relative_pose_by_horizon(spark: SparkSession, d: str) -> DataFrame:
+def relative_pose_by_horizon(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 4)) -> DataFrame:
     eef = vector_frames(spark, d).select(E, "frame_index", F.slice("state", 8, 9).alias("eef"))
-    rel = R.ahead(eef, "eef", (1, 4)).select("horizon", R.relative_pose(F.col("now"), F.col("then")).alias("p"))
+    rel = R.ahead(eef, "eef", horizons).select("horizon", R.relative_pose(F.col("now"), F.col("then")).alias("p"))
     return rel.groupBy("horizon").agg(r6(F.avg(F.col("p.move")[0])).alias("forward_mean"), r6(F.max(V.norm(F.col("p.move")))).alias("move_max"), F.round(F.avg("p.degrees"), 5).alias("degrees_mean"))
 
 
+def _register_all_horizons() -> None:
+    """Each horizon query again as NAME_all_horizons, over HORIZONS in code and SQL."""
+    shorter = {relative_horizon_stats: "[1, 2, 4, 8, 16]", clip_ratio: "[1, 2, 4, 8, 16]", clipped_rows: "[1, 2, 4, 8, 16]", clipped_by_group_side: "[1, 2, 4, 8, 16]", before_after_diff_by_horizon: "[1, 2, 4, 8]", relative_pose_by_horizon: "[1, 4]"}
+    for f, old in shorter.items():
+        query(f"{f.__name__}_all_horizons", _all_horizons(sql_of(f.__name__), old))(functools.partial(f, horizons=HORIZONS))
+
+
+_register_all_horizons()
+
+
 def _savgol_sql() -> str:
     weights = [[16 / 21, 5 / 14, 1 / 14, -2 / 21, -1 / 7, -1 / 14, 5 / 42], [5 / 14, 2 / 7, 3 / 14, 1 / 7, 1 / 14, 0.0, -1 / 14], [1 / 14, 3 / 14, 2 / 7, 2 / 7, 3 / 14, 1 / 14, -1 / 7], [-2 / 21, 3 / 21, 6 / 21, 7 / 21, 6 / 21, 3 / 21, -2 / 21]]
     weights += [list(reversed(r)) for r in reversed(weights[:3])]

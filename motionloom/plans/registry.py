@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def sql_of(name: str) -> str:
+    """The SQL of a query that is registered already."""
+    return _sql[name]
+
+
 def _load() -> None:
     for m in MODULES:
         importlib.import_module(f"motionloom.plans.{m}")
