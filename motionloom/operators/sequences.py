@@ -52,7 +52,7 @@ def lag_by_correlation(frames: DataFrame, a: Column, b: Column, lags: int = 20,
     return each.groupBy(episode).agg(F.max_by("lag", F.struct(F.round("corr", 9), -F.col("lag"))).alias("lag"), F.max("corr").alias("corr"))
 
 
-def lag_by_rmse(frames: DataFrame, a: Column, b: Column, lags: int = 10, least: int = 2, episode: str = EPISODE) -> DataFrame:
+def lag_by_rmse(frames: DataFrame, a: Column, b: Column, lags: int = 20, least: int = 2, episode: str = EPISODE) -> DataFrame:
     """Episode, lag, rmse over all components of two vectors: the smallest error; the smallest lag on ties."""
     pairs = shifted(frames, a, b, lags, episode)
     sq = F.aggregate(minus(F.col("a"), F.col("b")), F.lit(0.0), lambda s, x: s + x * x)

@@ -94,6 +94,12 @@ def lag_by_rmse(spark: SparkSession, d: str) -> DataFrame:
     return Q.lag_by_rmse(vector_frames(spark, d), _xyz("action"), _xyz("state", 7), 5).select(E, "lag", r6("rmse").alias("rmse"))
 
 
+@query("lag_by_rmse_20", sql_of("lag_by_rmse").replace("range(-5, 6)", "range(-20, 21)"))
+def lag_by_rmse_20(spark: SparkSession, d: str) -> DataFrame:
+    """lag_by_rmse over the reference's lags; the SQL of lag_by_rmse stops at 5."""
+    return Q.lag_by_rmse(vector_frames(spark, d), _xyz("action"), _xyz("state", 7)).select(E, "lag", r6("rmse").alias("rmse"))
+
+
 @query("longest_run_closing", f"""WITH {SFR}, m AS (SELECT episode_index, frame_index, value - lag(value) OVER (PARTITION BY episode_index ORDER BY frame_index) AS v FROM sfr),
  q AS (SELECT episode_index, greatest(1e-6, quantile_cont(abs(v), 0.75)) AS lim FROM m GROUP BY 1),
  f AS (SELECT m.episode_index, m.frame_index, coalesce(m.v > q.lim, false) AS c FROM m JOIN q USING (episode_index)),

@@ -30,3 +30,9 @@ def test_all_horizons(spark, folder, name):
     same(got, connect(folder).sql(SQL[name]).df())
     if "horizon" in got:
         assert set(got.horizon) == {1, 2, 4, 8, 16, 32} == set(kinematics.HORIZONS)
+
+
+def test_lag_of_twelve_frames(spark, folder):
+    got = QUERIES["lag_by_rmse_20"](spark, folder).toPandas()
+    same(got, connect(folder).sql(SQL["lag_by_rmse_20"]).df())
+    assert set(got.lag) == {12} and got.rmse.max() < 1e-5
