@@ -303,6 +303,22 @@ def savgol_smooth(spark: SparkSession, d: str) -> DataFrame:
     return s.where("n >= 7").select(E, "frame_index", r6("smooth").alias("smooth"))
 
 
+def _savgol_short_sql() -> str:
+    """The episodes that savgol_smooth's SQL leaves out: window 5 for 5 and 6 frames, unchanged below."""
+    weights = [[31 / 35, 9 / 35, -3 / 35, -5 / 35, 3 / 35], [9 / 35, 13 / 35, 12 / 35, 6 / 35, -5 / 35], [-3 / 35, 12 / 35, 17 / 35, 12 / 35, -3 / 35]]
+    weights += [list(reversed(r)) for r in reversed(weights[:2])]
+    lists = ", ".join("[" + ", ".join(f"CAST({x!r} AS DOUBLE)" for x in r) + "]" for r in weights)
+    return f""" UNION ALL SELECT episode_index, frame_index, round(list_dot_product(v[b + 1 : b + 5], ([{lists}])[frame_index - b + 1]), 6)
+ FROM (SELECT s.episode_index, s.frame_index, a.v, CAST(greatest(0, least(s.frame_index - 2, a.n - 5)) AS BIGINT) AS b FROM sfr s JOIN a USING (episode_index) WHERE a.n IN (5, 6))
+ UNION ALL SELECT s.episode_index, s.frame_index, round(s.value, 6) FROM sfr s JOIN a USING (episode_index) WHERE a.n < 5"""
+
+
+@query("savgol_smooth_every_episode", _savgol_sql() + _savgol_short_sql())
+def savgol_smooth_every_episode(spark: SparkSession, d: str) -> DataFrame:
+    """savgol_smooth without its limit to 7 frames and more."""
+    return Q.savgol(scalar_frames(spark, d), "value", "smooth").select(E, "frame_index", r6("smooth").alias("smooth"))
+
+
 @query("first_mean_vs_max", f"""WITH {SFR} SELECT episode_index, round(avg(CASE WHEN frame_index < 10 THEN value END), 6) AS first_mean, round(max(value), 6) AS max_value, arg_max(frame_index, (value, -frame_index)) AS max_frame FROM sfr GROUP BY 1""")
 def first_mean_vs_max(spark: SparkSession, d: str) -> DataFrame:
     s = scalar_frames(spark, d)

@@ -36,3 +36,9 @@ def test_lag_of_twelve_frames(spark, folder):
     got = QUERIES["lag_by_rmse_20"](spark, folder).toPandas()
     same(got, connect(folder).sql(SQL["lag_by_rmse_20"]).df())
     assert set(got.lag) == {12} and got.rmse.max() < 1e-5
+
+
+def test_savgol_keeps_short_episodes(spark, folder):
+    got = QUERIES["savgol_smooth_every_episode"](spark, folder).toPandas()
+    same(got, connect(folder).sql(SQL["savgol_smooth_every_episode"]).df())
+    assert len(got) == 45 and len(QUERIES["savgol_smooth"](spark, folder).toPandas()) == 24
