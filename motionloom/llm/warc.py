@@ -33,7 +33,7 @@ from motionloom.llm.common import AtomicFile, apart, fresh_dir, table, text_slic
 from motionloom.llm.common import file_system as _file_system
 
 LEAST_REVISIT = 100
-FRAME_BYTES, FILE_BYTES = 256 << 10, 1 << 30
+FRAME_BYTES, FILE_BYTES = 256 << 10, 128 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
@@ -172,6 +172,12 @@ def write(pages: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES, file_by
     return pages.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
 
+def one_each(index: DataFrame) -> DataFrame:
+    """The files of an index, a partition for each, so that as many tasks can read as there are files."""
+    files = index.select("file").distinct()
+    return files.repartitionByRange(max(1, files.count()), "file")
+
+
 def read(files: DataFrame) -> DataFrame:
     """Archives (column file) -> one row per record: page_id, url, record_type, refers_to, payload_digest, payload_bytes,
     payload (null for revisits). The digest of a response is that of the payload as read."""
@@ -204,8 +210,7 @@ def read_record(file: str, frame: int, frame_offset: int) -> tuple[dict[str, str
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write(with_types(table(spark, sf_dir, "pages")), fresh_dir(spark, "warc"))
-    files = index.select("file").distinct()
-    return read(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read(one_each(index)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 SQL = f"""
