@@ -13,8 +13,10 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -53,18 +55,28 @@ BYTE_SPLIT = (
 class Bpe:
     """A vocabulary file, loaded once per process by `bpe()`."""
 
-    def __init__(self, path: str, library: bool = False, cache_pieces: int = 400_000):
-        """library: new pieces go to the tokenizers library's own model, not to the pair occurrence index."""
+    def __init__(self, path: str, library: bool = False, cache_bytes: int = 2 << 20):
+        """library: new pieces go to the tokenizers library's own model, not to the pair occurrence index, whose tables are then
+        not built. cache_bytes: bound on the cached pieces' characters (about 250,000 pieces); beyond it they are forgotten."""
         self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.vocab, self.suffix, self.cache_pieces = model["vocab"], model["end_of_word_suffix"] or "", cache_pieces
+        self.vocab, self.suffix, self.cache_bytes = model["vocab"], model["end_of_word_suffix"] or "", cache_bytes
         self.lower = spec["normalizer"] is not None
         self.split = WORD_SPLIT if self.suffix else BYTE_SPLIT
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         chars = byte_chars()
+        self.shown = dict(enumerate(chars))
+        self.cached: dict[bytes | str, bytes] = {}
+        self.held = 0
+        self.library = self.newest = None
+        if library:
+            from tokenizers import Tokenizer
+
+            self.library, self.vocab = Tokenizer.from_file(path), None
+            return
         self.start = np.array([self.vocab[c] for c in chars])
         self.last = np.array([self.vocab[c + self.suffix] for c in chars])
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
@@ -74,17 +86,6 @@ class Bpe:
         order = np.argsort(code, kind="stable")
         self.codes, self.code_ranks = code[order], order
         self.rank_of = {int(c): r for r, c in reversed(list(enumerate(code)))}
-        self.strings: list[str] = [""] * (1 + max(*self.vocab.values(), *self.special.values()))
-        for s, i in [*self.vocab.items(), *self.special.items()]:
-            self.strings[i] = s
-        back = {c: b for b, c in enumerate(chars)}
-        self.token_bytes = [bytes(map(back.__getitem__, s)) if all(c in back for c in s) else s.encode() for s in self.strings]
-        self.library = self.newest = None
-        if library:
-            from tokenizers import Tokenizer
-
-            self.library = Tokenizer.from_file(path)
-        self.cached: dict[bytes | str, bytes] = {}
 
     # encoding
 
@@ -202,8 +203,8 @@ class Bpe:
 
     def encode_slice(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers. Special tokens in a text count as such."""
-        if len(self.cached) > self.cache_pieces:
-            self.cached = {}
+        if self.held > self.cache_bytes:
+            self.cached, self.held = {}, 0
         parts, new = [list(self._parts(t)) for t in texts], set()
         for own in parts:
             for x in own:
@@ -211,19 +212,33 @@ class Bpe:
                     new.update(set(x).difference(self.cached))
         if new:
             pieces = list(new)
+            self.held += sum(map(len, pieces))
             raw = [p.decode("latin-1").encode() if type(p) is bytes else p.encode() for p in pieces]
             if self.library:
-                tokenize, chars = self.library.model.tokenize, byte_chars()
-                ids = ([t.id for t in tokenize("".join(map(chars.__getitem__, b)))] for b in raw)
+                tokenize = self.library.model.tokenize
+                ids = (struct.pack(f"<{len(x)}I", *[t.id for t in x]) for x in (tokenize(b.decode("latin-1").translate(self.shown)) for b in raw))
             else:
-                ids = self.encode_pieces(raw)
-            self.cached.update((p, np.asarray(x, "<u4").tobytes()) for p, x in zip(pieces, ids, strict=True))
+                ids = (x.astype("<u4").tobytes() for x in self.encode_pieces(raw))
+            self.cached.update(zip(pieces, ids, strict=True))
         get = self.cached.__getitem__
         for own in parts:
             yield b"".join([b"".join(map(get, x)) if type(x) is list else x.to_bytes(4, "little") for x in own])
 
     # decoding
 
+    @cached_property
+    def strings(self) -> list[str]:
+        known = [*(self.vocab or self.library.get_vocab(False)).items(), *self.special.items()]
+        out = [""] * (1 + max(i for _, i in known))
+        for s, i in known:
+            out[i] = s
+        return out
+
+    @cached_property
+    def token_bytes(self) -> list[bytes]:
+        back = {c: b for b, c in enumerate(byte_chars())}
+        return [bytes(map(back.__getitem__, s)) if all(c in back for c in s) else s.encode() for s in self.strings]
+
     def decode(self, ids: bytes) -> bytes:
         """Ids as from encode_slice -> the library's decoded text in UTF-8."""
         if self.suffix:  # no decoder in the file: tokens with a space between them

@@ -1,13 +1,24 @@
 """Token-id files: an adaptive context-mixing range coder in independently reset, checksummed blocks.
 
-A block is up to BLOCK ids. Its coder starts from nothing: an order-2 table (hash of the two ids before) and an order-1
-table (the id before) each predict one id with a confidence. The first decision, "the order-2 id", "the order-1 id" or
-"another", is coded with the mean of three adaptive estimates, in the context of either confidence and of neither. Any
-other id is coded by order 0 as four nibbles, each with an adaptive distribution in the context of the nibbles before it.
-The blocks of a batch are coded side by side, one id of each a step, so every step is a handful of array operations.
-
-File: MAGIC; the blocks' payloads (16-bit words); a footer with per block (ids, bytes, crc32 of its ids) and per document
-(id, ids); the footer's length, crc32 and MAGIC again. A block can be read alone.
+Model. A block is up to BLOCK ids, and its coder starts from nothing. Order 2 predicts the id that last followed the two
+ids before (by a 16-bit hash), order 1 the id that last followed the id before, order 0 a distribution over all ids. The
+mixture gives the order-2 id the weight w2, the order-1 id w1 and the order-0 distribution w0; the weights are counts of
+which order was right lately, in the context of which orders were right at the two places before, and old successes fade.
+Order 0 weighs ids by their counts in the part of the block's order-0 ids that is already coded (renewed whenever that
+part doubles); ids that are new get the share that ids seen once have, by 64 classes of 1024 ids and evenly inside those.
+
+Coder. Range coding with 48-bit ranges and 16-bit words. A block's ids are dealt to up to STREAMS streams, each a coder of
+its own, which share the block's model. First the orders of all places are coded, then the order-0 ids; neither needs the
+ids of the other places, so that all streams of many blocks move side by side, an array operation at a time. The decoder
+then replays the predictions, again over many blocks at once.
+
+File: MAGIC; the blocks' payloads (words of each stream, then the words); a footer with per block (ids, bytes, crc32 of its
+ids) and per document (id, ids); the footer's length, crc32 and MAGIC again. A block can be read alone.
+
+Defined results: null text is empty and has the end id alone; rows without id come first; rows that share an id are
+ordered by a hash of the text and then the text, so equal ids give the same files whenever a task is repeated; repeated
+rows repeat. An empty table gives no file and an empty result. Texts of any length are coded whole, across blocks. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,184 +36,317 @@ from pyspark.sql import functions as F
 from motionloom.llm.bpe import BYTE_BPE, bpe, vocabulary_path
 from motionloom.llm.common import AtomicFile, file_system, fresh_dir, table, text_slices
 
-MAGIC = b"MLTOKEN1"
-BLOCK, LANES = 4096, 1024
-SLOTS, TAIL, UNIT = 2048, 512, 1 << 15
-NEXT = np.arange(1, 17)
-
-
-class Model:
-    """The tables of a batch of blocks, one lane each."""
-
-    def __init__(self, lanes: int):
-        self.lanes = lanes
-        self.ids = [np.full(lanes * SLOTS, -1, np.int32), np.full(lanes * SLOTS, -1, np.int32)]  # order 2, order 1
-        self.sure = [np.zeros(lanes * SLOTS, np.uint8), np.zeros(lanes * SLOTS, np.uint8)]
-        start = np.array([UNIT // 16, UNIT // 8], np.int32)
-        self.first = [np.tile(start, (lanes * 8, 1)), np.tile(start, (lanes * 8, 1)), np.tile(start, (lanes, 1))]
-        flat = (NEXT * (UNIT // 16)).astype(np.int32)
-        self.nibbles = [np.tile(flat, (lanes * k, 1)) for k in (1, 16, 256, TAIL)]
-        self.lane = np.arange(lanes)
-        self.a = np.zeros(lanes, np.int64)
-        self.b = np.zeros(lanes, np.int64)
-
-    def predict(self, n: int) -> None:
-        a, b, lane = self.a[:n], self.b[:n], self.lane[:n]
-        self.at = [lane * SLOTS + ((a * 40503 + b * 30011) >> 4) % SLOTS, lane * SLOTS + b % SLOTS]
-        self.guess = [t[i] for t, i in zip(self.ids, self.at, strict=True)]
-        self.conf = [t[i] for t, i in zip(self.sure, self.at, strict=True)]
-        self.rows = [lane * 8 + self.conf[0], lane * 8 + self.conf[1], lane]
-        self.each = [t[i] for t, i in zip(self.first, self.rows, strict=True)]
-        mixed = (self.each[0] + self.each[0] + self.each[1] + self.each[2]) >> 2
-        self.p2, self.p1 = mixed[:, 0].astype(np.int64), mixed[:, 1].astype(np.int64)
-
-    def learn(self, n: int, ids: np.ndarray, kind: np.ndarray) -> None:
-        """kind: 0 the order-2 id, 1 the order-1 id, 2 another."""
-        goal = np.empty((n, 2), np.int32)
-        goal[:, 0] = np.where(kind == 0, UNIT - 48, 16)
-        goal[:, 1] = np.where(kind < 2, UNIT - 24, 40)
-        for t, i, own in zip(self.first, self.rows, self.each, strict=True):
-            own += (goal - own) >> 4
-            t[i] = own
-        for t, s, i, guess, conf in zip(self.ids, self.sure, self.at, self.guess, self.conf, strict=True):
-            hit = guess == ids
-            s[i] = np.where(hit, np.minimum(conf + 1, 7), conf >> 1)
-            t[i] = np.where(hit | (conf >= 2), guess, ids)
-        self.a[:n] = self.b[:n]
-        self.b[:n] = ids
-
-    def context(self, depth: int, lanes: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-        size = (1, 16, 256, TAIL)[depth]
-        return lanes * size + (prefix if depth < 3 else prefix * 37 % TAIL)
-
-    def move(self, depth: int, rows: np.ndarray, dist: np.ndarray, nibble: np.ndarray) -> None:
-        """dist: ends of the 16 intervals; every one keeps at least 1."""
-        goal = np.where(NEXT[None, :] > nibble[:, None], UNIT - 16 * 8 + NEXT[None, :] * 8, NEXT[None, :] * 8)
-        dist += ((goal - dist) >> 4).astype(np.int32)
-        dist[:, 15] = UNIT
-        self.nibbles[depth][rows] = dist
+MAGIC = b"MLTOKEN2"
+BLOCK, STREAMS, LEAST_STREAM = 1 << 15, 32, 1024
+#: Blocks whose streams are coded side by side, and blocks whose predictions are replayed side by side.
+CODED, REPLAYED = 32, 128
+BITS = 15
+UNIT = 1 << BITS
+CLASSES, RAW_BITS = 64, 10
+FIRST_PART, RENEW, RECENT = 256, 4, 1024
+M2, M1 = np.uint16(40503), np.uint16(30011)
+
+
+def orders(ids: np.ndarray) -> np.ndarray:
+    """For each id of a block (16-bit), which order predicts it: 0 order 2, 1 order 1, 2 neither."""
+    b = np.concatenate((np.zeros(1, np.uint16), ids[:-1]))
+    a = np.concatenate((np.zeros(1, np.uint16), b[:-1]))
+    out = np.full(len(ids), 2, np.uint8)
+    for order, key in ((1, b), (0, a * M2 + b * M1)):
+        at = np.argsort(key, kind="stable")
+        again = np.flatnonzero(key[at[1:]] == key[at[:-1]])
+        right = ids[at[again + 1]] == ids[at[again]]
+        out[at[again[right] + 1]] = order
+    return out
+
+
+class Streams:
+    """How the ids of a batch of blocks are dealt to streams: stream j of a block has its j-th stretch of places, and every
+    STREAMS-th of the order-0 ids of a part."""
+
+    def __init__(self, sizes: np.ndarray):
+        self.sizes = sizes
+        self.per = np.clip(sizes // LEAST_STREAM, 1, STREAMS)
+        self.block = np.repeat(np.arange(len(sizes)), self.per)
+        self.n = len(self.block)
+        self.j = np.arange(self.n) - np.repeat(np.cumsum(self.per) - self.per, self.per)
+        width = -(-sizes // self.per)
+        begin = self.j * width[self.block]
+        self.length = np.clip(sizes[self.block] - begin, 0, width[self.block])
+        self.begin = (np.cumsum(sizes) - sizes)[self.block] + begin
+
+    def places(self) -> Iterator[tuple[slice | np.ndarray, np.ndarray]]:
+        """Step by step: the streams that take part, and their places."""
+        full = int(self.length.min(initial=0)) if self.n else 0
+        for t in range(int(self.length.max(initial=0))):
+            who = slice(None) if t < full else np.flatnonzero(self.length > t)
+            yield who, self.begin[who] + t
+
+    def part(self, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """A part with counts[block] order-0 ids: the streams that take part in a step, and the numbers of their ids."""
+        per, own, counts = self.per[self.block], self.j.copy(), counts[self.block]
+        for _ in range(int((-(-counts // per)).max(initial=0))):
+            who = np.flatnonzero(own < counts)
+            yield who, own[who]
+            own += per
+
+
+class Encoder:
+    def __init__(self, streams: int):
+        self.low, self.span = np.zeros(streams, np.int64), np.full(streams, 1 << 48, np.int64)
+        self.number = np.arange(streams, dtype=np.int32)
+        self.who: list[np.ndarray] = []
+        self.words: list[np.ndarray] = []
+
+    def put(self, who, start: np.ndarray, freq: np.ndarray) -> None:
+        r = self.span[who] >> BITS
+        low = self.low[who] + r * start
+        span = r * freq
+        small = np.flatnonzero(span < 1 << 32)
+        if len(small):
+            out = low[small]
+            self.who.append(self.number[who][small])
+            self.words.append((out >> 32).astype(np.int32))  # bit 16: a carry into the word before
+            low[small] = (out & 0xFFFFFFFF) << 16
+            span[small] <<= 16
+        self.low[who], self.span[who] = low, span
+
+    def close(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words, stream by stream, and the number of each stream's words. The reader takes zeros beyond a stream's end."""
+        self.who.append(self.number)
+        self.words.append(((self.low + 0xFFFFFFFF) >> 32).astype(np.int32))
+        who, word = np.concatenate(self.who), np.concatenate(self.words)
+        word = word[np.argsort(who, kind="stable")]
+        while len(over := np.flatnonzero(word >> 16)):
+            carry = word[over] >> 16
+            word[over] &= 0xFFFF
+            word[over - 1] += carry
+        return word.astype("<u2"), np.bincount(who, minlength=len(self.number))
+
+
+class Decoder:
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        """words, counts: as from Encoder.close()."""
+        ends = np.cumsum(counts + 3)
+        self.data = np.zeros(int(ends[-1]) + 1, np.int64)
+        self.data[np.arange(len(words)) + np.repeat(3 * np.arange(len(counts)), counts)] = words
+        self.at = ends - counts - 3
+        self.code = self.data[self.at] << 32 | self.data[self.at + 1] << 16 | self.data[self.at + 2]
+        self.at += 3
+        self.span = np.full(len(counts), 1 << 48, np.int64)
+
+    def value(self, who) -> np.ndarray:
+        self.r = self.span[who] >> BITS
+        return np.minimum(self.code[who] // self.r, UNIT - 1)
+
+    def take(self, who, start: np.ndarray, freq: np.ndarray) -> None:
+        code = self.code[who] - self.r * start
+        span = self.r * freq
+        small = np.flatnonzero(span < 1 << 32)
+        if len(small):
+            at = self.at[who][small]
+            code[small] = code[small] << 16 | self.data[np.minimum(at, len(self.data) - 1)]  # a damaged block may ask for more
+            span[small] <<= 16
+            at += 1
+            if isinstance(who, slice):
+                self.at[small] = at
+            else:
+                self.at[who[small]] = at
+        self.code[who], self.span[who] = code, span
+
+
+class Mixture:
+    """The weights of the three orders: per block and context (the orders right at the two places before in the stream)."""
+
+    def __init__(self, streams: Streams):
+        self.counts = np.ones((len(streams.sizes) * 9, 3), np.int64)
+        self.base = streams.block * 9
+        self.last = np.full(streams.n, 8, np.int64)
+        self.held: list[np.ndarray] = []
+        self.renew()
+
+    def renew(self) -> None:
+        if self.held:
+            self.counts += np.bincount(np.concatenate(self.held), minlength=self.counts.size).reshape(-1, 3)
+            self.held = []
+        total = self.counts.sum(axis=1)
+        old = total > RECENT
+        self.counts[old] = (self.counts[old] + 1) >> 1
+        total = self.counts.sum(axis=1)
+        freq = 1 + self.counts * (UNIT - 3) // total[:, None]
+        freq[:, 2] = UNIT - freq[:, 0] - freq[:, 1]
+        self.freq = freq.ravel()
+        self.start = (np.cumsum(freq, axis=1) - freq).ravel()
+
+    def context(self, who) -> np.ndarray:
+        return (self.base[who] + self.last[who]) * 3
+
+    def learn(self, who, context: np.ndarray, order: np.ndarray) -> None:
+        self.last[who] = self.last[who] % 3 * 3 + order
+        self.held.append(context + order)
+        if len(self.held) == RENEW:
+            self.renew()
+
+
+def distribution(before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order 0 after these order-0 ids of the block: the known ids, and the widths (sum UNIT) of these and then of the classes of new ids."""
+    times = np.bincount(before, minlength=1 << 16)
+    known = np.flatnonzero(times)
+    times = times[known]
+    n, room = len(before), UNIT - len(known) - CLASSES
+    once = max(1, int((times == 1).sum()))
+    for_known = room * (n - once + 1) // (n + 1) if n else 0
+    classes = np.bincount(known >> RAW_BITS, minlength=CLASSES) + 1
+    width = np.concatenate((times * for_known // max(1, n), classes * (room - for_known) // int(classes.sum()))) + 1
+    width[width.argmax()] += UNIT - int(width.sum())
+    return known, width
+
+
+def _parts(most: int) -> Iterator[tuple[int, int]]:
+    """Ends of the parts of order-0 ids: every part but the first two doubles what is coded."""
+    s, e = 0, FIRST_PART
+    while s < most:
+        yield s, e
+        s, e = e, 2 * e
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Blocks of ids (under 65,536), longest first -> payloads."""
-    lanes = len(blocks)
-    if not lanes:
-        return []
-    sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((int(sizes.max(initial=0)), lanes), np.int64)
-    for k, b in enumerate(blocks):
-        ids[: len(b), k] = b
-    model = Model(lanes)
-    low, span = np.zeros(lanes, np.int64), np.full(lanes, 1 << 48, np.int64)
-    who, words = [], []
-
-    def put(lane: np.ndarray, lo: np.ndarray, sp: np.ndarray, start: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        r = sp >> 15
-        lo = lo + r * start
-        sp = r * freq
-        small = np.flatnonzero(sp < 1 << 32)
-        if len(small):
-            who.append(lane[small].astype(np.int32))
-            words.append((lo[small] >> 32).astype(np.int32))  # bit 16: a carry into the word before
-            lo[small] = (lo[small] & 0xFFFFFFFF) << 16
-            sp[small] <<= 16
-        return lo, sp
-
-    active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left")
-    for t in range(len(ids)):
-        n = int(active[t])
-        now = ids[t, :n]
-        model.predict(n)
-        kind = np.where(model.guess[0] == now, 0, np.where(model.guess[1] == now, 1, 2))
-        start = np.where(kind == 0, 0, np.where(kind == 1, model.p2, model.p1))
-        end = np.where(kind == 0, model.p2, np.where(kind == 1, model.p1, UNIT))
-        low[:n], span[:n] = put(model.lane[:n], low[:n], span[:n], start, end - start)
-        miss = np.flatnonzero(kind == 2)
-        if len(miss):
-            value, lo, sp, prefix = now[miss], low[miss], span[miss], np.zeros(len(miss), np.int64)
-            own = np.arange(len(miss))
-            for depth in range(4):
-                nibble = value >> 12 - 4 * depth & 15
-                rows = model.context(depth, miss, prefix)
-                dist = model.nibbles[depth][rows]
-                end = dist[own, nibble].astype(np.int64)
-                start = np.where(nibble > 0, dist[own, nibble - 1], 0).astype(np.int64)
-                lo, sp = put(miss, lo, sp, start, end - start)
-                model.move(depth, rows, dist, nibble)
-                prefix = prefix << 4 | nibble
-            low[miss], span[miss] = lo, sp
-        model.learn(n, now, kind)
-    for shift in (32, 16, 0):  # flush 48 bits
-        who.append(model.lane.astype(np.int32))
-        words.append(((low >> shift) & (0x1FFFF if shift == 32 else 0xFFFF)).astype(np.int32))
-    lane, word = np.concatenate(who), np.concatenate(words).astype(np.int64)
-    order = np.argsort(lane, kind="stable")
-    lane, word = lane[order], word[order]
-    while len(over := np.flatnonzero(word >> 16)):
-        carry = word[over] >> 16
-        word[over] &= 0xFFFF
-        word[over - 1] += carry
-    ends = np.cumsum(np.bincount(lane, minlength=lanes))
-    return [x.astype("<u2").tobytes() for x in np.split(word, ends[:-1])]
+    """Blocks of ids (under 65,536) -> payloads."""
+    return [p for s in range(0, len(blocks), CODED) for p in _encode(blocks[s : s + CODED])]
+
+
+def _encode(blocks: list[np.ndarray]) -> list[bytes]:
+    blocks = [np.asarray(b).astype(np.uint16) for b in blocks]
+    streams = Streams(np.array([len(b) for b in blocks]))
+    coder, mix = Encoder(streams.n), Mixture(streams)
+    order_of = [orders(b) for b in blocks]
+    order = np.concatenate(order_of)
+    for who, at in streams.places():
+        own = order[at]
+        c = mix.context(who)
+        coder.put(who, mix.start[c + own], mix.freq[c + own])
+        mix.learn(who, c, own)
+    rest = [b[o == 2] for b, o in zip(blocks, order_of, strict=True)]
+    sizes = np.array([len(x) for x in rest])
+    where = np.zeros(1 << 16, np.int64)
+    for s, e in _parts(int(sizes.max(initial=0))):
+        starts, freqs, raws = [], [], []
+        for x in rest:
+            now = x[s:e]
+            if len(now):
+                known, width = distribution(x[:s])
+                where[known] = np.arange(len(known))
+                at = where[now]
+                new = at >= len(known)
+                new[~new] = known[at[~new]] != now[~new]
+                at = np.where(new, len(known) + (now >> RAW_BITS), at)
+                starts.append((np.cumsum(width) - width)[at])
+                freqs.append(width[at])
+                raws.append(np.where(new, (now & (1 << RAW_BITS) - 1).astype(np.int64), -1))
+        counts = np.clip(sizes - s, 0, e - s)
+        start, freq, raw, base = np.concatenate(starts), np.concatenate(freqs), np.concatenate(raws), (np.cumsum(counts) - counts)[streams.block]
+        for who, k in streams.part(counts):
+            at = base[who] + k
+            coder.put(who, start[at], freq[at])
+            low = raw[at]
+            if len(new := np.flatnonzero(low >= 0)):
+                coder.put(who[new], low[new] << BITS - RAW_BITS, np.int64(1 << BITS - RAW_BITS))
+    words, counts = coder.close()
+    out, w, c = [], 0, 0
+    for per in streams.per.tolist():
+        n = int(counts[c : c + per].sum())
+        out.append(counts[c : c + per].astype("<u2").tobytes() + words[w : w + n].tobytes())
+        w, c = w + n, c + per
+    return out
 
 
 def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """Payloads of blocks, longest first, and their numbers of ids -> ids."""
-    lanes = len(payloads)
-    if not lanes:
-        return []
-    size = np.array(sizes)
-    out = np.zeros((int(size.max(initial=0)), lanes), np.int64)
-    model = Model(lanes)
-    data = np.frombuffer(b"".join(payloads) + bytes(8), "<u2").astype(np.int64)
-    lengths = np.array([len(p) // 2 for p in payloads])
-    at = np.cumsum(lengths) - lengths
-    code = data[at] << 32 | data[at + 1] << 16 | data[at + 2]
-    at += 3
-    span = np.full(lanes, 1 << 48, np.int64)
-
-    def take(lane: np.ndarray, co: np.ndarray, sp: np.ndarray, r: np.ndarray, start: np.ndarray, freq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        co = co - r * start
-        sp = r * freq
-        small = np.flatnonzero(sp < 1 << 32)
-        if len(small):
-            own = lane[small]
-            co[small] = co[small] << 16 | data[np.minimum(at[own], len(data) - 1)]  # a damaged block may ask for more
-            sp[small] <<= 16
-            at[own] += 1
-        return co, sp
-
-    active = np.searchsorted(-size, -np.arange(len(out)), side="left")
-    for t in range(len(out)):
-        n = int(active[t])
-        model.predict(n)
-        r = span[:n] >> 15
-        v = np.minimum(code[:n] // r, UNIT - 1)
-        kind = (v >= model.p2).astype(np.int64) + (v >= model.p1)
-        start = np.where(kind == 0, 0, np.where(kind == 1, model.p2, model.p1))
-        end = np.where(kind == 0, model.p2, np.where(kind == 1, model.p1, UNIT))
-        code[:n], span[:n] = take(model.lane[:n], code[:n], span[:n], r, start, end - start)
-        now = np.where(kind == 0, model.guess[0], model.guess[1]).astype(np.int64)
-        miss = np.flatnonzero(kind == 2)
-        if len(miss):
-            co, sp, prefix = code[miss], span[miss], np.zeros(len(miss), np.int64)
-            own = np.arange(len(miss))
-            for depth in range(4):
-                rows = model.context(depth, miss, prefix)
-                dist = model.nibbles[depth][rows]
-                r = sp >> 15
-                v = np.minimum(co // r, UNIT - 1)
-                nibble = (dist <= v[:, None]).sum(axis=1)
-                end = dist[own, nibble].astype(np.int64)
-                start = np.where(nibble > 0, dist[own, nibble - 1], 0).astype(np.int64)
-                co, sp = take(miss, co, sp, r, start, end - start)
-                model.move(depth, rows, dist, nibble)
-                prefix = prefix << 4 | nibble
-            code[miss], span[miss] = co, sp
-            now[miss] = prefix
+    got: list[tuple[np.ndarray, np.ndarray]] = []
+    for s in range(0, len(payloads), CODED):
+        got += _decode(payloads[s : s + CODED], np.array(sizes[s : s + CODED]))
+    return [x for s in range(0, len(got), REPLAYED) for x in _replay(got[s : s + REPLAYED])]
+
+
+def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per block: the order of each place, and the order-0 ids."""
+    streams = Streams(sizes)
+    counts = np.concatenate([np.frombuffer(p, "<u2", n) for p, n in zip(payloads, streams.per.tolist(), strict=True)]).astype(np.int64)
+    words = np.concatenate([np.frombuffer(p, "<u2", offset=2 * n) for p, n in zip(payloads, streams.per.tolist(), strict=True)])
+    if len(words) != counts.sum():
+        raise ValueError("a block is damaged")
+    coder, mix = Decoder(words, counts), Mixture(streams)
+    order = np.zeros(int(sizes.sum()), np.uint8)
+    for who, at in streams.places():
+        c = mix.context(who)
+        v = coder.value(who)
+        own = (v >= mix.start[c + 1]).astype(np.int64) + (v >= mix.start[c + 2])
+        coder.take(who, mix.start[c + own], mix.freq[c + own])
+        mix.learn(who, c, own)
+        order[at] = own
+    order_of = np.split(order, np.cumsum(sizes)[:-1])
+    left = np.array([np.count_nonzero(o == 2) for o in order_of])
+    rest = [np.zeros(n, np.uint16) for n in left]
+    for s, e in _parts(int(left.max(initial=0))):
+        counts = np.clip(left - s, 0, e - s)
+        ids, starts, widths, slots, at = [], [], [], np.zeros((len(sizes), UNIT), np.uint16), 0
+        firsts = np.zeros(len(sizes), np.int64)
+        for k, x in enumerate(rest):
+            if counts[k]:
+                known, width = distribution(x[:s])
+                firsts[k] = at
+                slots[k] = np.repeat(np.arange(len(width), dtype=np.uint16), width)
+                ids.append(np.concatenate((known.astype(np.int64), -1 - np.arange(CLASSES))))
+                starts.append(np.cumsum(width) - width)
+                widths.append(width)
+                at += len(width)
+        ids, starts, widths, slots = np.concatenate(ids), np.concatenate(starts), np.concatenate(widths), slots.ravel()
+        found = np.zeros(int(counts.sum()), np.uint16)
+        base, slot_base, first = (np.cumsum(counts) - counts)[streams.block], streams.block * UNIT, firsts[streams.block]
+        for who, k in streams.part(counts):
+            sym = first[who] + slots[slot_base[who] + coder.value(who)]
+            coder.take(who, starts[sym], widths[sym])
+            now = ids[sym]
+            if len(new := np.flatnonzero(now < 0)):
+                low = coder.value(who[new]) >> BITS - RAW_BITS
+                coder.take(who[new], low << BITS - RAW_BITS, np.int64(1 << BITS - RAW_BITS))
+                now[new] = -1 - now[new] << RAW_BITS | low
+            found[base[who] + k] = now
+        for k, part in enumerate(np.split(found, np.cumsum(counts)[:-1])):
+            rest[k][s : s + len(part)] = part
+    return list(zip(order_of, rest, strict=True))
+
+
+def _replay(blocks: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Orders and order-0 ids -> ids, blocks side by side, longest first."""
+    sizes = np.array([len(o) for o, _ in blocks])
+    n, longest = len(blocks), int(sizes.max(initial=0))
+    order = np.zeros((longest, n), np.uint8)
+    for k, (o, _) in enumerate(blocks):
+        order[: len(o), k] = o
+    rest = np.concatenate([*(x for _, x in blocks), np.zeros(1, np.uint16)])
+    each = np.array([len(x) for _, x in blocks])
+    at = np.cumsum(each) - each
+    by2, by1 = np.zeros(n << 16, np.uint16), np.zeros(n << 16, np.uint16)
+    out, ways = np.zeros((longest, n), np.uint16), np.zeros((3, n), np.uint16)
+    base, number, a, b = np.arange(n) << 16, np.arange(n), np.zeros(n, np.uint16), np.zeros(n, np.uint16)
+    active = np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()
+    for t, m in enumerate(active):
+        if m < n:
+            n = m
+            at, base, number, a, b, ways = at[:n], base[:n], number[:n], a[:n], b[:n], np.zeros((3, n), np.uint16)
+        own = order[t, :n]
+        i2, i1 = base + (a * M2 + b * M1), base + b
+        by2.take(i2, out=ways[0], mode="clip")
+        by1.take(i1, out=ways[1], mode="clip")
+        rest.take(at, out=ways[2], mode="clip")
+        now = ways.ravel().take(own * np.int64(n) + number)
+        by2[i2] = now
+        by1[i1] = now
+        at = at + (own == 2)
         out[t, :n] = now
-        model.learn(n, now, kind)
-    return [out[:s, k] for k, s in enumerate(sizes)]
+        a, b = b, now
+    return [out[:s, k] for k, s in enumerate(sizes.tolist())]
 
 
 class TokenWriter:
@@ -220,14 +364,14 @@ class TokenWriter:
         self.docs.append((doc, len(ids) // 4))
         self.held.append(ids)
         self.size += len(ids)
-        if self.size >= 4 * BLOCK * LANES:
+        if self.size >= 4 * BLOCK * REPLAYED:
             self._code(False)
 
     def _code(self, last: bool) -> None:
         ids = np.frombuffer(b"".join(self.held), "<u4")
-        most = len(ids) if last else len(ids) // (BLOCK * LANES) * BLOCK * LANES
-        for s in range(0, most, BLOCK * LANES):
-            blocks = [ids[k : min(k + BLOCK, most)] for k in range(s, min(most, s + BLOCK * LANES), BLOCK)]
+        most = len(ids) if last else len(ids) // (BLOCK * REPLAYED) * BLOCK * REPLAYED
+        for s in range(0, most, BLOCK * REPLAYED):
+            blocks = [ids[k : min(k + BLOCK, most)] for k in range(s, min(most, s + BLOCK * REPLAYED), BLOCK)]
             for b, p in zip(blocks, encode_blocks(blocks), strict=True):
                 self.file.write(p)
                 self.blocks.append((len(b), len(p), zlib.crc32(b.tobytes())))
@@ -256,8 +400,8 @@ class TokenReader:
     def ids(self) -> Iterator[np.ndarray]:
         """The blocks' ids in order, a batch of blocks at a time in memory."""
         at = len(MAGIC)
-        for s in range(0, len(self.blocks), LANES):
-            part = self.blocks[s : s + LANES]
+        for s in range(0, len(self.blocks), REPLAYED):
+            part = self.blocks[s : s + REPLAYED]
             data, payloads, k = self.file.read_at(sum(b[1] for b in part), at), [], 0
             for _, size, _ in part:
                 payloads.append(data[k : k + size])
@@ -282,7 +426,7 @@ class TokenReader:
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 5 << 20) -> DataFrame:
-    """Writes the ids of all documents, end_id after each, in ascending id order (null ids first; equal ids in any order);
+    """Writes the ids of all documents, end_id after each, in ascending id order (null ids first; equal ids by a hash of the text, then the text);
     returns the manifest: part, file, docs, tokens, one row per file, ordered by part. Files are written whole or not at
     all, under names of their own; the manifest is a table in folder that names those of committed tasks."""
     end = end_id.to_bytes(4, "little")
@@ -302,7 +446,9 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str
 
     schema = "part int, file string, docs bigint, tokens bigint"
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    src.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(run, schema).write.parquet(f"{folder}/manifest")
+    # a hash beside the id, so that one id with many texts is not all one task's
+    dealt = src.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text")
+    dealt.drop("h").mapInArrow(run, schema).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(schema).parquet(f"{folder}/manifest")
 
 
@@ -320,9 +466,10 @@ def read(manifest: DataFrame) -> DataFrame:
                     at += len(ids) // 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = manifest.withColumn("before", before).select("file", "before")
+    files = manifest.withColumn("before", before).select("part", "file", "before")
     n = max(1, manifest.count())
-    return files.repartition(n, "file").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # by range, since hashed names would give some tasks several files and others none
+    return files.repartitionByRange(n, "part").select("file", "before").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,37 @@ def test_coder_round_trip(ids):
         assert sum(map(len, coded)) < len(ids) / 2
 
 
+def test_token_files_are_smaller_than_deflate():
+    """Whole table; the plain format is 16-bit words."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").sort_by("doc_id")["text"].to_pylist()
+    tok = bpe.bpe(bpe.vocabulary_path(bpe.BYTE_BPE), library=True)
+    ids = np.frombuffer(b"".join(x + bytes(4) for s in range(0, len(texts), 200) for x in tok.encode_slice([t or "" for t in texts[s : s + 200]])), "<u4")
+    blocks = [ids[k : k + token_files.BLOCK] for k in range(0, len(ids), token_files.BLOCK)]
+    coded = token_files.encode_blocks(blocks)
+    assert sum(map(len, coded)) < len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+    back = token_files.decode_blocks(coded, [len(b) for b in blocks])
+    assert all((a == b).all() for a, b in zip(back, blocks, strict=True))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 255, 257, 1023, 1025, 5000, 40000])
+@pytest.mark.parametrize("kinds", [1, 3, 900, 65536])
+def test_coder_round_trip(n, kinds):
+    ids = np.random.default_rng(n + kinds).integers(0, kinds, n)
+    blocks = [ids[k : k + token_files.BLOCK] for k in range(0, n, token_files.BLOCK)]
+    back = token_files.decode_blocks(token_files.encode_blocks(blocks), [len(b) for b in blocks])
+    assert [b.tolist() for b in back] == [b.tolist() for b in blocks]
+
+
+def test_token_files_number_rows_of_one_id_in_the_order_of_their_texts(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(7, f"text {k}" * (k % 3)) for k in range(40)] + [(None, "none"), (9, None)], "doc_id long, text string")
+    twice = [[tuple(r) for r in token_files.read(token_files.write(rows.repartition(n).orderBy(F.rand(n)), bpe.vocabulary_path(bpe.BYTE_BPE), f"file://{tmp_path}/{n}")).orderBy("start").collect()] for n in (2, 5)]
+    assert twice[0] == twice[1] and len(twice[0]) == 42 and twice[0][0][0] is None
+
+
 def test_token_files(spark, docs, tmp_path):
     manifest = token_files.write(docs, bpe.vocabulary_path(bpe.BYTE_BPE), f"file://{tmp_path}/t")
     got = token_files.read(manifest).orderBy("start").collect()
