@@ -24,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (`spark.checkpoint.dir`); one of our own only where it is unset."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not found and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not found:
         found = "file://" + tempfile.mkdtemp(prefix="motionloom-")
     if sc.getCheckpointDir() is None:
@@ -57,8 +59,26 @@ def apart(*keys: Column) -> Column:
     return F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
 
 
+#: Beyond so many files, numbered() keeps a numbered copy of the rows instead of broadcasting the files' names.
+MOST_FILES = 100_000
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """docs with __node, a number of each row; cut, so that it stays the same wherever it is read."""
+    """docs with __node, a number of each row that stays the same wherever it is read.
+
+    Rows of files are numbered by file and place in it. Of other tables, and beyond MOST_FILES files, a copy is kept."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:
+        placed = None
+    if placed is not None:
+        files = placed.select("__file").distinct().limit(MOST_FILES + 1).toArrow().column(0).to_pylist()
+        if len(files) <= MOST_FILES and None not in files:
+            number = docs.sparkSession.createDataFrame([(f, k << 40) for k, f in enumerate(sorted(files))], "__name string, __first bigint")
+            found = placed.join(F.broadcast(number), F.col("__file") == F.col("__name"))
+            return found.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col("__first") + F.col("__row")).alias("__node"))
     return cut(docs.withColumn("__node", F.monotonically_increasing_id()))
 
 

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motionloom.llm import jaccard
 from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
@@ -173,10 +174,23 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.join(by_fp, F.col("fp") == F.col("f")).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def ball_pairs(rows: DataFrame, text_col: str = "text", words_per_shingle: int = 5) -> DataFrame:
+    """rows: numbered -> a, b: the first row of each component of fingerprints within 3 bits, with each of its others."""
+    placed = cut(simhash_components(rows, "__node", text_col, words_per_shingle).select(F.col("component_id").alias("a"), F.col("__node").alias("b")))
+    return placed.where("a <> b")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, that stay: exactly one of each component, chosen as in keep_one."""
+    """The rows of docs, all columns, that stay: of rows that pairs of a Jaccard similarity of 0.8 or more over five-word
+    shingles connect, exactly one, chosen as in keep_one.
+
+    The balls of the fingerprints find the pairs that are nearly equal, which are then verified on their shingles. A pair at
+    0.8 differs in about ten bits, which no ball of affordable size reaches; what the balls leave is found by the
+    prefix-filtered join of `jaccard`, which misses no pair. Null text counts as empty; texts without words are equal; rows
+    without id take part and stay only where no other row of their group has an id; of repeated rows one stays. An empty
+    table gives an empty result. Columns of any other names pass through."""
     rows = numbered(docs)
-    members = simhash_components(rows, "__node", text_col).select(F.col("__node").alias("node"), F.col("component_id").alias("grp"))
+    members = jaccard.near_members(rows, text_col, ball_pairs(rows, text_col))
     return keep_one(rows, members, id_col, text_col)
 
 
