@@ -87,6 +87,7 @@ def keep_one(rows: DataFrame, members: DataFrame, id_col: str, text_col: str) ->
 
     The smallest id stays, a null id only if there is no other; of equal ids the smallest hash of the text, then of equal
     texts the smallest number. The choice is an aggregate with a map side; the anti-join carries numbers only."""
+    members = cut(members)  # read three times below
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("s"), F.col("__node").alias("k"))
     placed = rows.select("__node", order.alias("o")).join(members, F.col("__node") == F.col("node"))
     best = placed.groupBy("grp").agg(F.min("o").alias("o")).select(F.col("o.k").alias("best"))

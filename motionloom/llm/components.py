@@ -10,14 +10,15 @@ from motionloom.llm.common import apart, cut
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One round. links: a > b, distinct. The smallest neighbour is a map-side aggregate; the join back splits hot nodes."""
+    """One round. links: a > b, distinct. The smallest neighbour is a map-side aggregate; the join back splits hot nodes.
+    It is a merge join by hint, since the broadcasts of many rounds would pile up in the driver."""
     if large:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m")).hint("merge")
         new = both.where("b > a").join(low, apart(F.col("a")) == apart(F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         low = links.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
-        new = links.join(low, apart(F.col("a")) == apart(F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        new = links.join(low.hint("merge"), apart(F.col("a")) == apart(F.col("u"))).select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return new.where("a > b").groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b")
 
 

@@ -175,9 +175,13 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def ball_pairs(rows: DataFrame, text_col: str = "text", words_per_shingle: int = 5) -> DataFrame:
-    """rows: numbered -> a, b: the first row of each component of fingerprints within 3 bits, with each of its others."""
-    placed = cut(simhash_components(rows, "__node", text_col, words_per_shingle).select(F.col("component_id").alias("a"), F.col("__node").alias("b")))
-    return placed.where("a <> b")
+    """rows: numbered -> a, b (a < b, distinct): pairs that connect all rows whose fingerprints are within 3 bits."""
+    placed = cut(fingerprints(rows, "__node", text_col, words_per_shingle))
+    first = cut(placed.groupBy("fp").agg(F.min("id").alias("low")))
+    same = placed.join(first.select(F.col("fp").alias("f"), "low"), apart(F.col("fp")) == apart(F.col("f"))).where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
+    at = lambda c: first.select(F.col("fp").alias(f"f{c}"), F.col("low").alias(f"l{c}"))
+    near = links(first).join(at("a").hint("merge"), F.col("a") == F.col("fa")).join(at("b").hint("merge"), F.col("b") == F.col("fb"))
+    return cut(same.union(near.select(F.least("la", "lb"), F.greatest("la", "lb"))).distinct())
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
