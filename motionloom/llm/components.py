@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import apart, cut
+from motionloom.llm.common import apart, cut, release
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -40,6 +40,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if after == before:
             break
         before = after
+        release(links.sparkSession)
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 

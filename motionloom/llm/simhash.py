@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.llm import jaccard
-from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, release, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
 RADIUS = 3
@@ -178,6 +178,7 @@ def ball_pairs(rows: DataFrame, text_col: str = "text", words_per_shingle: int =
     """rows: numbered -> a, b (a < b, distinct): pairs that connect all rows whose fingerprints are within 3 bits."""
     placed = cut(fingerprints(rows, "__node", text_col, words_per_shingle))
     first = cut(placed.groupBy("fp").agg(F.min("id").alias("low")))
+    release(rows.sparkSession)
     same = placed.join(first.select(F.col("fp").alias("f"), "low"), apart(F.col("fp")) == apart(F.col("f"))).where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
     at = lambda c: first.select(F.col("fp").alias(f"f{c}"), F.col("low").alias(f"l{c}"))
     near = links(first).join(at("a").hint("merge"), F.col("a") == F.col("fa")).join(at("b").hint("merge"), F.col("b") == F.col("fb"))
