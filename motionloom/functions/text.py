@@ -61,10 +61,55 @@ def data_path(index: Column, chunk_size: int = 1000, *given: Column) -> Column:
     return F.coalesce(*given, F.format_string("data/chunk-%03d/episode_%06d.parquet", chunk, index))
 
 
-def routing(path: Column) -> Column:
-    """Which kind of rig a path names."""
-    low = F.lower(path)
-    return F.when(low.contains("dual"), "dual_arm").when(low.contains("hand"), "hand").when(low.contains("arm"), "arm").otherwise("unknown")
+def routing(path: Column, robot_type: Column | None = None) -> Column:
+    """struct(hardware, mission) that a dataset's path and its robot's type name: the first path part that begins with
+    `mission`, and a hardware part of the path, else a hardware name within the type."""
+    parts, kind = F.split(path, "/"), F.lower(robot_type) if robot_type is not None else F.lit("")
+    low = F.transform(parts, F.lower)
+    # The known rigs, and the names of what is not known.
+    hardware = F.when(F.array_contains(low, "nero"), "nero").when(F.array_contains(low, "rokae"), "rokae").when(kind.contains("nero"), "nero").when(kind.contains("rokae") | kind.contains("xmate"), "rokae").otherwise("unknown_hardware")
+    mission = F.coalesce(F.get(F.filter(parts, lambda x: x.startswith("mission")), F.lit(0)), F.lit("mission_unspecified"))
+    return F.struct(hardware.alias("hardware"), path_component(mission, "mission_unspecified").alias("mission"))
+
+
+def output_label(path: Column) -> Column:
+    """The label of a dataset's reports: the part that ends in `_by_date` with the two after it, else the last two parts."""
+    parts = F.filter(F.split(path, "/"), lambda x: x != "")
+    n = F.size(parts)
+    at = F.array_position(F.transform(parts, lambda x, i: x.endswith("_by_date") & (i + 2 < n)), F.lit(True)).cast("int")
+    return F.when(at > 0, F.array_join(F.slice(parts, at, F.lit(3)), "_")).when(n >= 2, F.array_join(F.slice(parts, n - 1, F.lit(2)), "_")).otherwise(F.coalesce(F.get(parts, F.lit(0)), F.lit("")))
+
+
+def shown_vector(v: Column, most: int = 6) -> Column:
+    """A vector for reading: its first components with four decimals, and its width."""
+    first = F.array_join(F.transform(F.slice(v, 1, most), lambda x: F.format_string("%.4f", x)), ", ")
+    return F.concat(F.lit("["), first, F.when(F.size(v) > most, ", ...").otherwise(""), F.lit("] shape=("), F.size(v).cast("string"), F.lit(",)"))
+
+
+def vector_of_json(json: Column, width: int) -> Column:
+    """A JSON list of numbers as a vector, or null where it isn't one of this width."""
+    v = F.from_json(json, "array<double>")
+    return F.when((F.size(v) == width) & F.forall(v, lambda x: x.isNotNull()), v)
+
+
+def date_matches(date: str, kind: str, dates: dict[str, Column]) -> Column:
+    """Whether a row is of a date: kind names one of its dates, or is `any`."""
+    if kind == "any":
+        return F.coalesce(F.array_contains(F.array_compact(F.array(*dates.values())), date), F.lit(False))
+    return F.coalesce(dates[kind] == date, F.lit(False))
+
+
+# The names of the action's dimensions, in stored order.
+ACTION_NAMES = (
+    ["eef_x", "eef_y", "eef_z", *[f"eef_rot6d_{k}" for k in range(6)]]
+    + ["thumb_cmc_pitch", "thumb_cmc_yaw", "index_mcp_pitch", "middle_mcp_pitch", "ring_mcp_pitch", "pinky_mcp_pitch", "index_mcp_roll", "ring_mcp_roll", "pinky_mcp_roll", "thumb_cmc_roll"]
+    + [f"arm_joint_{k}" for k in range(7)]
+)
+
+
+def action_name(dim: Column) -> Column:
+    """The name of an action dimension; `dim_<n>` beyond the known ones."""
+    return F.coalesce(F.get(F.array(*map(F.lit, ACTION_NAMES)), dim.cast("int")), F.concat(F.lit("dim_"), dim.cast("string")))
 
 
 def action_group(dim: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import finite, minus, norm, scaled
+from motionloom.operators.hand import hand_metrics
 from motionloom.operators.rules import Rule, issues
 from motionloom.operators.stats import robust_masks, summary
 from motionloom.schema import SLICES
@@ -46,7 +47,10 @@ def episode_metrics(frames: DataFrame, fps: float, key: str = "episode_index", f
             made = made.withColumn(f"{g}_{n + 1}", scaled(minus(F.col(f"{g}_{n}"), F.lag(f"{g}_{n}").over(at)), fps))
             exprs += summary(norm(F.col(f"{g}_{n + 1}")), f"{g}_{name}_l2")
     out = made.groupBy(key).agg(F.count(F.lit(1)).alias("parquet_rows"), *exprs)
-    return out.withColumns({"finger_velocity_p95": F.col("hand_state_velocity_l2_p95"), "finger_acceleration_p95": F.col("hand_state_acceleration_l2_p95")}) if "hand_state" in groups else out
+    if "hand_state" not in groups:
+        return out
+    hand = hand_metrics(frames, SLICES["hand_state"].of(), fps, key, frame)
+    return out.join(hand.withColumnRenamed(key, "__key"), F.col(key) == F.col("__key"), "left").drop("__key")
 
 
 def _false(name: str) -> Column:

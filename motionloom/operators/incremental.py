@@ -38,3 +38,20 @@ def date_view(episodes: DataFrame, date: str = "source_date", length: str = "len
 
 def next_index(episodes: DataFrame, key: str = "episode_index") -> DataFrame:
     return episodes.agg(F.coalesce(F.max(key) + 1, F.lit(0)).alias("next_index"))
+
+
+def first_of_each(table: DataFrame, value: str, order: str) -> DataFrame:
+    """value, order: each distinct value once, where it comes first."""
+    return table.groupBy(value).agg(F.min(order).alias(order))
+
+
+def manifest_of(manifest: DataFrame, episodes: DataFrame, key: str = "episode_index") -> DataFrame:
+    """The manifest's rows of these episodes; a row's episode is its output index, else its smoothed one, else its own."""
+    names = [c for c in ("output_episode_index", "smooth_episode_index", "episode_index") if c in manifest.columns]
+    wanted = episodes.select(F.col(key).cast("bigint").alias("__episode")).distinct()
+    return manifest.join(wanted, F.coalesce(*[F.col(c).cast("bigint") for c in names]) == F.col("__episode"), "left_semi")
+
+
+def by_position(rows: DataFrame, metadata: DataFrame, order: str, key: str = "episode_index") -> DataFrame:
+    """rows with the metadata at the place (in the order of `order`, which numbers the rows from 0) that their key names."""
+    return rows.join(metadata, F.col(key) == F.col(order), "left")

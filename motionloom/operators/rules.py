@@ -41,6 +41,16 @@ def worst(scored: DataFrame, k: int = 30, episode: str = "episode_index") -> Dat
     return scored.orderBy("quality_score", F.desc("issue_count"), episode).limit(k)
 
 
+def ordered(issue_rows: DataFrame, episode: str = "episode_index", date: str = "source_date") -> DataFrame:
+    """The order of issue reports."""
+    return issue_rows.orderBy(date, episode, "severity", "code")
+
+
+def top_by(table: DataFrame, metric: str, k: int = 8, tie: str = "episode_index") -> DataFrame:
+    """The k rows with the largest metric; rows without it take no part."""
+    return table.where(F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double"))).orderBy(F.desc(metric), tie).limit(k)
+
+
 def capped(issue_rows: DataFrame, group: str, order: Sequence[str], most: int = 50) -> DataFrame:
     """The first issues of each group, and one row `truncated` with the number of the others where there are any."""
     from pyspark.sql import Window

@@ -122,17 +122,34 @@ def holding_stability(spark: SparkSession, d: str) -> DataFrame:
     return last.groupBy(E, "dim").agg(F.stddev_pop("x").alias("s")).groupBy(E).agg(r6(F.avg("s")).alias("holding_std"))
 
 
-@query("hand_metrics", f"""WITH {VF}, x AS (SELECT episode_index, unnest(state[17:26]) AS x FROM vf),
- v AS (SELECT episode_index, list_distance(state[17:26], lag(state[17:26]) OVER (PARTITION BY episode_index ORDER BY frame_index)) * 10 AS v FROM vf),
- p AS (SELECT episode_index, quantile_cont(v, 0.95) AS p FROM v GROUP BY 1)
- SELECT x.episode_index, round(min(x), 6) AS hand_min, round(max(x), 6) AS hand_max, round(avg(x), 6) AS hand_mean, round(stddev_pop(x), 6) AS hand_std,
- round(avg(CASE WHEN abs(x) <= 1e-6 THEN 1.0::DOUBLE ELSE 0 END), 6) AS zero_ratio, round(avg(CASE WHEN abs(x) >= 0.2::DOUBLE THEN 1.0::DOUBLE ELSE 0 END), 6) AS saturation_ratio, round(max(p.p), 6) AS velocity_p95
- FROM x JOIN p USING (episode_index) GROUP BY 1""")
-def hand_metrics(spark: SparkSession, d: str, saturation: float = 0.2) -> DataFrame:
-    f = vector_frames(spark, d).select(E, "frame_index", F.slice("state", 17, 10).alias("hand"))
-    x = f.select(E, F.explode("hand").alias("x")).groupBy(E).agg(*A.summary(F.col("x"), "hand", ("min", "max", "mean", "std")), F.avg((F.abs("x") <= 1e-6).cast("double")).alias("zero_ratio"), F.avg((F.abs("x") >= saturation).cast("double")).alias("saturation_ratio"))
-    v = Q.derivatives(f, F.col("hand"), FPS, "h").groupBy(F.col(E).alias("e")).agg(F.percentile("h_velocity_l2", F.lit(0.95)).alias("velocity_p95"))
-    return x.join(v, F.col(E) == F.col("e")).select(E, *[r6(c).alias(c) for c in (*x.columns[1:], "velocity_p95")])
+def _derived(prefix: str, column: str, orders: int = 3) -> str:
+    """velocity, acceleration and jerk of a vector expression as chained views."""
+    out, last = [], f"SELECT episode_index, frame_index, {column} AS x FROM vf"
+    for n in range(orders):
+        step = f"SELECT episode_index, frame_index, CASE WHEN lag(x) OVER w IS NOT NULL THEN list_transform(list_zip(x, lag(x) OVER w), lambda p: (p[1] - p[2]) * 10) END AS x FROM ({last}) WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index)"
+        out.append(f"{prefix}{n} AS ({step})")
+        last = f"SELECT * FROM {prefix}{n} WHERE x IS NOT NULL"
+    return ", ".join(out)
+
+
+#: Hand metrics from their definition: components, not row norms; finite values only.
+_HAND = f"""{_derived('h', 'state[17:26]', 2)}, hx AS (SELECT episode_index, x FROM (SELECT episode_index, unnest(state[17:26]) AS x FROM vf) WHERE isfinite(x)),
+ hv AS (SELECT episode_index, quantile_cont(abs(x), 0.95) AS p FROM (SELECT episode_index, unnest(x) AS x FROM h0) WHERE isfinite(x) GROUP BY 1), ha AS (SELECT episode_index, quantile_cont(abs(x), 0.95) AS p FROM (SELECT episode_index, unnest(x) AS x FROM h1) WHERE isfinite(x) GROUP BY 1),
+ hp AS (SELECT episode_index, frame_index, list_avg(x) AS v FROM h0 WHERE x IS NOT NULL), hl AS (SELECT episode_index, greatest(1e-6, quantile_cont(abs(v), 0.75)) AS lim FROM hp GROUP BY 1),
+ hf AS (SELECT hp.episode_index, frame_index, v > lim AS c FROM hp JOIN hl USING (episode_index)), hg AS (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - row_number() OVER (PARTITION BY episode_index, c ORDER BY frame_index) AS i FROM hf),
+ hr AS (SELECT episode_index, max(n) AS run FROM (SELECT episode_index, count(*) AS n FROM hg WHERE c GROUP BY episode_index, i) GROUP BY 1),
+ ht AS (SELECT episode_index, state[17:26] AS s, row_number() OVER (PARTITION BY episode_index ORDER BY frame_index) - 1 AS p, count(*) OVER (PARTITION BY episode_index) AS n FROM vf),
+ hs AS (SELECT episode_index, avg(s) AS s FROM (SELECT episode_index, d, stddev_pop(x) AS s FROM (SELECT episode_index, generate_subscripts(s, 1) AS d, unnest(s) AS x FROM ht WHERE p >= floor(n * 0.8::DOUBLE)) WHERE isfinite(x) GROUP BY 1, 2) GROUP BY 1),
+ hm AS (SELECT hx.episode_index, round(min(x), 6) AS finger_angle_min, round(max(x), 6) AS finger_angle_max, round(avg(x), 6) AS finger_angle_mean, round(stddev_pop(x), 6) AS finger_angle_std, round(any_value(hv.p), 6) AS finger_velocity_p95, round(any_value(ha.p), 6) AS finger_acceleration_p95,
+  round(avg(CASE WHEN abs(x) <= 1e-6 THEN 1.0::DOUBLE ELSE 0 END), 6) AS zero_ratio, round(avg(CASE WHEN abs(x) >= 0.98::DOUBLE THEN 1.0::DOUBLE ELSE 0 END), 6) AS saturation_ratio, round(coalesce(any_value(hr.run), 0) / 10.0::DOUBLE, 6) AS closing_duration, round(any_value(hs.s), 6) AS holding_stability
+  FROM hx LEFT JOIN hv USING (episode_index) LEFT JOIN ha USING (episode_index) LEFT JOIN hr USING (episode_index) LEFT JOIN hs USING (episode_index) GROUP BY 1)"""
+
+
+@query("hand_metrics", f"WITH {VF}, {_HAND} SELECT * FROM hm")
+def hand_metrics(spark: SparkSession, d: str) -> DataFrame:
+    from motionloom.operators.hand import METRICS, hand_metrics
+
+    return hand_metrics(vector_frames(spark, d), F.slice("state", 17, 10), FPS).select(E, *[r6(c).alias(c) for c in METRICS])
 
 
 @query("path_metrics", f"""WITH {VF}, s AS (SELECT episode_index, frame_index, state[8:10] AS p, list_distance(state[8:10], lag(state[8:10]) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS s FROM vf),
@@ -331,25 +348,32 @@ def state_action_corr(spark: SparkSession, d: str) -> DataFrame:
     return v.groupBy(E).agg(r6(A.guarded_corr(F.col("a"), F.col("b"))).alias("corr"), F.count(F.lit(1)).alias("n"))
 
 
-def _derived(prefix: str, column: str) -> str:
-    """velocity, acceleration and jerk of a vector expression as chained views."""
-    out, last = [], f"SELECT episode_index, frame_index, {column} AS x FROM vf"
-    for n in range(3):
-        step = f"SELECT episode_index, frame_index, CASE WHEN lag(x) OVER w IS NOT NULL THEN list_transform(list_zip(x, lag(x) OVER w), lambda p: (p[1] - p[2]) * 10) END AS x FROM ({last}) WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index)"
-        out.append(f"{prefix}{n} AS ({step})")
-        last = f"SELECT * FROM {prefix}{n} WHERE x IS NOT NULL"
-    return ", ".join(out)
+_L2 = "sqrt(list_sum(list_transform(x, lambda t: t * t)))"
 
 
-_L2 = "sqrt(list_sum(list_transform(x, lambda t: t * t)))"
+def _gate_groups() -> tuple[str, str]:
+    """Views and joined columns of the 95th percentiles of velocity, acceleration and jerk norms of all groups, and of steps."""
+    views, columns = [], []
+    for k, (g, column) in enumerate({"arm_joint": "state[1:7]", "eef_state": "state[8:16]", "hand_state": "state[17:26]", "eef_action": "action[1:9]", "hand_action": "action[10:19]"}.items()):
+        views.append(_derived(f"g{k}_", column))
+        for n, name in enumerate(("velocity", "acceleration", "jerk")):
+            views.append(f"q{k}{n} AS (SELECT episode_index, round(quantile_cont({_L2}, 0.95), 6) AS {g}_{name}_l2_p95 FROM g{k}_{n} GROUP BY 1)")
+            columns.append(f"JOIN q{k}{n} USING (episode_index)")
+    for c in ("state", "action"):
+        views.append(f"s_{c} AS (SELECT episode_index, round(quantile_cont(x, 0.95), 6) AS {c}_step_l2_p95 FROM (SELECT episode_index, list_distance({c}, lag({c}) OVER (PARTITION BY episode_index ORDER BY frame_index)) AS x FROM vf) GROUP BY 1)")
+        columns.append(f"JOIN s_{c} USING (episode_index)")
+    return ", ".join(views), " ".join(columns)
+
+
+_VIEWS, _JOINS = _gate_groups()
 
 
-@query("gate_episode_metrics", f"""WITH {VF}, {_derived('a', 'state[1:7]')}, {_derived('h', 'state[17:26]')}, n AS (SELECT episode_index, count(*) AS parquet_rows FROM vf GROUP BY 1),
- j AS (SELECT episode_index, round(quantile_cont({_L2}, 0.95), 6) AS arm_joint_jerk_l2_p95 FROM a2 GROUP BY 1), v AS (SELECT episode_index, round(quantile_cont({_L2}, 0.95), 6) AS finger_velocity_p95 FROM h0 GROUP BY 1),
- c AS (SELECT episode_index, round(avg({_L2}), 6) AS hand_state_acceleration_l2_mean FROM h1 GROUP BY 1)
- SELECT * FROM n JOIN j USING (episode_index) JOIN v USING (episode_index) JOIN c USING (episode_index)""")
+@query("gate_episode_metrics", f"""WITH {VF}, {_HAND}, {_VIEWS}, n AS (SELECT episode_index, count(*) AS parquet_rows, bool_and(len(list_filter(state, lambda x: NOT isfinite(x))) = 0) AS finite_state, bool_and(len(list_filter(action, lambda x: NOT isfinite(x))) = 0) AS finite_action FROM vf GROUP BY 1)
+ SELECT * FROM n {_JOINS} JOIN hm USING (episode_index)""")
 def gate_episode_metrics(spark: SparkSession, d: str) -> DataFrame:
-    from motionloom.operators.gate import episode_metrics
+    """Every metric that the gate's rules read of frames, over all groups."""
+    from motionloom.operators.gate import GROUPS, episode_metrics
+    from motionloom.operators.hand import METRICS
 
-    out = episode_metrics(vector_frames(spark, d), FPS, groups=("arm_joint", "hand_state"))
-    return out.select(E, "parquet_rows", r6("arm_joint_jerk_l2_p95").alias("arm_joint_jerk_l2_p95"), r6("finger_velocity_p95").alias("finger_velocity_p95"), r6("hand_state_acceleration_l2_mean").alias("hand_state_acceleration_l2_mean"))
+    p95 = [f"{g}_{n}_l2_p95" for g in GROUPS for n in ("velocity", "acceleration", "jerk")] + ["state_step_l2_p95", "action_step_l2_p95", *METRICS]
+    return episode_metrics(vector_frames(spark, d), FPS).select(E, "parquet_rows", "finite_state", "finite_action", *[r6(c).alias(c) for c in p95])
