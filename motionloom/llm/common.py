@@ -43,6 +43,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows that hold whole texts or sets of hashes go to Python in batches of at most so many, which bounds the memory of
+    both sides; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def release(spark: SparkSession) -> None:
     """After a cut: lets the driver notice that the shuffles before it are unreachable, so that their files go now and not
     whenever it next collects its garbage."""

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motionloom.llm.bpe import WORD_BPE, bpe, vocabulary_path
-from motionloom.llm.common import cut, table, text_slices
+from motionloom.llm.common import cut, small_batches, table, text_slices
 
 LENGTH = 4096
 SLICE_PIECES = 200_000
@@ -39,6 +39,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id",
     if most & (most - 1):
         raise ValueError("the sequence length is not a power of two")
     end = end_id.to_bytes(4, "little")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = bpe(path, library=True)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import apart, as_bytes, cut, release, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, release, small_batches, table, text_slices
 
 DEPTH, GRAM = 200, 64
 SECTION = 1 << 20
@@ -167,6 +167,7 @@ def _runs(rows: DataFrame, depth: int) -> DataFrame:
 
 def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTENTS) -> DataFrame:
     """rows: id, th (hash of the text), text -> id, th, a, b: byte intervals that repeated windows cover, overlapping."""
+    small_batches(rows.sparkSession)
     seen = _runs(rows, depth)
     shared = seen.groupBy(F.col("digit").alias("d")).agg(F.count(F.lit(1)).alias("times"), F.max("cyclic").alias("any_cyclic")).where("times > 1 OR any_cyclic").select("d")
     mine = cut(seen.join(shared, apart(F.col("digit")) == apart(F.col("d"))).drop("d"))

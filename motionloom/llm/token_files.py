@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motionloom.llm.bpe import BYTE_BPE, bpe, vocabulary_path
-from motionloom.llm.common import AtomicFile, file_system, fresh_dir, table, text_slices
+from motionloom.llm.common import AtomicFile, file_system, fresh_dir, small_batches, table, text_slices
 
 MAGIC = b"MLTOKEN2"
 BLOCK, STREAMS, LEAST_STREAM = 1 << 15, 32, 1024
@@ -430,6 +430,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str
     returns the manifest: part, file, docs, tokens, one row per file, ordered by part. Files are written whole or not at
     all, under names of their own; the manifest is a table in folder that names those of committed tasks."""
     end = end_id.to_bytes(4, "little")
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -285,3 +285,19 @@ def test_top_k_table(spark, monkeypatch):
         best = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in ints if i != q)[:5]
         assert [(-r.score, r.vec_id) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == best
     assert topk.top_k(topk.quantised(df.where("false")), F.col("id") % 20 == 0).count() == 0
+
+
+def test_sketches_never_rule_out_similar_sets():
+    rng = np.random.default_rng(3)
+    ruled_out = 0
+    for n in (1, 5, 60, 64, 65, 700, 5000):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        for change in np.linspace(0, 1, 12):
+            k = int(n * change)
+            other = np.unique(np.concatenate((base[k:], rng.integers(0, 2**63, k).astype(np.uint64))))
+            own = np.unique(base)
+            alike = jaccard.similar(len(np.intersect1d(own, other)), len(own), len(other))
+            may = jaccard.may_be_similar(jaccard.sketch(own), jaccard.sketch(other))
+            assert may or not alike
+            ruled_out += not may
+    assert ruled_out > 40
