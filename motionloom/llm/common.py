@@ -98,10 +98,10 @@ def keep_one(rows: DataFrame, members: DataFrame, id_col: str, text_col: str) ->
     texts the smallest number. The choice is an aggregate with a map side; the anti-join carries numbers only."""
     members = cut(members)  # read three times below
     order = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("s"), F.col("__node").alias("k"))
-    placed = rows.select("__node", order.alias("o")).join(members, F.col("__node") == F.col("node"))
+    placed = rows.select("__node", order.alias("o")).join(members.hint("merge"), F.col("__node") == F.col("node"))
     best = placed.groupBy("grp").agg(F.min("o").alias("o")).select(F.col("o.k").alias("best"))
-    gone = members.join(best, F.col("node") == F.col("best"), "left_anti").select(F.col("node").alias("__gone"))
-    return rows.join(gone, F.col("__node") == F.col("__gone"), "left_anti").drop("__node")
+    gone = members.join(best.hint("merge"), F.col("node") == F.col("best"), "left_anti").select(F.col("node").alias("__gone"))
+    return rows.join(gone.hint("merge"), F.col("__node") == F.col("__gone"), "left_anti").drop("__node")
 
 
 def ascii_lower(c: Column) -> Column:
