@@ -19,6 +19,14 @@ def ahead(frames: DataFrame, column: str, horizons: Sequence[int], episode: str
     return rows.select(episode, frame, "now", F.explode("pairs").alias("p")).select(episode, frame, "p.horizon", "now", "p.then")
 
 
+def ahead_of_state(frames: DataFrame, state: str, action: str, horizons: Sequence[int], episode: str = "episode_index", frame: str = "frame_index") -> DataFrame:
+    """As `ahead`, with the state of frame t as now and the action h - 1 frames on, which leads to the state of t + h, as then."""
+    at = order(episode, frame)
+    pairs = [F.when(F.lead(action, h - 1).over(at).isNotNull(), F.struct(F.lit(h).alias("horizon"), F.lead(action, h - 1).over(at).alias("then"))) for h in horizons]
+    rows = frames.select(episode, frame, F.col(state).alias("now"), F.array_compact(F.array(*pairs)).alias("pairs"))
+    return rows.select(episode, frame, "now", F.explode("pairs").alias("p")).select(episode, frame, "p.horizon", "now", "p.then")
+
+
 def relative_vector(pairs: DataFrame) -> DataFrame:
     """Adds rel: then - now."""
     return pairs.withColumn("rel", minus(F.col("then"), F.col("now")))
@@ -36,7 +44,8 @@ def relative_pose(now: Column, then: Column) -> Column:
 def bounds(pairs: DataFrame) -> DataFrame:
     """horizon, dim, q01, q99 of rel over all episodes."""
     long = pairs.select("horizon", F.posexplode("rel").alias("dim", "x"))
-    return long.groupBy("horizon", "dim").agg(F.percentile("x", F.lit(0.01)).alias("q01"), F.percentile("x", F.lit(0.99)).alias("q99"))
+    ends = F.percentile("x", F.array(F.lit(0.01), F.lit(0.99)))
+    return long.groupBy("horizon", "dim").agg(ends[0].alias("q01"), ends[1].alias("q99"))
 
 
 def against_bounds(pairs: DataFrame, limits: DataFrame, episode: str = "episode_index", frame: str = "frame_index") -> DataFrame:

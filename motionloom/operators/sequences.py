@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motionloom.functions.vectors import minus, norm, scaled
+from motionloom.functions.vectors import finite, minus, norm, scaled
 from motionloom.operators.stats import guarded_corr
 
 EPISODE, FRAME = "episode_index", "frame_index"
@@ -77,11 +77,26 @@ def downsample(frames: DataFrame, k: int, how: str = "truncate", episode: str =
     return frames.withColumns({"__n": n, "__p": place}).where((F.col("__n") <= k) | F.array_contains(wanted, F.col("__p").cast("bigint"))).drop("__n", "__p")
 
 
-def contiguity(rows: DataFrame, group: str, index: str) -> DataFrame:
-    """Group, n, contiguous: whether index is 0..n-1 in stored order (order is given by index itself where nothing else is known)."""
+def contiguity(rows: DataFrame, group: str, index: str, stored: str | None = None) -> DataFrame:
+    """Group, n, contiguous: whether index is 0..n-1, in the order of the column `stored` where one is named, else in any order."""
+    if stored is not None:
+        right = F.col(index).eqNullSafe(F.row_number().over(order(group, stored)) - 1)
+        return rows.select(group, right.alias("__ok")).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.bool_and("__ok").alias("contiguous"))
     return rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), ((F.min(index) == 0) & (F.max(index) == F.count(F.lit(1)) - 1) & (F.count_distinct(index) == F.count(F.lit(1)))).alias("contiguous"))
 
 
+def vector_fingerprint(frames: DataFrame, column: str, episode: str = EPISODE, frame: str = FRAME, chunk: int = 4096) -> DataFrame:
+    """Episode, frames, fingerprint: SHA-256 of an episode's vectors in frame order, to six digits.
+
+    A tree of two levels, so that no group holds more than hashes: frames are hashed by themselves, then by chunk, then by
+    episode. Null vectors count as empty and non-finite values as null; frames of equal number are ordered by hash."""
+    whole = F.transform(F.coalesce(F.col(column), F.array().cast("array<double>")), lambda x: F.coalesce(F.floor(finite(x) * 1e6 + 0.5).cast("string"), F.lit("null")))
+    own = frames.select(episode, F.col(frame).alias("__f"), F.sha2(F.array_join(whole, ","), 256).alias("__h")).withColumn("__c", F.floor(F.col("__f") / chunk))
+    joined = lambda at: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, "__h"))), lambda s: s["__h"]), ","), 256)
+    parts = own.groupBy(episode, "__c").agg(F.count(F.lit(1)).alias("__n"), joined("__f").alias("__h"))
+    return parts.groupBy(episode).agg(F.sum("__n").alias("frames"), joined("__c").alias("fingerprint"))
+
+
 def done_only_last(rows: DataFrame, group: str, index: str, done: Column) -> DataFrame:
     """Group, done_ok: done holds on the last row and on no other."""
     last = F.lead(index).over(order(group, index)).isNull()

@@ -295,6 +295,15 @@ def relative_pose_by_horizon(spark: SparkSession, d: str, horizons: tuple[int, .
     return rel.groupBy("horizon").agg(r6(F.avg(F.col("p.move")[0])).alias("forward_mean"), r6(F.max(V.norm(F.col("p.move")))).alias("move_max"), F.round(F.avg("p.degrees"), 5).alias("degrees_mean"))
 
 
+@query("hand_ahead_of_state", f"""WITH {VF}, h AS (SELECT CAST(unnest([1, 2, 4, 8, 16, 32]) AS INTEGER) AS horizon),
+ j AS (SELECT h.horizon, list_transform(list_zip(b.action[1:6], a.state[1:6]), lambda q: q[1] - q[2]) AS rel FROM vf a CROSS JOIN h JOIN vf b ON a.episode_index = b.episode_index AND b.frame_index = a.frame_index + h.horizon - 1)
+ SELECT horizon, count(*) AS pairs, round(avg(sqrt(list_dot_product(rel, rel))), 6) AS mean, round(max(sqrt(list_dot_product(rel, rel))), 6) AS most FROM j GROUP BY 1""")
+def hand_ahead_of_state(spark: SparkSession, d: str) -> DataFrame:
+    hand = vector_frames(spark, d).select(E, "frame_index", F.slice("state", 1, 6).alias("own"), F.slice("action", 1, 6).alias("sent"))
+    far = V.norm(F.col("rel"))
+    return R.relative_vector(R.ahead_of_state(hand, "own", "sent", HORIZONS)).groupBy("horizon").agg(F.count(F.lit(1)).alias("pairs"), r6(F.avg(far)).alias("mean"), r6(F.max(far)).alias("most"))
+
+
 def _register_all_horizons() -> None:
     """Each horizon query again as NAME_all_horizons, over HORIZONS in code and SQL."""
     shorter = {relative_horizon_stats: "[1, 2, 4, 8, 16]", clip_ratio: "[1, 2, 4, 8, 16]", clipped_rows: "[1, 2, 4, 8, 16]", clipped_by_group_side: "[1, 2, 4, 8, 16]", before_after_diff_by_horizon: "[1, 2, 4, 8]", relative_pose_by_horizon: "[1, 4]"}

@@ -11,7 +11,7 @@ from motionloom.operators import incremental as I
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
 from motionloom.plans.registry import query
-from motionloom.plans.views import read
+from motionloom.plans.views import SFR, VF, read, scalar_frames, vector_frames
 
 
 @query("global_index_offsets", """WITH l AS (SELECT conv_id, count(*) AS length FROM conversations GROUP BY 1)
@@ -25,6 +25,19 @@ def frame_contiguity(spark: SparkSession, d: str) -> DataFrame:
     return Q.contiguity(read(spark, d, "conversations"), "conv_id", "turn")
 
 
+@query("stored_order_contiguity", f"""WITH {SFR}, x AS (SELECT episode_index, frame_index = row_number() OVER (PARTITION BY episode_index ORDER BY event_id) - 1 AS ok FROM sfr)
+ SELECT episode_index, count(*) AS n, bool_and(ok) AS contiguous FROM x GROUP BY 1""")
+def stored_order_contiguity(spark: SparkSession, d: str) -> DataFrame:
+    return Q.contiguity(scalar_frames(spark, d), "episode_index", "frame_index", "event_id")
+
+
+@query("vector_fingerprints", f"""WITH {VF}, h AS (SELECT episode_index, frame_index, sha256(array_to_string(list_transform(action, lambda x: coalesce(CAST(CAST(floor(CASE WHEN isfinite(x) THEN x END * 1e6 + 0.5) AS BIGINT) AS VARCHAR), 'null')), ',')) AS h FROM vf),
+ c AS (SELECT episode_index, frame_index // 4096 AS c, count(*) AS n, sha256(string_agg(h, ',' ORDER BY frame_index, h)) AS h FROM h GROUP BY 1, 2)
+ SELECT episode_index, CAST(sum(n) AS BIGINT) AS frames, sha256(string_agg(h, ',' ORDER BY c, h)) AS fingerprint FROM c GROUP BY 1""")
+def vector_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return Q.vector_fingerprint(vector_frames(spark, d), "action")
+
+
 @query("done_flag_check", """WITH x AS (SELECT conv_id, (role = 'assistant') IS NOT DISTINCT FROM (lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) IS NULL) AS ok FROM conversations) SELECT conv_id, bool_and(ok) AS done_ok FROM x GROUP BY 1""")
 def done_flag_check(spark: SparkSession, d: str) -> DataFrame:
     return Q.done_only_last(read(spark, d, "conversations"), "conv_id", "turn", F.col("role") == "assistant")

@@ -30,7 +30,8 @@ def write_frames(frames: DataFrame, root: str, mode: str = "errorifexists") -> D
 
 
 def _put(spark: SparkSession, path: str, text: str, backup: bool = False) -> None:
-    """Writes a small file whole or not at all; the first time, the old one stays as .bak."""
+    """Writes a small file; the first time, the old one stays as .bak. The old one is moved aside before the new one takes its
+    place and comes back if that fails, so that at no time neither is there."""
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -39,12 +40,17 @@ def _put(spark: SparkSession, path: str, text: str, backup: bool = False) -> Non
     out.write(bytearray(text.encode()))
     out.close()
     kept = jvm.org.apache.hadoop.fs.Path(path + ".bak")
-    if fs.exists(target):
-        if backup and not fs.exists(kept):
-            fs.rename(target, kept)
-        else:
-            fs.delete(target, False)
-    fs.rename(tmp, target)
+    had = fs.exists(target)
+    keep = backup and not fs.exists(kept)
+    aside = kept if keep else jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.old")
+    if had and not fs.rename(target, aside):
+        raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(tmp, target):
+        if had:
+            fs.rename(aside, target)
+        raise OSError(f"{path} can't be written")
+    if had and not keep:
+        fs.delete(aside, False)
 
 
 def write_metadata(spark: SparkSession, root: str, episodes: DataFrame, tasks: DataFrame, fps: float, features: dict, modality: dict) -> dict:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motionloom.schema import LOGS
@@ -37,14 +38,17 @@ def load_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_capture(spark: SparkSession, session_dir: str, stream: str) -> DataFrame:
-    """One stream of all episodes of a session, with episode_dir and record_no (the order of lines in a file)."""
+    """One stream of all episodes of a session, with episode_dir and record_no (the place of the line in its file, from 0, however
+    files are split or packed into tasks)."""
     name = "episode.json" if stream == "episode" else f"{stream}.jsonl"
     path = f"{session_dir.rstrip('/')}/episodes/*/{name}"
     if not _exists(spark, path):
         return spark.createDataFrame([], f"{LOGS[stream]}, episode_dir string, record_no bigint")
     rows = spark.read.schema(LOGS[stream]).json(path, mode="FAILFAST", multiLine=stream == "episode")
     place = F.regexp_extract(F.col("_metadata.file_path"), r"/episodes/([^/]+)/[^/]+$", 1)
-    return rows.select("*", place.alias("episode_dir"), F.monotonically_increasing_id().alias("record_no"))
+    rows = rows.select("*", place.alias("episode_dir"), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__at"), F.monotonically_increasing_id().alias("__no"))
+    number = F.row_number().over(Window.partitionBy("episode_dir", "__file").orderBy("__at", "__no")) - 1
+    return rows.withColumn("record_no", number.cast("bigint")).drop("__file", "__at", "__no")
 
 
 def episode_numbers(episodes: DataFrame) -> DataFrame:
@@ -101,14 +105,14 @@ def find_datasets(spark: SparkSession, root: str) -> list[str]:
 def non_finite_paths(text: Column) -> Column:
     """Paths in a JSON text of numbers that are NaN or infinite (array of strings)."""
 
-    @F.udf("array<string>")
-    def walk(x):
+    @F.pandas_udf("array<string>")
+    def walk(texts: pd.Series) -> pd.Series:
         def rec(v, at):
             if isinstance(v, float) and (v != v or v in (float("inf"), float("-inf"))):
                 return [at]
             items = v.items() if isinstance(v, dict) else enumerate(v) if isinstance(v, list) else ()
             return [p for k, w in items for p in rec(w, f"{at}.{k}" if at else str(k))]
 
-        return rec(json.loads(x), "") if x else []
+        return texts.map(lambda x: rec(json.loads(x), "") if x else [])
 
     return walk(text)

@@ -96,6 +96,48 @@ def test_runs_tail_trim_downsample(spark):
     assert sorted(r.frame_index for r in sequences.downsample(s.where("episode_index = 0"), 3).collect()) == [0, 3, 6]
 
 
+def test_contiguity_in_stored_order(spark):
+    s = spark.createDataFrame([(0, 0, 10), (0, 1, 11), (1, 1, 10), (1, 0, 11), (2, None, 1), (3, 0, 1), (3, 0, 2)], "e int, i int, at int")
+    assert {r.e: r.contiguous for r in sequences.contiguity(s, "e", "i", "at").collect()} == {0: True, 1: False, 2: False, 3: False}
+
+
+def test_vector_fingerprint(spark):
+    import hashlib
+
+    h = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    nan = float("nan")
+    s = spark.createDataFrame([(0, 1, [3.0, nan]), (0, 0, [1.0, 2.0]), (0, 2, None), (1, 0, [1.0, 2.0])], "episode_index int, frame_index int, v array<double>")
+    frames = [h("1000000,2000000"), h("3000000,null"), h("")]
+    got = {r.episode_index: (r.frames, r.fingerprint) for r in sequences.vector_fingerprint(s, "v", chunk=2).collect()}
+    assert got == {0: (3, h(h(",".join(frames[:2])) + "," + h(frames[2]))), 1: (1, h(h(frames[0])))}
+    assert sequences.vector_fingerprint(s.limit(0), "v").count() == 0
+
+
+def test_ahead_of_state(spark):
+    from motionloom.operators import relative
+
+    s = spark.createDataFrame([(0, k, float(k), 10.0 + k) for k in range(3)] + [(1, 0, 5.0, 6.0)], "episode_index int, frame_index int, own double, sent double")
+    got = sorted((r.episode_index, r.frame_index, r.horizon, r.now, r.then) for r in relative.ahead_of_state(s, "own", "sent", (1, 2)).collect())
+    assert got == [(0, 0, 1, 0.0, 10.0), (0, 0, 2, 0.0, 11.0), (0, 1, 1, 1.0, 11.0), (0, 1, 2, 1.0, 12.0), (0, 2, 1, 2.0, 12.0), (1, 0, 1, 5.0, 6.0)]
+
+
+def test_numbers_of_records(spark, tmp_path):
+    """The place of a line in its file, also where a file is read by several tasks."""
+    from motionloom.schema import LOGS
+
+    field = LOGS["actions"].split(",")[0].split()[0]
+    for e in ("a", "b"):
+        (tmp_path / "episodes" / e).mkdir(parents=True)
+        (tmp_path / "episodes" / e / "actions.jsonl").write_text("".join(f'{{"{field}": null, "x": {k}}}\n' for k in range(50)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        rows = logs.read_capture(spark, str(tmp_path), "actions").select("episode_dir", "record_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((r.episode_dir, r.record_no) for r in rows) == [(e, k) for e in "ab" for k in range(50)]
+
+
 def test_contiguity_and_done(spark):
     s = spark.createDataFrame([(0, 0, False), (0, 1, True), (1, 0, True), (1, 2, True)], "e bigint, i bigint, done boolean")
     assert {r.e: r.contiguous for r in sequences.contiguity(s, "e", "i").collect()} == {0: True, 1: False}
