@@ -32,7 +32,10 @@ def search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k:
     """Integer rows q and c -> (row of q, candidate id, score) of each query's k best, ties to smaller ids."""
     order = np.argsort(ids, kind="stable")
     ids, c = ids[order], c[order]
-    if float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, q.shape[1]) < 2**53:
+    most = float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * max(1, q.shape[1])
+    if most >= 2**63:
+        raise ValueError("scores may not fit in 64 bits")
+    if most < 2**53:
         q, c = q.astype(np.float64), c.astype(np.float64)  # exact, and much faster
     starts = np.arange(0, len(ids), block)
     top, low = np.maximum.reduceat(c, starts), np.minimum.reduceat(c, starts)
@@ -70,7 +73,8 @@ def search(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, c: np.ndarray, k:
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """id, dims, v (binary: 64-bit integers), without the vectors that take no part."""
+    """id, dims, v (binary: 64-bit integers), without the vectors that take no part. A finite component that does not fit in
+    64 bits once scaled stops the query: it has no right score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,7 +86,10 @@ def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
             ends = np.concatenate(([0], np.cumsum(fine)))
             at = np.concatenate(([0], np.cumsum(dims)))
             ok = ends[at[1:]] - ends[at[:-1]] == dims
-            ints = np.floor(np.where(fine, x, 0) * scale).astype("<i8")
+            scaled = np.floor(np.where(fine, x, 0) * scale)
+            if len(scaled) and float(np.abs(scaled).max()) >= 2.0**63:
+                raise ValueError("a scaled component does not fit in 64 bits")
+            ints = scaled.astype("<i8")
             rows = np.flatnonzero(ok)
             yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(rows)), pa.array(dims[rows], pa.int32()), pa.array([ints[at[i] : at[i + 1]].tobytes() for i in rows], pa.binary())], names=["id", "dims", "v"])
 

@@ -287,6 +287,20 @@ def test_top_k_table(spark, monkeypatch):
     assert topk.top_k(topk.quantised(df.where("false")), F.col("id") % 20 == 0).count() == 0
 
 
+def test_scores_beyond_64_bits_stop():
+    ids = np.arange(2)
+    big = np.array([[1 << 40, 0], [0, 1 << 40]])
+    with pytest.raises(ValueError, match="64 bits"):
+        topk.search(ids, big, ids, big, 1)
+
+
+@pytest.mark.parametrize("x", [1e300, -1e300, 1e18])
+def test_components_beyond_64_bits_stop(spark, x):
+    df = spark.createDataFrame([(0, [x, 1.0]), (1, [float("inf"), 1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit in 64 bits"):
+        topk.quantised(df).collect()
+
+
 def test_sketches_never_rule_out_similar_sets():
     rng = np.random.default_rng(3)
     ruled_out = 0
