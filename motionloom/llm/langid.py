@@ -200,7 +200,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                         parts.append(raw[s : s + SEGMENT])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(parts, pa.binary())], names=["id", "lang", "part"])
 
-    got = src.join(F.broadcast(chosen), F.col("id") == F.col("cid")).select("id", "text", "lang").mapInArrow(run, "id bigint, lang string, part binary").toArrow()
+    pieces = src.join(F.broadcast(chosen), F.col("id") == F.col("cid")).select("id", "text", "lang").mapInArrow(run, "id bigint, lang string, part binary")
+    got = pieces.orderBy(spread_ids(F.col("id")), "id", "lang", "part").limit(most_texts * SEGMENTS_PER_TEXT).toArrow()  # an id may repeat
     rows = sorted(zip(got["id"].to_pylist(), got["lang"].to_pylist(), got["part"].to_pylist(), strict=True))
     return train([r[2] for r in rows], [r[1] for r in rows])
 

@@ -117,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), pa.array([g[0].astype("<i4").tobytes() for g in got], pa.binary()), pa.array([g[1].tobytes() for g in got], pa.binary())], names=["id", "label", "at", "x"])
 
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    got = src.join(F.broadcast(chosen), F.col("id") == F.col("lid")).select("id", "text", "label").mapInArrow(run, "id bigint, label int, at binary, x binary").toArrow()
+    made = src.join(F.broadcast(chosen), F.col("id") == F.col("lid")).select("id", "text", "label").mapInArrow(run, "id bigint, label int, at binary, x binary")
+    got = made.orderBy(spread_ids(F.col("id")), "id", "label", "at", "x").limit(most_rows).toArrow()  # an id may repeat in docs
     rows = sorted(zip(got["id"].to_pylist(), got["label"].to_pylist(), got["at"].to_pylist(), got["x"].to_pylist(), strict=True))[:most_rows]
     return train([(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(x, np.float32)) for _, _, a, x in rows], np.array([r[1] for r in rows], np.float32))
 

@@ -196,6 +196,19 @@ def test_padding_and_order_do_not_matter():
         assert net.probabilities([t])[0] == pytest.approx(p, abs=1e-5)
 
 
+def test_learning_takes_bounded_rows_where_ids_repeat(spark, monkeypatch):
+    """Rows that share an id are bounded like any others before they reach the driver."""
+    seen = {}
+    monkeypatch.setattr(quality, "train", lambda rows, y: seen.update(quality=len(rows)))
+    monkeypatch.setattr(langid, "train", lambda parts, langs: seen.update(langid=len(parts)))
+    rows = [(k % 3, f"some words {k}", "en") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(3)], "doc_id bigint, quality int")
+    quality.fit(docs, labels, most_rows=5)
+    langid.fit(docs, most_texts=2)
+    assert 0 < seen["quality"] <= 5 and 0 < seen["langid"] <= 2 * langid.SEGMENTS_PER_TEXT
+
+
 def test_sum_of_squares_identity():
     rng = np.random.default_rng(1)
     m = quality.Machine(0.3, rng.normal(size=quality.N_FEATURES).astype(np.float32), rng.normal(size=(quality.N_FEATURES, quality.FACTORS)).astype(np.float32))
