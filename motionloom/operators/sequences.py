@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import finite, minus, norm, scaled
+from motionloom.operators.ranks import in_order
 from motionloom.operators.stats import guarded_corr
 
 EPISODE, FRAME = "episode_index", "frame_index"
@@ -104,9 +105,8 @@ def done_only_last(rows: DataFrame, group: str, index: str, done: Column) -> Dat
 
 
 def offsets(lengths: DataFrame, key: str, length: str) -> DataFrame:
-    """Key, length, start: rows of all keys before. Runs at the grain of episodes: one row per key meets in the window."""
-    before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return lengths.select(key, length, F.coalesce(F.sum(length).over(before), F.lit(0)).alias("start"))
+    """Key, length, start: rows of all keys before. Keys are dealt into ranges, and only range totals meet."""
+    return in_order(lengths.select(key, length), F.col(key), number="__number", totals={"start": length}).drop("__number")
 
 
 def trim(frames: DataFrame, start: int, end: int, fps: float, episode: str = EPISODE, frame: str = FRAME) -> DataFrame:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from motionloom.operators.ranks import in_order
 from motionloom.schema import LOGS
 
 
@@ -53,9 +54,8 @@ def read_capture(spark: SparkSession, session_dir: str, stream: str) -> DataFram
 
 def episode_numbers(episodes: DataFrame) -> DataFrame:
     """Adds episode_index in order of directories, before any episode is skipped, so that skips leave gaps."""
-    from pyspark.sql import Window
-
-    return episodes.withColumn("episode_index", (F.dense_rank().over(Window.orderBy("episode_dir")) - 1).cast("bigint"))
+    found = in_order(episodes.select(F.col("episode_dir").alias("__dir")).distinct(), F.col("__dir"), number="episode_index")
+    return episodes.join(found, F.col("episode_dir") == F.col("__dir")).drop("__dir")
 
 
 def stream_records(frames: DataFrame, dedicated: DataFrame, key: str, has_payload: Column) -> DataFrame:
