@@ -1,10 +1,8 @@
-"""What the training-data operators share: tables, the shared folder, and work on Arrow batches."""
+"""What the training-data operators share: tables, and work on Arrow batches."""
 
 from __future__ import annotations
 
-import gc
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motionloom.shared import cut, fresh_dir, release, shared_dir  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -20,29 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (`spark.checkpoint.dir`); one of our own only where it is unset."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found and not sc.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="motionloom-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(found)
-    return found
-
-
-def fresh_dir(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows that hold whole texts or sets of hashes go to Python in batches of at most so many, which bounds the memory of
     both sides; a smaller bound of the session stays."""
@@ -52,13 +29,6 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
-def release(spark: SparkSession) -> None:
-    """After a cut: lets the driver notice that the shuffles before it are unreachable, so that their files go now and not
-    whenever it next collects its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def apart(*keys: Column) -> Column:
     """A join key with the same equality as keys but another partitioning.
 

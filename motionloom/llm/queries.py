@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionloom.llm import bpe, exact_dedup, langid, packing, quality, simhash, suffix_dedup, token_files, topk, warc
+from motionloom.llm import bpe, exact_dedup, langid, mixing, packing, quality, simhash, suffix_dedup, token_files, topk, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_packing": packing.op10_packing,
+        "op11_mixing": mixing.op11_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.SQL, "op4_exact_topk": topk.SQL, "op5_exact_dedup": exact_dedup.SQL}
+    return {"op2_warc": warc.SQL, "op4_exact_topk": topk.SQL, "op5_exact_dedup": exact_dedup.SQL, "op11_mixing": mixing.SQL}

@@ -14,7 +14,7 @@ from motionloom.llm import queries as Q
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_equals_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = Q.queries()[name](spark, sf).toPandas()
     expected = con.sql(Q.oracle_sql()[name]).df()
@@ -26,7 +26,7 @@ def test_equals_sql(spark, sf, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 12))
 
 
 def test_stages(spark, sf):
