@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionloom.llm import bpe, exact_dedup, langid, mixing, packing, quality, simhash, suffix_dedup, token_files, topk, warc
+from motionloom.llm import bpe, exact_dedup, langid, mixing, packing, quality, search, simhash, suffix_dedup, token_files, topk, warc
 
 
 def queries() -> dict:
@@ -18,8 +18,9 @@ def queries() -> dict:
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_packing": packing.op10_packing,
         "op11_mixing": mixing.op11_mixing,
+        "op12_ranked_search": search.op12_ranked_search,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": warc.SQL, "op4_exact_topk": topk.SQL, "op5_exact_dedup": exact_dedup.SQL, "op11_mixing": mixing.SQL}
+    return {"op2_warc": warc.SQL, "op4_exact_topk": topk.SQL, "op5_exact_dedup": exact_dedup.SQL, "op11_mixing": mixing.SQL, "op12_ranked_search": search.SQL}
