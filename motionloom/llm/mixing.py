@@ -11,7 +11,7 @@ once more. The document on that border is taken up to that word, so that a sourc
 however long a document.
 
 Skew: a source's order is never sorted as one group. The hash is cut into slices, slices are summed before the shuffle,
-and only the slice on the border is sorted. Source totals go back to the documents by a broadcast of at most MOST_BROADCAST
+and only the slice on the border is sorted: two groups of about the square root of the number of documents. Source totals go back to the documents by a broadcast of at most MOST_BROADCAST
 rows, else by a join that adaptive execution can split.
 
 Defined results: null text has size 0, null source is a source of its own and the last one. Sources without words have target 0.
@@ -32,7 +32,6 @@ from motionloom.llm.common import cut, table
 from motionloom.operators.ranks import in_order
 
 MOST_BROADCAST = 10_000
-SLICE_DOCUMENTS = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -65,7 +64,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, seed
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"), word_count(F.col(f"`{text_col}`")).cast("bigint").alias("size"))
     rows = cut(rows.withColumn("key", key))  # without the texts, which no later step reads
     n = rows.count()
-    bits = min(24, max(0, math.ceil(math.log2(max(1, n) / SLICE_DOCUMENTS))))
+    bits = min(32, math.ceil(math.log2(max(1, n)) / 2))  # so that slices, and the documents of one, are about the root of n
     lot = F.shiftright(F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint"), 32 - bits)
     rows = rows.withColumn("lot", lot)
 

@@ -52,7 +52,6 @@ def test_mix(spark):
 
 
 def test_border_in_the_middle_of_slices(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "SLICE_DOCUMENTS", 10)
     monkeypatch.setattr(mixing, "MOST_BROADCAST", 0)
     rows = [(i, "w " * (1 + i % 5), "abc"[i % 3]) for i in range(700)]
     got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
