@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from motionloom.llm import bpe, exact_dedup, langid, mixing, packing, quality, search, simhash, suffix_dedup, token_files, topk, warc
+from motionloom.llm import bpe, exact_dedup, langid, mixing, packing, quality, resampling, search, simhash, suffix_dedup, token_files, topk, warc
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_packing": packing.op10_packing,
         "op11_mixing": mixing.op11_mixing,
         "op12_ranked_search": search.op12_ranked_search,
+        "op13_importance_resampling": resampling.op13_importance_resampling,
     }
 
 

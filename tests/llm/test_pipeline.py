@@ -26,7 +26,7 @@ def test_equals_sql(spark, sf, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 13))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 14))
 
 
 def test_stages(spark, sf):
