@@ -1,9 +1,11 @@
 """Importance resampling towards a target: hashed n-gram gains and Gumbel noise, the highest scores are drawn.
 
-Counting: a task splits its texts into words, numbers a run's distinct words and n-grams (whole numbers stand for strings), and sends
-each distinct n-gram with its count to the part of the dictionary that the n-gram's hash names, as sorted compressed text. A
-part puts the counts of equal strings together, hashes each distinct string once, and returns counts per bucket; so does the
-target. A frequent string leaves each run once, so no part is hot.
+Counting: a task splits its texts into words, numbers a run's distinct words and n-grams (whole numbers stand for strings), and
+sends each distinct word and triple with its count to a part of the dictionary, as sorted compressed text. Words are dealt by
+their hash and triples by that of their first two words, with the pairs that end a text as triples without a third; so a
+part holds all triples of its pairs, and pairs, which would be nearly half of the strings, need not be sent. A part puts the
+counts of equal strings together, hashes each distinct string once, and returns counts per bucket; so does the target. A
+frequent string leaves each run once, and a frequent pair as many times as it has followers there.
 
 Scoring: bucket gains (a row per bucket, the only thing that is broadcast) go back to the feature counts of the documents. The
 join is on the bucket, and a run hashes each of its distinct strings for it; to send every run the answers of the dictionary
@@ -73,8 +75,52 @@ class Run:
             keys = keys // len(self.words)
         return out[::-1]
 
-    def strings(self, keys: np.ndarray, n: int, end: bytes = b"") -> pa.Array:
-        return pc.binary_join_element_wise(*[self.words.take(pa.array(c)) for c in self.parts_of(keys, n)], pa.scalar(b" ", pa.large_binary())) if not end else pc.binary_join_element_wise(self.strings(keys, n), pa.scalar(end, pa.large_binary()), pa.scalar(b"", pa.large_binary()))
+    def strings(self, keys: np.ndarray, n: int) -> pa.Array:
+        return joined(*[self.words.take(pa.array(c)) for c in self.parts_of(keys, n)], by=b" ")
+
+    def triples(self) -> list[np.ndarray]:
+        """The distinct pairs with their followers: codes of three words (len(words) for a third word past the text's end), and counts."""
+        base, last = len(self.words) + 1, min(self.starts, len(self.codes) - 1)
+        if last <= 0:
+            return [np.zeros(0, np.int64)] * 4
+        third = np.full(last, base - 1, np.int64)
+        more = min(last, len(self.codes) - 2)
+        third[:more] = np.where(self.owner[:more] == self.owner[2 : more + 2], self.codes[2 : more + 2], base - 1)
+        inside = self.owner[:last] == self.owner[1 : last + 1]
+        keys, counts = np.unique(((self.codes[:last] * base + self.codes[1 : last + 1]) * base + third)[inside], return_counts=True)
+        return [keys // base // base, keys // base % base, keys % base, counts]
+
+
+def joined(*columns: pa.Array, by: bytes) -> pa.Array:
+    return pc.binary_join_element_wise(*columns, pa.scalar(by, pa.large_binary()))
+
+
+def packed(strings: pa.Array, counts: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
+    """(parts, their strings with an end of line each, their counts), compressed; in a part the order stays."""
+    press = zstandard.ZstdCompressor(level=3)
+    order = np.argsort(part, kind="stable")
+    lines = joined(strings.take(pa.array(order)), pa.array([b""] * len(order), pa.large_binary()), by=b"\n")
+    counts, part = counts[order], part[order]
+    at, data = np.frombuffer(lines.buffers()[1], np.int64)[: len(lines) + 1], memoryview(lines.buffers()[2] or b"")
+    some = np.unique(part)
+    ends = np.append(np.searchsorted(part, some), len(part))
+    cuts = list(zip(ends[:-1], ends[1:], strict=True))
+    return some, [press.compress(data[at[a] : at[z]]) for a, z in cuts], [press.compress(counts[a:z].tobytes()) for a, z in cuts]
+
+
+def unpacked(blobs: list[bytes], times: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct strings of all blobs, without their ends of line, and the sums of their counts."""
+    unpack, pieces = zstandard.ZstdDecompressor(), []
+    for blob in blobs:
+        data = unpack.decompress(blob)
+        ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n")) + 1
+        pieces.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data)]))
+    if not pieces:
+        return [], np.zeros(0, np.int64)
+    entries = pa.concat_arrays(pieces).dictionary_encode()
+    total = np.zeros(len(entries.dictionary), np.int64)
+    np.add.at(total, entries.indices.to_numpy(), np.concatenate([np.frombuffer(unpack.decompress(t), np.int64) for t in times]))
+    return [s[:-1] for s in entries.dictionary.to_pylist()], total
 
 
 def runs(texts: pa.Array) -> Iterator[Run]:
@@ -97,47 +143,31 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", buckets: int = BUCKET
     parts = max(LEAST_PARTS, size // PART_BYTES)
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3)
+        deal = lambda h: (h >> np.uint64(32)).astype(np.int64) % parts
         for batch in text_slices(batches, SLICE_BYTES):
             for run in runs(batch.column("text")):
-                crc = np.fromiter(map(zlib.crc32, run.words.to_pylist()), np.uint64, len(run.words))
-                all_strings, all_counts, all_parts = [], [], []
-                for n in range(1, N + 1):
-                    keys, counts = np.unique(run.grams(n)[0], return_counts=True)
-                    mixed = np.zeros(len(keys), np.uint64)
-                    for c in run.parts_of(keys, n):
-                        mixed = (mixed ^ crc[c]) * _MIX
-                    all_parts.append((mixed >> np.uint64(32)).astype(np.int64) % parts)
-                    all_strings.append(run.strings(keys, n, b"\n"))
-                    all_counts.append(counts)
-                part = np.concatenate(all_parts)
-                order = np.argsort(part, kind="stable")
-                strings, counts = pa.concat_arrays(all_strings).take(pa.array(order)), np.concatenate(all_counts)[order]
-                ends = np.searchsorted(part[order], np.arange(parts + 1))
-                at, data = np.frombuffer(strings.buffers()[1], np.int64)[: len(strings) + 1], memoryview(strings.buffers()[2])
-                some = np.flatnonzero(np.diff(ends))
-                blobs = [press.compress(data[at[ends[p]] : at[ends[p + 1]]]) for p in some]
-                times = [press.compress(counts[ends[p] : ends[p + 1]].tobytes()) for p in some]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(blobs, pa.binary()), pa.array(times, pa.binary())], names=["part", "strings", "counts"])
+                crc = np.fromiter(map(zlib.crc32, run.words.to_pylist()), np.uint64, len(run.words)) * _MIX
+                one, own = np.unique(run.codes[: run.starts], return_counts=True)
+                first, second, third, times = run.triples()
+                column = lambda c: run.words.take(pa.array(c))  # noqa: B023, E731
+                follower = pa.concat_arrays([run.words, pa.array([b""], pa.large_binary())]).take(pa.array(third))
+                for n, (part, strings, counts) in ((1, packed(column(one), own, deal(crc[one]))), (3, packed(joined(column(first), column(second), follower, by=b" "), times, deal((crc[first] ^ (crc[second] >> np.uint64(7))) * _MIX)))):
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(np.full(len(part), n)), pa.array(strings, pa.binary()), pa.array(counts, pa.binary())], names=["part", "n", "strings", "counts"])
 
     def together(key: tuple, got: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
-        pieces, counts = [], []
-        for blob, times in zip(got.column("strings").to_pylist(), got.column("counts").to_pylist(), strict=True):
-            data = unpack.decompress(blob)
-            ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n")) + 1
-            pieces.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data)]))
-            counts.append(np.frombuffer(unpack.decompress(times), np.int64))
-        entries = pa.concat_arrays(pieces).dictionary_encode()
-        total = np.zeros(len(entries.dictionary), np.int64)
-        np.add.at(total, entries.indices.to_numpy(), np.concatenate(counts))
-        bucket = np.fromiter((zlib.crc32(s[:-1]) % buckets for s in entries.dictionary.to_pylist()), np.int64, len(total))
+        of = lambda n: unpacked(*[got.filter(pc.equal(got.column("n"), n)).column(c).to_pylist() for c in ("strings", "counts")])
+        words, own = of(1)
+        triples, times = of(3)
+        pairs = pa.array([t.rpartition(b" ")[0] for t in triples], pa.large_binary()).dictionary_encode()
+        both = np.zeros(len(pairs.dictionary), np.int64)
+        np.add.at(both, pairs.indices.to_numpy(), times)
         sums = np.zeros(buckets, np.int64)
-        np.add.at(sums, bucket, total)
+        for strings, counts in ((words, own), (pairs.dictionary.to_pylist(), both), (triples, np.where([t.endswith(b" ") for t in triples], 0, times))):
+            np.add.at(sums, np.fromiter(map(zlib.crc32, strings), np.int64, len(strings)) % buckets, counts)
         some = np.flatnonzero(sums)
         return pa.table({"bucket": pa.array(some, pa.int64()), "n": pa.array(sums[some], pa.int64())})
 
-    sent = docs.select(text.alias("text")).mapInArrow(distinct, "part bigint, strings binary, counts binary")
+    sent = docs.select(text.alias("text")).mapInArrow(distinct, "part bigint, n bigint, strings binary, counts binary")
     sums = sent.groupBy("part").applyInArrow(together, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # a row per bucket
     release(docs.sparkSession)
     out = np.zeros(buckets, np.int64)
