@@ -7,9 +7,10 @@ part holds all triples of its pairs, and pairs, which would be nearly half of th
 counts of equal strings together, hashes each distinct string once, and returns counts per bucket; so does the target. A
 frequent string leaves each run once, and a frequent pair as many times as it has followers there.
 
-Scoring: bucket gains (a row per bucket, the only thing that is broadcast) go back to the feature counts of the documents. The
-join is on the bucket, and a run hashes each of its distinct strings for it; to send every run the answers of the dictionary
-instead would move two more bytes for each of its distinct strings, which is about the size of the input (README).
+Scoring: bucket gains (a row per bucket, the only thing that is broadcast) go back to the features of the documents. The join
+is on the bucket: a run hashes each of its distinct words, and the hash of an n-gram follows from those of its words, since
+CRC-32 is linear. To send every run the answers of the dictionary instead would move two more bytes for each of its
+distinct strings, which is about the size of the input (README).
 
 Drawing: scores are numbered in one order by ranges; there is no sort in one task.
 
@@ -20,6 +21,7 @@ empty table gives an empty result; an empty target has no counts. Other columns
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 from collections.abc import Iterator
@@ -31,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import release, small_batches, table, text_slices
+from motionloom.llm.common import cut, release, small_batches, table, text_slices
 from motionloom.llm.words import words_of
 from motionloom.operators.ranks import in_order
 
@@ -56,28 +58,6 @@ class Run:
         self.codes = place[coded.indices.to_numpy()]
         self.owner, self.starts = owner, starts
 
-    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(a number for each n-gram, its document)."""
-        last = min(self.starts, len(self.codes) - n + 1)
-        if last <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        key = self.codes[:last]
-        for k in range(1, n):
-            key = key * len(self.words) + self.codes[k : last + k]
-        inside = self.owner[:last] == self.owner[n - 1 : last + n - 1]
-        return key[inside], self.owner[:last][inside]
-
-    def parts_of(self, keys: np.ndarray, n: int) -> list[np.ndarray]:
-        """The codes of the words of each n-gram."""
-        out = []
-        for _ in range(n):
-            out.append(keys % len(self.words))
-            keys = keys // len(self.words)
-        return out[::-1]
-
-    def strings(self, keys: np.ndarray, n: int) -> pa.Array:
-        return joined(*[self.words.take(pa.array(c)) for c in self.parts_of(keys, n)], by=b" ")
-
     def triples(self) -> list[np.ndarray]:
         """The distinct pairs with their followers: codes of three words (len(words) for a third word past the text's end), and counts."""
         base, last = len(self.words) + 1, min(self.starts, len(self.codes) - 1)
@@ -123,6 +103,40 @@ def unpacked(blobs: list[bytes], times: list[bytes]) -> tuple[list[bytes], np.nd
     return [s[:-1] for s in entries.dictionary.to_pylist()], total
 
 
+def _zeros(basis: tuple[int, ...], times: int) -> tuple[int, ...]:
+    """basis: what a linear map makes of each of 32 bits -> the same of the map applied so often."""
+    out, power = tuple(1 << i for i in range(32)), basis
+    through = lambda f, x: functools.reduce(lambda acc, i: acc ^ f[i], (i for i in range(32) if x >> i & 1), 0)
+    while times:
+        if times & 1:
+            out = tuple(through(power, x) for x in out)
+        power, times = tuple(through(power, x) for x in power), times >> 1
+    return out
+
+
+#: What one more zero byte makes of each bit of a CRC-32.
+_ONE_ZERO = tuple(zlib.crc32(b"\0", (1 << i) ^ 0xFFFFFFFF) ^ 0xFFFFFFFF ^ (zlib.crc32(b"\0", 0xFFFFFFFF) ^ 0xFFFFFFFF) for i in range(32))
+
+
+@functools.lru_cache(maxsize=4096)
+def _shift_table(length: int) -> np.ndarray:
+    """4 x 256: the map of `length` zero bytes, by byte of its argument."""
+    basis = np.array(_zeros(_ONE_ZERO, length), np.uint32)
+    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1 > 0
+    return np.stack([np.bitwise_xor.reduce(np.where(bits, basis[8 * k : 8 * k + 8], np.uint32(0)), axis=1) for k in range(4)])
+
+
+def crc_of_joined(first: np.ndarray, second: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """CRC-32 of strings joined in pairs, from those of their parts; length: of the second part."""
+    lengths, which = np.unique(length, return_inverse=True)
+    tables = np.concatenate([_shift_table(int(n)).ravel() for n in lengths]) if len(lengths) else np.zeros(0, np.uint32)
+    at = which.astype(np.int64) * 1024
+    out = second.copy()
+    for k in range(4):
+        out ^= tables[at + 256 * k + ((first >> np.uint32(8 * k)) & np.uint32(255))]
+    return out
+
+
 def runs(texts: pa.Array) -> Iterator[Run]:
     words, counts = words_of(texts)
     owner = np.repeat(np.arange(len(counts)), counts)
@@ -137,7 +151,6 @@ def feature_counts(words: np.ndarray) -> np.ndarray:
 
 def bucket_counts(docs: DataFrame, text_col: str = "text", buckets: int = BUCKETS) -> np.ndarray:
     """How many of the features of all texts fall into each bucket, by a dictionary of all distinct strings."""
-    small_batches(docs.sparkSession)
     text = F.col(f"`{text_col}`")
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     parts = max(LEAST_PARTS, size // PART_BYTES)
@@ -183,21 +196,27 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def weights(docs: DataFrame, by_bucket: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, words, n_features, weight: one row per input row."""
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(by_bucket)
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = shared.value
         for b in text_slices(batches, SLICE_BYTES):
-            texts = b.column("text")
-            counts, weight = words_of(texts)[1].astype(np.int64), np.zeros(len(texts), np.int64)
-            for run in runs(texts):
-                for n in range(1, N + 1):
-                    keys, owner = run.grams(n)
-                    keys, which = np.unique(keys, return_inverse=True)
-                    own = gain[np.fromiter(map(zlib.crc32, run.strings(keys, n).to_pylist()), np.int64, len(keys)) % len(gain)]
-                    np.add.at(weight, owner, own[which])
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(counts), pa.array(feature_counts(counts)), pa.array(weight)], names=["id", "words", "n_features", "weight"])
+            words, counts = words_of(b.column("text"))
+            coded = words.dictionary_encode()
+            code, strings = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            crc, spaced = (np.fromiter(map(zlib.crc32, x), np.uint32, len(strings))[code] for x in (strings, [s + b" " for s in strings]))
+            length = np.fromiter(map(len, strings), np.int64, len(strings))[code]
+            # of the grams that start at a word: its own hash, and that of its words with a space after
+            own, with_space, ends = crc, spaced, np.cumsum(counts)
+            weight = np.zeros(len(counts), np.int64)
+            for n in range(1, N + 1):
+                so_far = np.concatenate([[0], np.cumsum(gain[own.astype(np.int64) % len(gain)])])
+                last = np.maximum(ends - n + 1, ends - counts)  # past the last start in each text
+                weight += so_far[np.minimum(last, len(own))] - so_far[np.minimum(ends - counts, len(own))]
+                if n < N:
+                    left = max(0, len(words) - n)
+                    own, with_space = crc_of_joined(with_space[:left], crc[n:], length[n:]), crc_of_joined(with_space[:left], spaced[n:], length[n:] + 1)
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(counts.astype(np.int64)), pa.array(feature_counts(counts.astype(np.int64))), pa.array(weight)], names=["id", "words", "n_features", "weight"])
 
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return src.mapInArrow(run_all, "id bigint, words bigint, n_features bigint, weight bigint")
@@ -208,9 +227,11 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words:
 
     Of the documents with at least least_words words, percent in a hundred (rounded down) are drawn: the highest scores, which
     is a draw without replacement in proportion to exp(weight / 1000); ties go to the smaller id."""
-    by_bucket = gains(bucket_counts(docs, text_col, buckets), bucket_counts(target, target_col, buckets))
+    with small_batches(docs.sparkSession):
+        by_bucket = gains(bucket_counts(docs, text_col, buckets), bucket_counts(target, target_col, buckets))
+        found = cut(weights(docs, by_bucket, id_col, text_col))
     noise = (F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("double") + 0.5) / 4294967296.0
-    rows = weights(docs, by_bucket, id_col, text_col).withColumn("score", F.col("weight") + F.floor(-1000 * F.log(-F.log(noise))).cast("bigint")).withColumn("may", F.col("words") >= least_words)
+    rows = found.withColumn("score", F.col("weight") + F.floor(-1000 * F.log(-F.log(noise))).cast("bigint")).withColumn("may", F.col("words") >= least_words)
     placed = in_order(rows, F.desc("may"), F.desc("score"), F.col("id").asc_nulls_last())
     drawn = (placed.where("may").count() * percent) // 100
     return placed.select(F.col("id").alias(id_col), "n_features", "weight", "score", F.when(F.col("number") < drawn, F.col("number") + 1).alias("rank"))
