@@ -37,3 +37,29 @@ def release(spark: SparkSession) -> None:
     whenever it next collects its garbage."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """Written tables in the shared folder, which go at the end of the with block; for loops over tables.
+
+    A checkpoint keeps Spark's estimate of a table's size, and joins multiply estimates: after some rounds these are numbers
+    of millions of digits, and planning takes longer than running. A table that is read has the size of its files."""
+
+    def __init__(self, spark: SparkSession, tag: str):
+        self.spark, self.folder, self.kept = spark, fresh_dir(spark, tag), 0
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept += 1
+        df.write.parquet(path := f"{self.folder}/{self.kept}")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        delete(self.spark, self.folder)
