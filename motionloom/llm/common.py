@@ -5,13 +5,15 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.shared import cut, fresh_dir, release, shared_dir  # noqa: F401
+from motionloom.operators.ranks import free_name
+from motionloom.shared import Scratch, cut, fresh_dir, release, shared_dir  # noqa: F401
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -20,13 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows that hold whole texts or sets of hashes go to Python in batches of at most so many, which bounds the memory of
-    both sides; a smaller bound of the session stays."""
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """The session's settings within; afterwards it has its own again, so what is to run with them must run within."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Within, rows that hold whole texts or sets of hashes go to Python in batches of at most so many, which bounds the memory
+    of both sides; a smaller bound of the session stays."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(name, str(rows))
+    now = int(spark.conf.get(name))
+    return settings(spark, {name: str(now if 0 < now <= rows else rows)})
 
 
 def apart(*keys: Column) -> Column:
@@ -42,36 +56,50 @@ def apart(*keys: Column) -> Column:
 MOST_FILES = 100_000
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """docs with __node, a number of each row that stays the same wherever it is read.
+def _rows_of_files(docs: DataFrame) -> bool:
+    """Whether each row is a row of a file, at most once: one file scan below nothing but projections and filters."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation"
 
-    Rows of files are numbered by file and place in it. Of other tables, and beyond MOST_FILES files, a copy is kept."""
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a number of each row that stays the same wherever it is read, and the name of that column, unlike all others.
+
+    Rows of a file scan are numbered by file and place in it. Of other tables (joined, exploded, made), and beyond MOST_FILES
+    files, a numbered copy is kept."""
     from pyspark.errors import AnalysisException
 
-    try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    except AnalysisException:
-        placed = None
+    node, file, row, name, first = (free_name(docs.columns, n) for n in ("node", "file", "row", "file_name", "file_first"))
+    placed = None
+    if _rows_of_files(docs):
+        try:
+            placed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+        except AnalysisException:
+            pass
     if placed is not None:
-        files = placed.select("__file").distinct().limit(MOST_FILES + 1).toArrow().column(0).to_pylist()
+        files = placed.select(file).distinct().limit(MOST_FILES + 1).toArrow().column(0).to_pylist()
         if len(files) <= MOST_FILES and None not in files:
-            number = docs.sparkSession.createDataFrame([(f, k << 40) for k, f in enumerate(sorted(files))], "__name string, __first bigint")
-            found = placed.join(F.broadcast(number), F.col("__file") == F.col("__name"))
-            return found.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col("__first") + F.col("__row")).alias("__node"))
-    return cut(docs.withColumn("__node", F.monotonically_increasing_id()))
+            number = docs.sparkSession.createDataFrame([(f, k << 40) for k, f in enumerate(sorted(files))], f"`{name}` string, `{first}` bigint")
+            found = placed.join(F.broadcast(number), F.col(f"`{file}`") == F.col(f"`{name}`"))
+            return found.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(f"`{first}`") + F.col(f"`{row}`")).alias(node)), node
+    return cut(docs.withColumn(node, F.monotonically_increasing_id())), node
 
 
-def keep_one(rows: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def keep_one(rows: DataFrame, number: str, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """numbered rows without all but one of each group. members: node, grp, at most one row for each node.
 
     The smallest id stays, a null id only if there is no other; of equal ids the smallest hash of the text, then of equal
     texts the smallest number. The choice is an aggregate with a map side; the anti-join carries numbers only."""
     members = cut(members)  # read three times below
-    order = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("s"), F.col("__node").alias("k"))
-    placed = rows.select("__node", order.alias("o")).join(members.hint("merge"), F.col("__node") == F.col("node"))
+    own = F.col(f"`{number}`")
+    order = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"), F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256).alias("s"), own.alias("k"))
+    placed = rows.select(own.alias("k"), order.alias("o")).join(members.hint("merge"), F.col("k") == F.col("node"))
     best = placed.groupBy("grp").agg(F.min("o").alias("o")).select(F.col("o.k").alias("best"))
-    gone = members.join(best.hint("merge"), F.col("node") == F.col("best"), "left_anti").select(F.col("node").alias("__gone"))
-    return rows.join(gone.hint("merge"), F.col("__node") == F.col("__gone"), "left_anti").drop("__node")
+    lost = free_name(rows.columns, "gone")
+    gone = members.join(best.hint("merge"), F.col("node") == F.col("best"), "left_anti").select(F.col("node").alias(lost))
+    return rows.join(gone.hint("merge"), own == F.col(f"`{lost}`"), "left_anti").drop(number)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import apart, cut, release
+from motionloom.llm.common import Scratch, apart, cut, release
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -30,18 +30,19 @@ def connected_components(links: DataFrame) -> DataFrame:
     """links: a, b (bigint, any order, repeats allowed, nulls ignored). Returns node, root for every node but the roots
     themselves; root is the smallest node reachable. An empty table gives an empty result.
 
-    Each round is cut with a reliable checkpoint; the driver sees a count and a checksum only."""
+    Each round is a written table; the driver sees a count and a checksum only."""
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = cut(links.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"))
-    before = _state(links)
-    while before[0]:
-        links = cut(_star(_star(links, large=True), large=False))
-        after = _state(links)
-        if after == before:
-            break
-        before = after
-        release(links.sparkSession)
-    return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    with Scratch(links.sparkSession, "components") as tables:
+        links = tables.keep(links.groupBy("a", "b").agg(F.lit(1).alias("one")).select("a", "b"))
+        before = _state(links)
+        while before[0]:
+            links = tables.keep(_star(_star(links, large=True), large=False))
+            after = _state(links)
+            if after == before:
+                break
+            before = after
+            release(links.sparkSession)
+        return cut(links.select(F.col("a").alias("node"), F.col("b").alias("root")))
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import UPPER, small_batches, table, text_slices
+from motionloom.llm.common import UPPER, cut, small_batches, table, text_slices
 from motionloom.llm.words import words_of
 from motionloom.operators.ranks import in_order
 
@@ -158,7 +158,6 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """item_col, rank (from 1), id_col, score: for each item the k documents with the highest scores above 0, ties to the smaller id."""
     spark = docs.sparkSession
-    small_batches(spark)
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     asked = _items(items, item_col, item_text_col)
     last = asked.agg(F.max("block")).first()[0]
@@ -171,10 +170,12 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, id_col: str = "doc_id"
         vocabulary = flat.unique()
         where = pc.index_in(flat, value_set=vocabulary).to_numpy()
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(rows.column("terms")).to_numpy())])
-        n, total, df = _frequencies(src.select("text"), words := spark.sparkContext.broadcast(vocabulary))
+        with small_batches(spark):
+            n, total, df = _frequencies(src.select("text"), words := spark.sparkContext.broadcast(vocabulary))
         weights = np.array([term_weight(n, df.get(t, 0)) for t in range(len(vocabulary))], np.int64)
         todo = [(number, where[a:z], weights[where[a:z]]) for number, a, z in zip(rows.column("number").to_pylist(), ends[:-1], ends[1:], strict=True)]
-        found = found.union(_searched(src, words, spark.sparkContext.broadcast(todo), n, total, k))
+        with small_batches(spark):
+            found = found.union(cut(_searched(src, words, spark.sparkContext.broadcast(todo), n, total, k)))
     names = asked.select(F.col("number").alias("no"), "item")
     return _best(found, k).join(names, F.col("number") == F.col("no")).select(F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")
 

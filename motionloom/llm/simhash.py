@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.llm import jaccard
-from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, release, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, release, small_batches, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
 RADIUS = 3
@@ -175,8 +175,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def ball_pairs(rows: DataFrame, text_col: str = "text", words_per_shingle: int = 5) -> DataFrame:
-    """rows: numbered -> a, b (a < b, distinct): pairs that connect all rows whose fingerprints are within 3 bits."""
-    placed = cut(fingerprints(rows, "__node", text_col, words_per_shingle))
+    """rows: node, text -> a, b (a < b, distinct): pairs that connect all rows whose fingerprints are within 3 bits."""
+    placed = cut(fingerprints(rows, "node", text_col, words_per_shingle))
     first = cut(placed.groupBy("fp").agg(F.min("id").alias("low")))
     release(rows.sparkSession)
     same = placed.join(first.select(F.col("fp").alias("f"), "low"), apart(F.col("fp")) == apart(F.col("f"))).where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b"))
@@ -194,9 +194,11 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     within 3 bits beforehand; the result is the same. Null text counts as empty; texts without words are equal; rows
     without id take part and stay only where no other row of their group has an id; of repeated rows one stays. An empty
     table gives an empty result. Columns of any other names pass through."""
-    rows = numbered(docs)
-    members = jaccard.near_members(rows, text_col, ball_pairs(rows, text_col) if balls_first else None)
-    return keep_one(rows, members, id_col, text_col)
+    rows, node = numbered(docs)
+    texts = rows.select(F.col(f"`{node}`").alias("node"), F.col(f"`{text_col}`").alias("text"))
+    with small_batches(docs.sparkSession):
+        members = jaccard.near_members(texts, ball_pairs(texts) if balls_first else None)
+        return keep_one(rows, node, members, id_col, text_col)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

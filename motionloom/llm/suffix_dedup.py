@@ -31,10 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.llm.common import apart, as_bytes, cut, release, small_batches, table, text_slices
+from motionloom.operators.ranks import free_name
 
 DEPTH, GRAM = 200, 64
 SECTION = 1 << 20
-HOT_CONTENTS, BUCKET_RUNS = 5000, 8000
+HOT_CONTENTS, BUCKET_BYTES = 5000, 2 << 20
 u64 = np.uint64
 
 
@@ -167,7 +168,6 @@ def _runs(rows: DataFrame, depth: int) -> DataFrame:
 
 def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTENTS) -> DataFrame:
     """rows: id, th (hash of the text), text -> id, th, a, b: byte intervals that repeated windows cover, overlapping."""
-    small_batches(rows.sparkSession)
     seen = _runs(rows, depth)
     shared = seen.groupBy(F.col("digit").alias("d")).agg(F.count(F.lit(1)).alias("times"), F.max("cyclic").alias("any_cyclic")).where("times > 1 OR any_cyclic").select("d")
     mine = cut(seen.join(shared, apart(F.col("digit")) == apart(F.col("d"))).drop("d"))
@@ -222,7 +222,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
         return pa.table({"id": got.column("id").take(who), "th": got.column("th").take(who), "a": pa.array(start[new]), "b": pa.array(start[last] + depth)})
 
     cold = fetched.where("NOT hot")
-    buckets = max(1, math.ceil(cold.count() / BUCKET_RUNS))
+    buckets = max(1, math.ceil((cold.agg(F.sum(F.octet_length("seg"))).first()[0] or 0) / BUCKET_BYTES))
     sorted_ = cold.withColumn("bucket", F.pmod(F.xxhash64("digit"), F.lit(buckets))).groupBy("bucket").applyInArrow(sort, "id bigint, th bigint, a bigint, b bigint")
     warm = fetched.where("hot").select("id", "th", F.col("digit").alias("w1"), F.col("h2").alias("w2"), "start", "weight")
     twice = warm.groupBy(F.col("w1").alias("x1"), F.col("w2").alias("x2")).agg(F.sum("weight").alias("total")).where("total > 1")
@@ -238,7 +238,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def cuts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, hot: int = HOT_CONTENTS) -> DataFrame:
     """id (null as 0), th, spans (array of struct a, b, overlapping, in bytes): a row for each text that loses something."""
     rows = _keyed(docs, id_col, text_col)
-    return repeated_intervals(rows, depth, hot).groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    with small_batches(docs.sparkSession):
+        found = cut(repeated_intervals(rows, depth, hot))
+    return found.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, hot: int = HOT_CONTENTS) -> DataFrame:
@@ -268,17 +270,19 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, length_col: str | None = "n_chars") -> DataFrame:
     """docs, all rows and columns, with repeated windows cut from the text; part of a character that a cut leaves is dropped.
     length_col, where present, becomes the number of characters that are left."""
-    lists = cuts(docs, id_col, text_col, depth).select(F.col("i").alias("__i"), F.col("t").alias("__t"), F.col("spans").alias("__spans"))
+    cut_at = free_name(docs.columns, "cut_at")
+    lists = cuts(docs, id_col, text_col, depth).select(F.struct("i", "t", "spans").alias(cut_at))
+    key, spans = (F.col(f"`{cut_at}`.{c}") for c in ("i", "spans"))
 
     @F.pandas_udf("string")
     def cut_text(text, spans):
         return text.combine(spans, lambda t, s: t if s is None else without((t or "").encode(), merged([(x["a"], x["b"]) for x in s])).decode("utf-8", "ignore"))
 
     text = F.col(f"`{text_col}`")
-    joined = docs.join(lists, (F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(0)) == F.col("__i")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__t")), "left")
-    lost = joined.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(cut_text(text, F.col("__spans"))))
+    joined = docs.join(lists, (F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(0)) == key) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col(f"`{cut_at}`.t")), "left")
+    lost = joined.withColumn(text_col, F.when(spans.isNull(), text).otherwise(cut_text(text, spans)))
     if length_col in docs.columns:
-        lost = lost.withColumn(length_col, F.when(F.col("__spans").isNull(), F.col(f"`{length_col}`")).otherwise(F.char_length(text).cast(docs.schema[length_col].dataType)))
+        lost = lost.withColumn(length_col, F.when(spans.isNull(), F.col(f"`{length_col}`")).otherwise(F.char_length(text).cast(docs.schema[length_col].dataType)))
     return lost.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

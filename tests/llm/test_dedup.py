@@ -315,3 +315,56 @@ def test_sketches_never_rule_out_similar_sets():
             assert may or not alike
             ruled_out += not may
     assert ruled_out > 40
+
+
+def test_pairs_on_one_shared_shingle_are_linear(spark, monkeypatch):
+    """Texts that are alike in one shingle only, and families among them: few pairs are compared, and every link is found."""
+    monkeypatch.setattr(jaccard, "COMMON_IN_SAMPLE", 10**9)  # so that the shared shingle stands anywhere in the order
+    seen = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a, **k: seen.append(pairs.count()) or verified(pairs, *a, **k))
+    rng = random.Random(4)
+    shared = "one two three four five"
+    rows = [(k, shared + " " + " ".join(f"own{k}x{j}" for j in range(9))) for k in range(300)]
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert got.count() == 300 and sum(seen) <= 3 * 300
+    # families over one passage: apart in the hub's eyes, alike among themselves
+    passage = [f"p{j}" for j in range(12)]
+    more = []
+    for f in range(30):
+        base = passage + [f"f{f}x{j}" for j in range(30)]
+        more += [(1000 + 10 * f + k, " ".join(base + [f"tail{f}x{k}"] * (k % 3))) for k in range(rng.randint(1, 6))]
+    assert sorted((tuple(r) for r in simhash.drop_near_duplicates(spark.createDataFrame(rows[:40] + more, "doc_id bigint, text string")).collect()), key=str) == brute_near(rows[:40] + more)
+
+
+def test_numbers_of_joined_and_exploded_rows(spark, tmp_path):
+    words = " ".join(f"w{k}" for k in range(30))
+    spark.createDataFrame([(1, words), (2, "other " + words[::-1])], "doc_id bigint, text string").write.parquet(f"{tmp_path}/t")
+    docs = spark.read.parquet(f"{tmp_path}/t")
+    exploded = docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
+    assert simhash.drop_near_duplicates(exploded).count() == 2
+    other = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "i bigint, x string")
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs.join(other, F.col("doc_id") == F.col("i"))).collect()) == [1, 2]
+    assert simhash.drop_near_duplicates(docs.unionAll(docs)).count() == 2
+
+
+@pytest.mark.parametrize("name", ["__node", "node", "__gone", "gone", "__file", "file", "row", "file_name", "file_first", "__row", "NODE", "grp", "__i", "__t", "__spans", "cut_at", "spans", "i", "t", "a", "b"])
+def test_columns_of_any_name_pass_through(spark, tmp_path_factory, name):
+    path = tmp_path_factory.mktemp("named")
+    text = "x" * 250
+    spark.createDataFrame([(1, text + "a", "one"), (2, text + "b", "two"), (3, "c d e f g h", "three")], f"doc_id bigint, text string, `{name}` string").write.parquet(f"{path}/t")
+    docs = spark.read.parquet(f"{path}/t")
+    kept = suffix_dedup.remove_repeats(docs, length_col=None)
+    assert kept.columns == docs.columns and sorted(r[2] for r in kept.collect()) == ["one", "three", "two"]
+    from motionloom.llm.common import keep_one, numbered
+
+    rows, node = numbered(docs)
+    members = rows.where("doc_id < 3").select(F.col(f"`{node}`").alias("node"), F.lit(7).alias("grp"))
+    assert sorted(r[2] for r in keep_one(rows, node, members, "doc_id", "text").collect()) == ["one", "three"]
+
+
+def test_batch_size_of_the_session_stays(spark, docs):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    simhash.drop_near_duplicates(docs).count()
+    suffix_dedup.removal(docs).count()
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
