@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,9 +43,13 @@ def cross(a: Column, b: Column) -> Column:
     return F.array(a1 * b2 - a2 * b1, a2 * b0 - a0 * b2, a0 * b1 - a1 * b0)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value evaluated once however often body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unit(v: Column, eps: float = 1e-12) -> Column:
-    n = F.greatest(norm(v), F.lit(eps))
-    return F.transform(v, lambda x: x / n)
+    return let(F.greatest(norm(v), F.lit(eps)), lambda n: F.transform(v, lambda x: x / n))
 
 
 def xyz_to_state_frame(p: Column) -> Column:
@@ -69,16 +75,19 @@ def action_quaternion_to_rot6d(q: Column) -> Column:
 
 
 def rot6d_rows(r: Column, column_major: bool = False) -> Column:
-    """Six numbers to a 3 x 3 rotation by Gram-Schmidt: array of three rows (three columns if column_major is set)."""
-    a, b = (F.slice(r, 1, 3), F.slice(r, 4, 3)) if not column_major else (F.array(r[0], r[2], r[4]), F.array(r[1], r[3], r[5]))
-    first = unit(a)
-    along = dot(first, b)
-    second = unit(F.zip_with(b, first, lambda y, x: y - along * x))
-    return F.array(first, second, cross(first, second))
+    """Six numbers to the three rows of a rotation by Gram-Schmidt; they are its first two rows, or columns if column_major is set."""
+    a, b = F.slice(r, 1, 3), F.slice(r, 4, 3)
+    across = lambda first: let(dot(first, b), lambda along: unit(F.zip_with(b, first, lambda y, x: y - along * x)))
+    found = let(unit(a), lambda first: let(across(first), lambda second: F.array(first, second, cross(first, second))))
+    return transposed(found) if column_major else found
+
+
+def transposed(rows: Column) -> Column:
+    return F.transform(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda i: F.transform(rows, lambda row: F.get(row, i)))
 
 
 def rows_to_rot6d(rows: Column) -> Column:
-    return F.concat(rows[0], rows[1])
+    return let(rows, lambda r: F.concat(r[0], r[1]))
 
 
 def angle_degrees(trace: Column) -> Column:

@@ -48,25 +48,33 @@ def rot6d_matrices(r: np.ndarray) -> np.ndarray:
 
 
 def best_rotation_map(frames: DataFrame, state: str, action: str, key: str = "episode_index", most: int = 0, chunk: int = 2048) -> DataFrame:
-    """Key, transpose, left, right, degrees: the map L A R (or of A transposed) with the smallest mean angle to the state.
-    (L, R) and (-L, -R) are the same map; the pair with the smaller numbers is given. most: frames per episode, spaced evenly;
-    0 takes every frame. chunk: frames whose angles are held at a time.
+    """Key, transpose, left, right, degrees, p50, p95, largest, rot6d_rmse: the map L A R (or of A transposed) with the smallest mean
+    angle to the state, and the angles' median, 95th percentile and maximum and the error of six numbers under it.
+    (L, R) and (-L, -R) are the same map; the pair with the smaller numbers is given. Frames with values that are not finite
+    are left out; an episode of no others has no row. most: frames per episode, spaced evenly; 0 takes every frame. chunk:
+    frames whose angles are held at a time.
     The trace of each candidate is a signed sum of nine products out of 81, so no candidate multiplies matrices."""
     axes = signed_axis_matrices()
     # of L and -L, the one with the smaller number
     lefts = [n for n in range(48) if n % 8 < 4]
     # trace = sum of s[i, j] b[m, k] L[i, m] R[k, j]
     weights = np.einsum("lim,rkj->ijmklr", axes[lefts], axes).reshape(81, -1)
+    names = [key, "transpose", "left", "right", "degrees", "p50", "p95", "largest", "rot6d_rmse"]
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("frame_index")
-        pick = np.unique(np.linspace(0, len(pdf) - 1, min(most or len(pdf), len(pdf))).astype(int))
+        flat = np.stack([np.concatenate([np.asarray(s, float), np.asarray(a, float)]) for s, a in zip(pdf[state], pdf[action], strict=True)])
+        flat = flat[np.isfinite(flat).all(axis=1)]
+        if not len(flat):
+            return pd.DataFrame({n: [] for n in names})
+        pick = np.unique(np.linspace(0, len(flat) - 1, min(most or len(flat), len(flat))).astype(int))
+        pieces = [pick[at : at + chunk] for at in range(0, len(pick), chunk)]
+        turned = lambda a, flip: a.transpose(0, 2, 1) if flip else a
         total = np.zeros((2, weights.shape[1]))
-        for at in range(0, len(pick), chunk):
-            s, a = (rot6d_matrices(np.stack([np.asarray(v, float) for v in pdf[c].iloc[pick[at : at + chunk]]])) for c in (state, action))
+        for piece in pieces:
+            s, a = rot6d_matrices(flat[piece, :6]), rot6d_matrices(flat[piece, 6:])
             for flip in (0, 1):
-                b = a.transpose(0, 2, 1) if flip else a
-                traces = np.einsum("nij,nmk->nijmk", s, b).reshape(-1, 81) @ weights
+                traces = np.einsum("nij,nmk->nijmk", s, turned(a, flip)).reshape(-1, 81) @ weights
                 total[flip] += np.degrees(np.arccos(np.clip((traces - 1) / 2, -1, 1))).sum(axis=0)
         best = None
         for flip, degs in enumerate((total / len(pick)).reshape(2, len(lefts), 48)):
@@ -74,6 +82,14 @@ def best_rotation_map(frames: DataFrame, state: str, action: str, key: str = "ep
                 r = int(np.argmin(np.round(deg, 9)))
                 if best is None or deg[r] < best[3] - 1e-9:
                     best = (bool(flip), left, r, float(deg[r]))
-        return pd.DataFrame([[pdf[key].iloc[0], *best]], columns=[key, "transpose", "left", "right", "degrees"])
+        angles, squares = [], 0.0
+        for piece in pieces:
+            s, a = rot6d_matrices(flat[piece, :6]), rot6d_matrices(flat[piece, 6:])
+            made = axes[best[1]] @ turned(a, best[0]) @ axes[best[2]]
+            angles.append(np.degrees(np.arccos(np.clip(((s * made).sum(axis=(1, 2)) - 1) / 2, -1, 1))))
+            squares += float(((s - made)[:, :2] ** 2).sum())
+        angles = np.concatenate(angles)
+        row = [pdf[key].iloc[0], *best, *map(float, np.percentile(angles, [50, 95])), float(angles.max()), float(np.sqrt(squares / (6 * len(angles))))]
+        return pd.DataFrame([row], columns=names)
 
-    return frames.select(key, "frame_index", state, action).groupBy(key).applyInPandas(search, f"{key} bigint, transpose boolean, left int, right int, degrees double")
+    return frames.select(key, "frame_index", state, action).groupBy(key).applyInPandas(search, f"{key} bigint, transpose boolean, left int, right int, degrees double, p50 double, p95 double, largest double, rot6d_rmse double")
