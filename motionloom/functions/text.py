@@ -114,7 +114,7 @@ def action_name(dim: Column) -> Column:
 
 def action_group(dim: Column) -> Column:
     """Of a relative action's dimension."""
-    return F.when(dim < 3, "eef_xyz").when(dim < 9, "eef_rot6d").when(dim < 19, "hand").otherwise("arm")
+    return F.when(dim < 3, "eef_xyz").when(dim < 9, "eef_rot6d").when(dim < 19, "hand_joint_target").otherwise("arm_joint_target")
 
 
 def with_prefix(x: Column, prefix: str) -> Column:

@@ -194,7 +194,7 @@ def before_after(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("smoothing_change", f"""WITH {BEFORE_AFTER}, x AS (SELECT episode_index, generate_subscripts(a, 1) - 1 AS dim, unnest(a) - unnest(b) AS x FROM ba)
- SELECT episode_index, CASE WHEN dim < 3 THEN 'eef_xyz' WHEN dim < 9 THEN 'eef_rot6d' WHEN dim < 19 THEN 'hand' ELSE 'arm' END AS action_group, round(avg(abs(x)), 6) AS mean_abs, round(max(abs(x)), 6) AS max_abs, round(sqrt(avg(x * x)), 6) AS rms FROM x GROUP BY 1, 2""")
+ SELECT episode_index, CASE WHEN dim < 3 THEN 'eef_xyz' WHEN dim < 9 THEN 'eef_rot6d' WHEN dim < 19 THEN 'hand_joint_target' ELSE 'arm_joint_target' END AS action_group, round(avg(abs(x)), 6) AS mean_abs, round(max(abs(x)), 6) AS max_abs, round(sqrt(avg(x * x)), 6) AS rms FROM x GROUP BY 1, 2""")
 def smoothing_change(spark: SparkSession, d: str) -> DataFrame:
     from motionloom.functions.text import action_group
 
@@ -215,8 +215,9 @@ def before_after_diff_by_horizon(spark: SparkSession, d: str, horizons: tuple[in
 
 
 REL = f"""{VF}, h AS (SELECT CAST(unnest([1, 2, 4, 8, 16]) AS INTEGER) AS horizon),
- r AS (SELECT x.episode_index, x.frame_index, h.horizon, list_transform(list_zip(y.action[10:19], x.action[10:19]), lambda p: p[1] - p[2]) AS rel FROM vf x CROSS JOIN h JOIN vf y ON x.episode_index = y.episode_index AND y.frame_index = x.frame_index + h.horizon),
- l AS (SELECT episode_index, frame_index, horizon, CAST(generate_subscripts(rel, 1) - 1 AS INTEGER) AS dim, unnest(rel) AS value FROM r),
+ r AS MATERIALIZED (SELECT episode_index, frame_index, horizon, list_transform(list_zip(y, x), lambda p: p[1] - p[2]) AS rel FROM (
+  SELECT episode_index, frame_index, horizon, action[10:19] AS x, lead(action[10:19], horizon) OVER (PARTITION BY episode_index, horizon ORDER BY frame_index) AS y FROM vf CROSS JOIN h) WHERE y IS NOT NULL),
+ l AS MATERIALIZED (SELECT episode_index, frame_index, horizon, CAST(generate_subscripts(rel, 1) - 1 AS INTEGER) AS dim, unnest(rel) AS value FROM r),
  b AS (SELECT horizon, dim, quantile_cont(value, 0.01) AS q01, quantile_cont(value, 0.99) AS q99 FROM l GROUP BY 1, 2),
  c AS (SELECT l.*, q01, q99, 2 * (value - q01) / greatest(q99 - q01, 1e-8) - 1 AS norm FROM l JOIN b USING (horizon, dim))"""
 
@@ -296,10 +297,10 @@ def relative_pose_by_horizon(spark: SparkSession, d: str, horizons: tuple[int, .
 
 
 @query("hand_ahead_of_state", f"""WITH {VF}, h AS (SELECT CAST(unnest([1, 2, 4, 8, 16, 32]) AS INTEGER) AS horizon),
- j AS (SELECT h.horizon, list_transform(list_zip(b.action[1:6], a.state[1:6]), lambda q: q[1] - q[2]) AS rel FROM vf a CROSS JOIN h JOIN vf b ON a.episode_index = b.episode_index AND b.frame_index = a.frame_index + h.horizon - 1)
+ j AS (SELECT h.horizon, list_transform(list_zip(b.action[10:19], a.state[17:26]), lambda q: q[1] - q[2]) AS rel FROM vf a CROSS JOIN h JOIN vf b ON a.episode_index = b.episode_index AND b.frame_index = a.frame_index + h.horizon - 1)
  SELECT horizon, count(*) AS pairs, round(avg(sqrt(list_dot_product(rel, rel))), 6) AS mean, round(max(sqrt(list_dot_product(rel, rel))), 6) AS most FROM j GROUP BY 1""")
 def hand_ahead_of_state(spark: SparkSession, d: str) -> DataFrame:
-    hand = vector_frames(spark, d).select(E, "frame_index", F.slice("state", 1, 6).alias("own"), F.slice("action", 1, 6).alias("sent"))
+    hand = vector_frames(spark, d).select(E, "frame_index", F.slice("state", 17, 10).alias("own"), F.slice("action", 10, 10).alias("sent"))
     far = V.norm(F.col("rel"))
     return R.relative_vector(R.ahead_of_state(hand, "own", "sent", HORIZONS)).groupBy("horizon").agg(F.count(F.lit(1)).alias("pairs"), r6(F.avg(far)).alias("mean"), r6(F.max(far)).alias("most"))
 

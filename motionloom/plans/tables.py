@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from motionloom.functions import text as X
 from motionloom.functions.vectors import r6
+from motionloom.operators import clips as C
 from motionloom.operators import incremental as I
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
@@ -178,3 +179,17 @@ def task_alignment(spark: SparkSession, d: str) -> DataFrame:
 
     c = read(spark, d, "customer").groupBy(X.task_text(F.col("c_mktsegment")).alias("task")).agg(F.count(F.lit(1)).alias("episodes"))
     return c.select((F.row_number().over(Window.orderBy("task")) - 1).alias("task_index"), "task", "episodes")
+
+
+@query("clip_rows", f"""WITH {SFR}, n AS (SELECT episode_index, count(*) AS n FROM sfr GROUP BY 1), w AS (SELECT episode_index AS source_episode, 1 AS a, least(n - 1, 5) AS z FROM n WHERE n >= 2 UNION ALL SELECT episode_index, 0, 0 FROM n),
+ o AS (SELECT *, row_number() OVER (ORDER BY source_episode, a, z) - 1 + (SELECT count(*) FROM n) AS e, coalesce(sum(z - a + 1) OVER (ORDER BY source_episode, a, z ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + (SELECT count(*) FROM sfr) AS b FROM w)
+ SELECT e AS episode_index, frame_index - a AS frame_index, CAST(b + frame_index - a AS BIGINT) AS index, round((frame_index - a) / 10.0, 6) AS timestamp, frame_index = z AS done, round(value, 6) AS value FROM o JOIN sfr ON sfr.episode_index = o.source_episode AND frame_index BETWEEN a AND z""")
+def clip_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Two clips of every episode, as appended after all episodes: frames 1 to 5, and frame 0."""
+    frames = scalar_frames(spark, d)
+    n = frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("n"))
+    first = n.where("n >= 2").select(F.col("episode_index").alias("source_episode"), F.lit(1).cast("bigint").alias("start_frame"), F.least(F.col("n") - 1, F.lit(5)).alias("end_frame"))
+    second = n.select(F.col("episode_index").alias("source_episode"), F.lit(0).cast("bigint").alias("start_frame"), F.lit(0).cast("bigint").alias("end_frame"))
+    episodes, rows = n.agg(F.count(F.lit(1)), F.sum("n")).first()
+    out = C.clipped(frames, C.allocated(first.union(second), episodes, rows), 10.0)
+    return out.select("episode_index", "frame_index", "index", r6("timestamp").alias("timestamp"), "done", r6("value").alias("value"))
