@@ -9,7 +9,7 @@ from motionloom.functions.vectors import r6
 from motionloom.operators import rules as U
 from motionloom.operators import stats as A
 from motionloom.plans.registry import query
-from motionloom.plans.views import EPISODES, step_metrics
+from motionloom.plans.views import EPISODES, read, step_metrics
 
 E = "episode_index"
 
@@ -159,3 +159,26 @@ def correlation_matrix(spark: SparkSession, d: str) -> DataFrame:
     pairs = [("a", "b"), ("a", "c"), ("b", "c")]
     one = x.groupBy("g").agg(*[A.guarded_corr(F.col(p), F.col(q)).alias(p + q) for p, q in pairs])
     return one.select("g", F.explode(F.array(*[F.struct(F.lit(p).alias("row"), F.lit(q).alias("col"), r6(p + q).alias("corr")) for p, q in pairs])).alias("m")).select("g", "m.*")
+
+
+@query("video_issues", """WITH n AS (SELECT l_orderkey, count(*) AS length, sum(l_quantity) / 100 AS duration_s FROM lineitem GROUP BY 1),
+ v AS (SELECT o_orderkey AS episode_index, strftime(o_orderdate, '%Y-%m-%d') AS source_date, n.l_orderkey IS NOT NULL AS present, length, CASE WHEN o_orderpriority LIKE '1%' THEN 'hevc' ELSE 'h264' END AS codec, CASE WHEN o_orderstatus = 'P' THEN 'yuv422p' ELSE 'yuv420p' END AS pix_fmt,
+  duration_s, CASE WHEN o_orderpriority LIKE '5%' AND o_orderstatus = 'O' THEN 'torn' END AS reason, o_totalprice / 5000 AS sharpness FROM orders LEFT JOIN n ON o_orderkey = l_orderkey)
+ SELECT episode_index, source_date, code, severity, round(value, 6) AS value FROM (
+  SELECT *, 'missing_video' AS code, 'error' AS severity, NULL::DOUBLE AS value FROM v WHERE NOT present
+  UNION ALL SELECT *, 'probe_failed', 'error', NULL FROM v WHERE present AND reason IS NOT NULL
+  UNION ALL SELECT *, 'browser_unsafe_codec', 'warning', NULL FROM v WHERE present AND reason IS NULL AND NOT (codec = 'h264' AND pix_fmt = 'yuv420p')
+  UNION ALL SELECT *, 'duration_mismatch', 'warning', duration_s - length / 10.0 FROM v WHERE present AND abs(duration_s - length / 10.0) > 0.5
+  UNION ALL SELECT *, 'low_sharpness', 'warning', sharpness FROM v WHERE present AND sharpness < 20)""")
+def video_issues(spark: SparkSession, d: str) -> DataFrame:
+    """The rules of videos over orders: lines are frames, their quantity the duration, priority and status the layout."""
+    from motionloom.sources import containers
+
+    lines = read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("length"), (F.sum("l_quantity") / 100).alias("duration_s"))
+    o = read(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    videos = o.select(
+        F.col("o_orderkey").alias("episode_index"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("source_date"), F.lit("main").alias("video_key"), F.col("l_orderkey").isNotNull().alias("present"), "length",
+        F.when(F.col("o_orderpriority").startswith("1"), "hevc").otherwise("h264").alias("codec"), F.when(F.col("o_orderstatus") == "P", "yuv422p").otherwise("yuv420p").alias("pix_fmt"), "duration_s",
+        F.when(F.col("o_orderpriority").startswith("5") & (F.col("o_orderstatus") == "O"), "torn").alias("reason"), (F.col("o_totalprice") / 5000).alias("sharpness"),
+    )
+    return containers.video_issues(videos, 10.0).select("episode_index", "source_date", "code", "severity", r6("value").alias("value"))
