@@ -12,6 +12,7 @@ from motionloom.operators import incremental as I
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
 from motionloom.plans.registry import query
+from motionloom.sources import discovery
 from motionloom.plans.views import SFR, VF, read, scalar_frames, vector_frames
 
 
@@ -193,3 +194,19 @@ def clip_rows(spark: SparkSession, d: str) -> DataFrame:
     episodes, rows = n.agg(F.count(F.lit(1)), F.sum("n")).first()
     out = C.clipped(frames, C.allocated(first.union(second), episodes, rows), 10.0)
     return out.select("episode_index", "frame_index", "index", r6("timestamp").alias("timestamp"), "done", r6("value").alias("value"))
+
+
+@query("discovered_paths", """SELECT c_custkey AS episode_index, CASE WHEN c_custkey % 3 = 0 THEN 'given/' || c_custkey || '.parquet' WHEN c_custkey % 7 = 0 THEN 'made/' || c_custkey || '.parquet' ELSE printf('data/chunk-%03d/episode_%06d.parquet', c_custkey // 100, c_custkey) END AS data_path,
+ CASE WHEN c_custkey % 5 = 0 THEN 'v/' || c_custkey || '.mp4' ELSE printf('videos/ego/%06d.mp4', c_custkey) END AS video_path, CASE WHEN c_custkey % 2 = 0 THEN 'unknown' ELSE '2024-01-' || lpad(CAST(1 + c_nationkey AS VARCHAR), 2, '0') END AS source_date FROM customer""")
+def discovered_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Paths and dates of rows with own, nested, absent and null keys."""
+    c = read(spark, d, "customer")
+    key = F.col("c_custkey")
+    text = lambda *p: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in p])
+    day = F.concat(F.lit("ep_202401"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0"), F.lit("_x"))
+    nested = F.concat_ws(",", text('"raw_episode_id":"', day, '"'), F.when(key % 3 == 0, text('"data_path":"given/', key, '.parquet"')), F.when(key % 5 == 0, text('"video_paths":{"ego":"v/', key, '.mp4"}')))
+    row = F.concat_ws(",", text('"episode_index":', key), F.when(key % 2 == 0, F.lit('"raw_episode_id":null')), F.when(key % 7 == 0, text('"output_data_path":"made/', key, '.parquet"')), text('"teleop_stack_metadata":{', nested, "}"))
+    info = {"chunks_size": 100, "video_path": "videos/{video_key}/{episode_index:06d}.mp4", "features": {"ego": {"dtype": "video"}}}
+    files = spark.createDataFrame([], "file string, size bigint, modified timestamp")
+    out = discovery.episodes_with_files(c.select(text("{", row, "}").alias("value")), files, info)
+    return out.select("episode_index", "data_path", F.col("videos")[0]["path"].alias("video_path"), "source_date")
