@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
+import operator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from motionloom.functions.vectors import finite
+
 
 def signed_permutations() -> list[tuple[tuple[int, int, int], tuple[int, int, int]]]:
     """The 48 ways to permute three axes and flip signs: permutations in order, signs from all minus to all plus."""
@@ -19,7 +23,9 @@ def best_axis_permutation(frames: DataFrame, state: str, action: str, key: str =
     """Key, candidate (its number), perm, signs, rmse: state_i ~ sign_i * action_perm(i) (+ a constant). The error of a
     candidate follows from 3 + 3 + 9 moments, so frames are read once; the smallest number wins ties."""
     s, a = [F.col(state)[i] for i in range(3)], [F.col(action)[i] for i in range(3)]
-    flat = frames.select(key, *[s[i].alias(f"s{i}") for i in range(3)], *[a[i].alias(f"a{i}") for i in range(3)])
+    # frames with a value that is not finite take no part
+    whole = functools.reduce(operator.and_, [finite(x).isNotNull() for x in (*s, *a)])
+    flat = frames.select(key, *[F.when(whole, x).alias(f"{c}{i}") for c, v in (("s", s), ("a", a)) for i, x in enumerate(v)])
     var = (lambda x: F.var_pop(x)) if offset else (lambda x: F.avg(F.col(x) * F.col(x)))
     cov = (lambda x, y: F.covar_pop(x, y)) if offset else (lambda x, y: F.avg(F.col(x) * F.col(y)))
     m = flat.groupBy(key).agg(*[var(f"{c}{i}").alias(f"v{c}{i}") for c in "sa" for i in range(3)], *[cov(f"s{i}", f"a{j}").alias(f"c{i}{j}") for i in range(3) for j in range(3)])

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from motionloom.functions.vectors import finite
 from motionloom.operators.mapping import best_axis_permutation
 from motionloom.operators.sequences import lag_by_rmse
 from motionloom.operators.stats import guarded_corr
@@ -24,9 +25,11 @@ def mapped(position: Column, perm: Sequence[int] = EXPECTED_PERM, signs: Sequenc
 
 
 def _rmse(pairs: Sequence[tuple[Column, Column]], offset: bool) -> Column:
-    """Over all frames and axes of a group; offset: after the mean difference of each axis is taken off."""
-    parts = [F.var_pop(a - b) if offset else F.avg((a - b) * (a - b)) for a, b in pairs]
-    return F.sqrt(sum(parts[1:], parts[0]) / F.lit(len(parts)))
+    """Over all frames and axes of a group whose difference is finite; offset: after the mean difference of each axis is taken off."""
+    gaps = [finite(a - b) for a, b in pairs]
+    squares = [F.coalesce(F.var_pop(g) * F.count(g) if offset else F.sum(g * g), F.lit(0.0)) for g in gaps]
+    number = sum((F.count(g) for g in gaps[1:]), F.count(gaps[0]))
+    return F.when(number > 0, F.sqrt(sum(squares[1:], squares[0]) / number))
 
 
 def inspect_positions(frames: DataFrame, state: str, action: str, key: str = "episode_index") -> DataFrame:

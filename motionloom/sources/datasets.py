@@ -59,8 +59,8 @@ def write_metadata(spark: SparkSession, root: str, episodes: DataFrame, tasks: D
     info = {"total_episodes": t["e"], "total_frames": t["f"], "total_tasks": tasks.count(), "total_chunks": t["c"], "chunks_size": CHUNK, "fps": fps, "splits": {"train": f"0:{t['e']}"}, "data_path": "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet", "features": features}
     _put(spark, f"{root}/meta/info.json", json.dumps(info, indent=2, sort_keys=True))
     _put(spark, f"{root}/meta/modality.json", json.dumps(modality, indent=2, sort_keys=True))
-    episodes.write.mode("overwrite").json(f"{root}/meta/episodes")
-    tasks.write.mode("overwrite").json(f"{root}/meta/tasks")
+    for name, rows in (("episodes", episodes), ("tasks", tasks)):
+        rewrite(rows, f"{root}/meta/{name}", "json")
     return info
 
 
@@ -73,18 +73,24 @@ def append_jsonl(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
 
-def rewrite(table: DataFrame, path: str) -> None:
-    """Replaces a stored table that the plan of `table` may read: written beside it, then swapped."""
+def rewrite(table: DataFrame, path: str, kind: str = "parquet") -> None:
+    """Replaces a stored table that the plan of `table` may read: written beside it, then swapped. The old table is moved aside first
+    and comes back if the new one can't take its place, so that a failure loses neither."""
     spark = table.sparkSession
-    table.write.parquet(new := f"{path}.{uuid.uuid4().hex}.tmp")
+    table.write.format(kind).save(new := f"{path}.{uuid.uuid4().hex}.tmp")
     p = spark._jvm.org.apache.hadoop.fs.Path
     fs = p(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = None
     if fs.exists(p(path)):
-        fs.rename(p(path), p(old := f"{path}.{uuid.uuid4().hex}.old"))
-        fs.rename(p(new), p(path))
+        old = f"{path}.{uuid.uuid4().hex}.old"
+        if not fs.rename(p(path), p(old)):
+            raise OSError(f"{path} can't be moved aside")
+    if not fs.rename(p(new), p(path)):
+        if old and not fs.rename(p(old), p(path)):
+            raise OSError(f"{path} can't be written; the former table is at {old}")
+        raise OSError(f"{path} can't be written")
+    if old:
         fs.delete(p(old), True)
-    else:
-        fs.rename(p(new), p(path))
 
 
 def write_date_views(frames: DataFrame, episodes: DataFrame, root: str) -> DataFrame:

@@ -77,3 +77,14 @@ def test_labels_dates_and_json_vectors(spark):
     assert one(T.date_matches("2024-01-02", "any", dates)) and not one(T.date_matches("2024-01-02", "trimmed", dates))
     df = spark.createDataFrame([(k, float(k) if k % 3 else None) for k in range(30)], "episode_index bigint, m double")
     assert [r.episode_index for r in rules.top_by(df, "m").collect()] == [29, 28, 26, 25, 23, 22, 20, 19]
+
+
+def test_frames_that_are_not_finite_are_left_out(spark, frames):
+    nan, inf = float("nan"), float("inf")
+    one = frames.where("episode_index = 1")
+    odd = spark.createDataFrame([(1, 40, [nan, 0.0, 1.0], [0.0, 1.0, nan, 7.0]), (1, 41, [inf, 0.0, 1.0], [0.0, 1.0, 2.0, 7.0])], frames.schema)
+    seen = R.inspect_positions(one.union(odd), "s", "a").first()
+    assert seen.best_is_expected and seen.expected_rmse < 0.3 and seen.frames == 42 and seen.best_rmse < 1e-9
+    assert R.alignment_diagnosis(one.union(odd), "s", "a").first().best_perm == "201"
+    nothing = R.inspect_positions(odd.where("frame_index = 40").withColumn("s", F.array(*[F.lit(nan)] * 3)), "s", "a")
+    assert nothing.first().expected_offset_rmse is None and R.refused(nothing).count() == 1
