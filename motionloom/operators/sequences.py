@@ -40,10 +40,12 @@ def longest_run(frames: DataFrame, flag: Column, episode: str = EPISODE, frame:
 
 
 def shifted(frames: DataFrame, a: Column, b: Column, lags: int, episode: str = EPISODE, frame: str = FRAME) -> DataFrame:
-    """Episode, lag, a, b: a at t beside b at t + lag, for every lag from -lags to lags."""
-    left = frames.select(episode, F.col(frame).alias("t"), a.alias("a"), F.explode(F.sequence(F.lit(-lags), F.lit(lags))).alias("lag"))
-    right = frames.select(F.col(episode).alias("e"), F.col(frame).alias("u"), b.alias("b"))
-    return left.join(right, (F.col(episode) == F.col("e")) & (F.col("t") + F.col("lag") == F.col("u"))).select(episode, "lag", "a", "b")
+    """Episode, lag, a, b: a at t beside b at t + lag, for every lag from -lags to lags. One window over the frames brings each its
+    neighbours; they are dealt by episode already when they are counted by episode and lag."""
+    near = Window.partitionBy(episode).orderBy("t").rangeBetween(-lags, lags)
+    rows = frames.select(episode, F.col(frame).cast("bigint").alias("t"), a.alias("a"), b.alias("b"))
+    beside = rows.select(episode, "t", "a", F.collect_list(F.struct("t", "b")).over(near).alias("near")).select(episode, "t", "a", F.explode("near").alias("o"))
+    return beside.select(episode, (F.col("o.t") - F.col("t")).cast("int").alias("lag"), "a", F.col("o.b").alias("b"))
 
 
 def lag_by_correlation(frames: DataFrame, a: Column, b: Column, lags: int = 20, least: int = 4, episode: str = EPISODE) -> DataFrame:
