@@ -88,7 +88,7 @@ def test_packing_covers_each_document_once(spark, docs, monkeypatch):
 
 
 @pytest.mark.parametrize("ids", [[], [0], [65535] * 5000, list(range(9000)), np.random.default_rng(1).integers(0, 65536, 13000), np.random.default_rng(2).integers(0, 3, 13000)])
-def test_coder_round_trip(ids):
+def test_coder_round_trip_and_size(ids):
     ids = np.asarray(ids, np.int64)
     blocks = [ids[k : k + token_files.BLOCK] for k in range(0, len(ids), token_files.BLOCK)]
     coded = token_files.encode_blocks(blocks)
