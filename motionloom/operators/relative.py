@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import dot, minus, normalised, rot6d_rows, rotation_between
+from motionloom.operators.quantiles import percentiles
 from motionloom.operators.sequences import order
 
 
@@ -44,8 +45,7 @@ def relative_pose(now: Column, then: Column) -> Column:
 def bounds(pairs: DataFrame) -> DataFrame:
     """horizon, dim, q01, q99 of rel over all episodes."""
     long = pairs.select("horizon", F.posexplode("rel").alias("dim", "x"))
-    ends = F.percentile("x", F.array(F.lit(0.01), F.lit(0.99)))
-    return long.groupBy("horizon", "dim").agg(ends[0].alias("q01"), ends[1].alias("q99"))
+    return percentiles(long, ["horizon", "dim"], {"x": F.col("x")}, [0.01, 0.99]).select("horizon", "dim", F.get("ends", F.lit(0)).alias("q01"), F.get("ends", F.lit(1)).alias("q99"))
 
 
 def against_bounds(pairs: DataFrame, limits: DataFrame, episode: str = "episode_index", frame: str = "frame_index") -> DataFrame:

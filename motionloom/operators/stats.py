@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motionloom.functions.vectors import finite
+from motionloom.operators.quantiles import summaries, whole
+from motionloom.shared import cut
 
 MAD_SCALE, MAD_LIMIT, MAD_LEAST, MAD_EPS = 0.6745, 3.5, 8, 1e-12
 
 
 def summary(x: Column, prefix: str, wanted: Sequence[str] = ("mean", "std", "p95", "p99", "max")) -> list[Column]:
-    """Aggregates of the finite values of x: population deviation, linear percentiles; null where there are none."""
+    """Aggregates of the finite values of x: population deviation, linear percentiles; null where there are none.
+
+    For groups as small as an episode; quantiles.summaries serves groups of any size."""
     v = finite(x)
     shares = sorted({int(w[1:]) for w in wanted if w[1:].isdigit()})
     ends = F.percentile(v, F.array(*[F.lit(p / 100) for p in shares]))  # one state for all of them
@@ -21,24 +25,33 @@ def summary(x: Column, prefix: str, wanted: Sequence[str] = ("mean", "std", "p95
     return [made[w].alias(f"{prefix}_{w}") for w in wanted]
 
 
+def _spread(table: DataFrame, metrics: Sequence[str], shares: Sequence[float]) -> dict[str, tuple[int, list[float], float | None]]:
+    """Per metric: finite values, percentiles of the shares, and the median distance from the median, the first share."""
+    x = {m: F.col(f"`{m}`").cast("double") for m in metrics}
+    ends = whole(table, x, shares)
+    far = whole(table, {m: F.abs(x[m] - ends[m][1][0]) for m in metrics if ends[m][0]}, [0.5]) if any(n for n, _ in ends.values()) else {}
+    return {m: (*ends[m], far[m][1][0] if ends[m][0] else None) for m in metrics}
+
+
 def robust_masks(table: DataFrame, wanted: Sequence[tuple[str, bool, str]]) -> DataFrame:
     """Adds a flag for each (metric, high, name): 0.6745 (x - median) / MAD beyond 3.5, above if high, else below.
 
     Fewer than 8 finite values flag nothing; with no spread, what is beyond the 95th (5th) percentile is flagged, if that is
-    not the median. Two aggregates of one row each serve all metrics, and their rows are broadcast."""
-    metrics = list(dict.fromkeys(m for m, _, _ in wanted))
-    x = {m: finite(F.col(m)) for m in metrics}
-    ends = [F.percentile(x[m], F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias(f"__p_{m}") for m in metrics]
-    first = table.agg(*[F.count(x[m]).alias(f"__n_{m}") for m in metrics], *ends)
-    mads = table.join(F.broadcast(first)).agg(*[F.percentile(F.abs(x[m] - F.col(f"__p_{m}")[1]), F.lit(0.5)).alias(f"__mad_{m}") for m in metrics])
-    joined = table.join(F.broadcast(first.join(F.broadcast(mads))))
+    not the median. The percentiles are exact and read off ordered ranges; three numbers per metric reach the driver."""
+    if not wanted:
+        return table
+    table = cut(table)
+    found = _spread(table, list(dict.fromkeys(m for m, _, _ in wanted)), [0.5, 0.05, 0.95])
     flags = []
     for m, high, name in wanted:
-        sign, p, mad = 1 if high else -1, F.col(f"__p_{m}"), F.col(f"__mad_{m}")
-        edge = p[2 if high else 0]
-        flag = (F.col(f"__n_{m}") >= MAD_LEAST) & F.when(mad <= MAD_EPS, (sign * (x[m] - edge) > 0) & (edge != p[1])).otherwise(sign * MAD_SCALE * (x[m] - p[1]) / mad > MAD_LIMIT)
+        n, ends, mad = found[m]
+        if n < MAD_LEAST:
+            flags.append(F.lit(False).alias(name))
+            continue
+        sign, median, edge, x = 1 if high else -1, ends[0], ends[2 if high else 1], finite(F.col(f"`{m}`").cast("double"))
+        flag = sign * MAD_SCALE * (x - median) / mad > MAD_LIMIT if mad > MAD_EPS else (sign * (x - edge) > 0) & F.lit(edge != median)
         flags.append(F.coalesce(flag, F.lit(False)).alias(name))
-    return joined.select(*[F.col(f"`{c}`") for c in table.columns], *flags)
+    return table.select(*[F.col(f"`{c}`") for c in table.columns], *flags)
 
 
 def robust_mask(table: DataFrame, metric: str, high: bool = True, out: str = "outlier") -> DataFrame:
@@ -48,12 +61,12 @@ def robust_mask(table: DataFrame, metric: str, high: bool = True, out: str = "ou
 def robust_scores(table: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Adds outlier_score, the largest |z| over the metrics, and top_metric, which one it is (the first on ties; 0 and ""
     where no metric has a value). Metrics without spread are ignored."""
-    meds = table.agg(*[F.percentile(finite(F.col(m)), F.lit(0.5)).alias(f"md_{m}") for m in metrics])
-    mads = table.join(F.broadcast(meds)).agg(*[F.percentile(F.abs(finite(F.col(m)) - F.col(f"md_{m}")), F.lit(0.5)).alias(f"mad_{m}") for m in metrics])
-    z = [F.struct(F.abs(MAD_SCALE * (finite(F.col(m)) - F.col(f"md_{m}")) / F.when(F.col(f"mad_{m}") > MAD_EPS, F.col(f"mad_{m}"))).alias("z"), F.lit(-i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(metrics)]
-    best = F.array_max(F.filter(F.array(*z), lambda s: s["z"].isNotNull()))
-    joined = table.join(F.broadcast(meds.join(F.broadcast(mads)))).withColumn("best", best)
-    return joined.select(*table.columns, F.coalesce(F.col("best.z"), F.lit(0.0)).alias("outlier_score"), F.coalesce(F.col("best.m"), F.lit("")).alias("top_metric"))
+    table = cut(table)
+    found = _spread(table, metrics, [0.5])
+    z = [(i, m, F.abs(MAD_SCALE * (finite(F.col(f"`{m}`").cast("double")) - found[m][1][0]) / found[m][2])) for i, m in enumerate(metrics) if found[m][0] and found[m][2] > MAD_EPS]
+    none = F.struct(F.lit(None).cast("double").alias("z"), F.lit(0).alias("i"), F.lit("").alias("m"))
+    best = F.array_max(F.filter(F.array(none, *[F.struct(x.alias("z"), F.lit(-i).alias("i"), F.lit(m).alias("m")) for i, m, x in z]), lambda s: s["z"].isNotNull()))
+    return table.select(*[F.col(f"`{c}`") for c in table.columns], F.coalesce(best["z"], F.lit(0.0)).alias("outlier_score"), F.coalesce(best["m"], F.lit("")).alias("top_metric"))
 
 
 def guarded_corr(a: Column, b: Column) -> Column:
@@ -98,9 +111,7 @@ def crosstab(table: DataFrame, row: str, column: str, values: Sequence | None =
 def vector_stats(frames: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """dim, mean, std, min, max, q01, q99 over all frames, NaN-skipping."""
     long = frames.select(*by, F.posexplode(column).alias("dim", "x"))
-    v = finite(F.col("x"))
-    ends = F.percentile(v, F.array(F.lit(0.01), F.lit(0.99)))
-    return long.groupBy(*by, "dim").agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), ends[0].alias("q01"), ends[1].alias("q99"))
+    return summaries(long, [*by, "dim"], F.col("x"), "x", ("mean", "std", "min", "max", "p1", "p99")).withColumnsRenamed({"x_mean": "mean", "x_std": "std", "x_min": "min", "x_max": "max", "x_p1": "q01", "x_p99": "q99"})
 
 
 def mean_of_numeric(table: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -114,8 +125,9 @@ def pca2(table: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
     component is positive. The moments are aggregated; only a metrics x metrics matrix is solved on the driver."""
     import numpy as np
 
-    medians = table.agg(*[F.percentile(finite(F.col(m)), F.lit(0.5)).alias(m) for m in metrics]).first()
-    filled = table.select(key, *[F.coalesce(finite(F.col(m)), F.lit(float(medians[m] or 0.0))).alias(m) for m in metrics])
+    table = cut(table.select(key, *metrics))
+    medians = whole(table, {m: F.col(m) for m in metrics}, [0.5])
+    filled = table.select(key, *[F.coalesce(finite(F.col(m)), F.lit(medians[m][1][0] if medians[m][0] else 0.0)).alias(m) for m in metrics])
     stats = filled.agg(*[F.avg(m).alias(f"a_{m}") for m in metrics], *[F.stddev_pop(m).alias(f"s_{m}") for m in metrics]).first()
     mean, scale = {m: stats[f"a_{m}"] or 0.0 for m in metrics}, {m: max(stats[f"s_{m}"] or 0.0, 1e-8) for m in metrics}
     z = filled.select(key, *[((F.col(m) - mean[m]) / scale[m]).alias(m) for m in metrics])

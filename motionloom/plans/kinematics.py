@@ -12,6 +12,7 @@ from motionloom.functions.vectors import r6
 from motionloom.operators import relative as R
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
+from motionloom.operators.quantiles import summaries
 from motionloom.plans.registry import query, sql_of
 from motionloom.plans.views import FPS, SFR, VF, read, scalar_frames, vector_frames
 
@@ -51,7 +52,7 @@ def velocity_acc_jerk(spark: SparkSession, d: str) -> DataFrame:
  round(quantile_cont(l_extendedprice, 0.5), 6) AS price_p50, round(quantile_cont(l_extendedprice, 0.95), 6) AS price_p95, round(quantile_cont(l_extendedprice, 0.99), 6) AS price_p99, round(max(l_extendedprice), 6) AS price_max
  FROM lineitem GROUP BY 1, 2""")
 def finite_summary_by_group(spark: SparkSession, d: str) -> DataFrame:
-    out = read(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(*A.summary(F.col("l_extendedprice"), "price", ("n", "mean", "std", "p50", "p95", "p99", "max")))
+    out = summaries(read(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], F.col("l_extendedprice"), "price", ("n", "mean", "std", "p50", "p95", "p99", "max"))
     return out.select("l_returnflag", "l_linestatus", "price_n", *[r6(f"price_{k}").alias(f"price_{k}") for k in ("mean", "std", "p50", "p95", "p99", "max")])
 
 
@@ -210,7 +211,7 @@ def before_after_diff_by_horizon(spark: SparkSession, d: str, horizons: tuple[in
     both = before_after(spark, d).select(E, "frame_index", F.concat(F.slice("before", 1, 3), F.slice("after", 1, 3)).alias("v"))
     rel = R.relative_vector(R.ahead(both, "v", horizons))
     diff = V.norm(V.minus(F.slice("rel", 4, 3), F.slice("rel", 1, 3)))
-    out = rel.select("horizon", diff.alias("x")).groupBy("horizon").agg(*A.summary(F.col("x"), "diff", ("n", "mean", "p50", "p95", "max")))
+    out = summaries(rel, ["horizon"], diff, "diff", ("n", "mean", "p50", "p95", "max"))
     return out.select("horizon", "diff_n", *[r6(f"diff_{k}").alias(f"diff_{k}") for k in ("mean", "p50", "p95", "max")])
 
 
@@ -230,7 +231,7 @@ def _hand_relative(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1,
 @query("relative_horizon_stats", f"""WITH {REL}, n AS (SELECT horizon, sqrt(list_sum(list_transform(rel, lambda x: x * x))) AS x FROM r)
  SELECT horizon, count(x) AS rel_n, round(avg(x), 6) AS rel_mean, round(quantile_cont(x, 0.5), 6) AS rel_p50, round(quantile_cont(x, 0.95), 6) AS rel_p95, round(quantile_cont(x, 0.99), 6) AS rel_p99, round(max(x), 6) AS rel_max FROM n GROUP BY 1""")
 def relative_horizon_stats(spark: SparkSession, d: str, horizons: tuple[int, ...] = (1, 2, 4, 8, 16)) -> DataFrame:
-    out = _hand_relative(spark, d, horizons).groupBy("horizon").agg(*A.summary(V.norm(F.col("rel")), "rel", ("n", "mean", "p50", "p95", "p99", "max")))
+    out = summaries(_hand_relative(spark, d, horizons), ["horizon"], V.norm(F.col("rel")), "rel", ("n", "mean", "p50", "p95", "p99", "max"))
     return out.select("horizon", "rel_n", *[r6(f"rel_{k}").alias(f"rel_{k}") for k in ("mean", "p50", "p95", "p99", "max")])
 
 

@@ -11,6 +11,7 @@ from motionloom.operators import clips as C
 from motionloom.operators import incremental as I
 from motionloom.operators import sequences as Q
 from motionloom.operators import stats as A
+from motionloom.operators.quantiles import summaries
 from motionloom.plans.registry import query
 from motionloom.sources import discovery
 from motionloom.plans.views import SFR, VF, read, scalar_frames, vector_frames
@@ -117,8 +118,8 @@ def date_summary(spark: SparkSession, d: str) -> DataFrame:
 @query("date_metric_matrix", """WITH x AS (SELECT strftime(o_orderdate, '%Y') AS source_date, o_orderpriority AS metric, o_totalprice AS p FROM orders)
  SELECT source_date, metric, round(avg(p), 6) AS mean, round(quantile_cont(p, 0.5), 6) AS p50, round(quantile_cont(p, 0.95), 6) AS p95, round(max(p), 6) AS max FROM x GROUP BY 1, 2""")
 def date_metric_matrix(spark: SparkSession, d: str) -> DataFrame:
-    o = read(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy").alias("source_date"), F.col("o_orderpriority").alias("metric"))
-    out = o.agg(*A.summary(F.col("o_totalprice"), "x", ("mean", "p50", "p95", "max")))
+    o = read(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy").alias("source_date"), F.col("o_orderpriority").alias("metric"), "o_totalprice")
+    out = summaries(o, ["source_date", "metric"], F.col("o_totalprice"), "x", ("mean", "p50", "p95", "max"))
     return out.select("source_date", "metric", *[r6(f"x_{k}").alias(k) for k in ("mean", "p50", "p95", "max")])
 
 
