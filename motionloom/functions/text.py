@@ -143,3 +143,12 @@ def named_values(names: Column, values: Column, order: Sequence[str]) -> Column:
 
 def rounded_or_null(x: Column, digits: int = 6) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.bround(x, digits))
+
+
+def numeric_items(value: Column) -> Column:
+    """Of a variant that is a list its numbers, as doubles in order; true and false count as 1 and 0, all else is left out.
+    Of any other value, null too, an empty list."""
+    items = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+    kind = lambda x: F.schema_of_variant(x)
+    number = lambda x: F.when(kind(x) == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("double")).when(kind(x).isin("BIGINT", "DOUBLE", "FLOAT") | kind(x).startswith("DECIMAL"), F.try_variant_get(x, "$", "double"))
+    return F.filter(F.transform(items, number), lambda x: x.isNotNull())

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("kinematics", "alignment", "tables", "reports", "repair", "inspection")
+MODULES = ("kinematics", "alignment", "tables", "reports", "repair", "inspection", "export")
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
 
