@@ -28,7 +28,7 @@ def _full(spark: SparkSession, path: str) -> str:
 
 def files_below(spark: SparkSession, root: str) -> DataFrame:
     """file (below root), bytes, of every file but backups (.bak_ in the name) and unfinished ones (.tmp at the end). The
-    listing is an iterator of the file system, turned into rows in blocks."""
+    listing passes through the driver: a name and a size per file, nothing of the content."""
     base = _full(spark, root)
     fs, where = _fs(spark, base)
     found, rows = fs.listFiles(where, True), []
@@ -87,8 +87,7 @@ def copy_dataset(spark: SparkSession, source: str, target: str, overwrite: bool
     if fs.exists(where) and not fs.exists(flag):
         if not overwrite:
             raise FileExistsError(target)
-        fs.create(flag, True).close()
-        fs.delete(where, True)
+        fs.delete(where, True)  # before the mark: files of an old copy must not pass for files of this one
     fs.create(flag, True).close()
     fs.mkdirs(where)
     files = files_below(spark, src).repartition(tasks or spark.sparkContext.defaultParallelism, "file")
