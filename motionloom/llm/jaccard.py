@@ -3,9 +3,11 @@
 Sets: the distinct 64-bit hashes of a text's five-word shingles (ASCII white space; A-Z lower-cased). A text with fewer words is one
 shingle; texts without words all share one shingle.
 
-Candidates: shingles have one order for all texts (common ones last, then by hash). Two sets of similarity s or more share a
-shingle among the first n - ceil(s n) + 1 of either, so that only these prefixes are dealt into buckets and compared; no
-pair is missed. Which shingles are common is learned from a bounded sample and decides the cost only, not the result.
+Candidates: shingles have one order for all texts (common ones last, by their number of texts, then by hash). Two sets of
+similarity s or more share a shingle among the first n - ceil(s n) + 1 of either, so that only these prefixes are dealt into
+buckets and compared; no pair is missed. Which shingles are common is counted over all texts, by 37 or more bits of each; it
+decides the cost only, not the result. Sets are kept only of texts that share a prefix shingle or are a seed, and all later
+rounds read these.
 
 Groups: in a group of texts that share a prefix shingle, each is first compared with one of them, the hub; a group whose
 shingle is common is dealt out in slices, each with a hub of its own. In groups that then still hold several components,
@@ -34,10 +36,13 @@ from motionloom.llm.components import connected_components
 WORDS = 5
 #: Similarity as a fraction of whole numbers, so that the border is exact.
 NUM, DEN = 4, 5
-SAMPLE, COMMON_IN_SAMPLE, MOST_COMMON = 20_000, 3, 200_000
-BUCKET_ENTRIES, LEAST_BUCKETS = 300_000, 24
 #: Members of a group that are compared pair by pair: at most three and a half pairs for each.
 SMALL = 8
+#: Texts with a shingle from which on it is common, and how many common ones the tasks get at most, the most common first.
+COMMON_IN_SAMPLE, MOST_COMMON = SMALL + 1, 500_000
+BUCKET_ENTRIES, LEAST_BUCKETS = 300_000, 24
+#: Shingles that are counted in one bucket, about.
+COUNTED = 1 << 20
 #: Rounds in which components of a group are compared by single members, before all that is left is.
 TURNS = 2
 ENTRY = np.dtype([("s", "<u8"), ("node", "<i8"), ("size", "<i4")])
@@ -57,18 +62,39 @@ def shingles(text: bytes, words_per_shingle: int = WORDS) -> np.ndarray:
     return np.unique(out ^ (out >> np.uint64(32)))
 
 
-def among(own: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """Which of own are in common, which is ascending."""
-    if not len(common):
-        return np.zeros(len(own), bool)
-    return common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
+class Order:
+    """The order of shingles: those whose upper bits are among keys come last, by their ranks. Others by hash."""
+
+    def __init__(self, shift: int, keys: np.ndarray, counts: np.ndarray):
+        """keys: distinct; counts: numbers of texts."""
+        at = np.lexsort((keys, counts))
+        self.shift, self.ranked = np.uint64(shift), keys[at]
+        self._index()
+
+    def _index(self) -> None:
+        at = np.argsort(self.ranked)
+        self.keys, self.rank = self.ranked[at], (at + 1).astype(np.int32)
+
+    def ranks(self, own: np.ndarray) -> np.ndarray:
+        """0 for shingles that aren't common; common ones from 1 on."""
+        if not len(self.keys):
+            return np.zeros(len(own), np.int32)
+        key = own >> self.shift
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], 0)
+
+    def after(self, keys: np.ndarray, counts: np.ndarray) -> Order:
+        """The order in which these, which weren't common, come between the others and the common ones."""
+        new = Order(int(self.shift), keys, counts)
+        new.ranked = np.concatenate([new.ranked, self.ranked])
+        new._index()
+        return new
 
 
-def prefix(own: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The shingles of which two similar sets share one, common ones last. common: ascending."""
-    last = among(own, common)
+def prefix(own: np.ndarray, order: Order) -> np.ndarray:
+    """The shingles of which two similar sets share one, common ones last. own: ascending."""
     n = len(own)
-    return np.concatenate([own[~last], own[last]])[: n - -(-NUM * n // DEN) + 1]
+    return own[np.argsort(order.ranks(own), kind="stable")[: n - -(-NUM * n // DEN) + 1]]
 
 
 def similar_sizes(a, b):
@@ -96,9 +122,9 @@ def may_be_similar(x: bytes, y: bytes) -> bool:
     return int(np.bitwise_count(p ^ q).sum()) * (DEN + NUM) <= (a + b) * (DEN - NUM)
 
 
-def meet(entries: np.ndarray, sliced: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def meet(entries: np.ndarray, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Entries of one bucket -> pairs of each group's first node with the others (a, b), and the entries of groups that may have
-    more pairs: of three and more, and those whose shingle is in sliced, since its other slices are elsewhere."""
+    more pairs: of three and more, and those whose shingle is common, since its other slices are elsewhere."""
     entries = entries[np.lexsort((entries["node"], entries["s"]))]
     first = np.concatenate(([True], entries["s"][1:] != entries["s"][:-1])) if len(entries) else np.zeros(0, bool)
     starts = np.flatnonzero(first)
@@ -106,30 +132,65 @@ def meet(entries: np.ndarray, sliced: np.ndarray) -> tuple[np.ndarray, np.ndarra
     hub = entries[np.repeat(starts, counts)]
     pair = ~first & similar_sizes(entries["size"].astype(np.int64), hub["size"].astype(np.int64))
     pairs = np.unique(np.stack([hub["node"][pair], entries["node"][pair]], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1], entries[(np.repeat(counts, counts) >= 3) | among(entries["s"], sliced)]
+    return pairs[:, 0], pairs[:, 1], entries[(np.repeat(counts, counts) >= 3) | (order.ranks(entries["s"]) > 0)]
 
 
-def _common(rows: DataFrame, n: int) -> np.ndarray:
+def _common(rows: DataFrame, entries: int, tables: Scratch) -> Order:
+    """Counts the texts (node, text) that hold each shingle; entries: about how many shingles all texts have. A shingle is
+    known by its upper bits here: those of its bucket and 32 more, so that few bytes are sent."""
+    bits = min(24, max(5, (entries // COUNTED).bit_length()))
+    shift, borders = np.uint64(32 - bits), np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32)
+    least = COMMON_IN_SAMPLE
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_slices(batches, 4 << 20):
+            keys, n = np.unique(np.concatenate([shingles(t) for t in as_bytes(b.column("text"))]) >> shift, return_counts=True)
+            ends = np.searchsorted(keys, borders)
+            keys, once = keys.astype("<u4"), n == 1
+            buckets, ones, more = [], [], []
+            for k in np.flatnonzero(np.diff(ends)):
+                at = slice(ends[k], ends[k + 1])
+                part, one = keys[at], once[at]
+                buckets.append(k)
+                ones.append(part[one].tobytes())
+                more.append(np.stack([part[~one], n[at][~one].astype("<u4")], axis=1).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(ones, pa.binary()), pa.array(more, pa.binary())], names=["bucket", "ones", "more"])
+
+    def count(key: tuple, got: pa.Table) -> pa.Table:
+        ones = np.frombuffer(b"".join(got.column("ones").to_pylist()), "<u4")
+        more = np.frombuffer(b"".join(got.column("more").to_pylist()), "<u4").reshape(-1, 2)
+        every, times = np.concatenate([ones, more[:, 0]]), np.concatenate([np.ones(len(ones), np.int64), more[:, 1]])
+        at = np.argsort(every)
+        every = every[at]
+        first = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1])))
+        n = np.add.reduceat(times[at], first)
+        often = n >= least
+        return pa.table({"key": (every[first][often].astype(np.int64) | (key[0].as_py() << 32)), "n": n[often].astype(np.int64)})
+
+    sent = rows.select("text").mapInArrow(send, "bucket bigint, ones binary, more binary")
+    return Order(int(shift), *_most(tables.keep(sent.groupBy("bucket").applyInArrow(count, "key bigint, n bigint"))))
+
+
+def _most(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """key, n -> keys and counts of the largest n, at most MOST_COMMON."""
+    top = counted.orderBy(F.desc("n"), "key").limit(MOST_COMMON).toArrow()
+    return top.column("key").to_numpy().view(np.uint64), top.column("n").to_numpy()
+
+
+def _sets(rows: DataFrame) -> DataFrame:
+    """node, own (the shingles' bytes, ascending), sketch of rows (node, text)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, 1 << 20):
             own = [shingles(t) for t in as_bytes(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], names=["s"])
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([sketch(x) for x in own], pa.binary())], names=["node", "own", "sketch"])
 
-    part = max(1, n // SAMPLE)
-    sample = rows.where(F.pmod(spread_ids(F.col("node")), F.lit(part)) == 0).select("text")
-    often = sample.mapInArrow(run, "s bigint").groupBy("s").count().where(F.col("count") >= COMMON_IN_SAMPLE)
-    top = often.orderBy(F.desc("count"), "s").limit(MOST_COMMON).select("s").toArrow()
-    return np.sort(top.column("s").to_numpy().view(np.uint64))
+    return rows.select("node", "text").mapInArrow(run, "node bigint, own binary, sketch binary")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, sifted: bool = False) -> DataFrame:
-    """Those of the pairs (a, b, distinct) that are similar. sifted: judge all pairs by sketches first, which pays where most
-    are not similar."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 1 << 20):
-            own = [shingles(t) for t in as_bytes(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([sketch(x) for x in own], pa.binary())], names=["node", "own", "sketch"])
+def _verified(pairs: DataFrame, sets: DataFrame, sifted: bool = False) -> DataFrame:
+    """Those of the pairs (a, b, distinct) that are similar; sets: as from _sets. sifted: judge all pairs by sketches first,
+    which pays where most are not similar."""
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,52 +205,57 @@ def _verified(pairs: DataFrame, rows: DataFrame, sifted: bool = False) -> DataFr
                 keep.append(similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    texts = rows.join(wanted.hint("merge"), F.col("node") == F.col("w")).select("node", "text")
-    own = cut(texts.mapInArrow(sets, "node bigint, own binary, sketch binary"))
-
     # merge joins by hint here and below: the many small broadcasts of a run would pile up in the driver
     def beside(of: DataFrame, column: str) -> DataFrame:
-        first = of.join(own.select(F.col("node").alias("na"), F.col(column).alias("own_a")).hint("merge"), F.col("a") == F.col("na")).select("a", "b", "own_a")
-        return first.join(own.select(F.col("node").alias("nb"), F.col(column).alias("own_b")).hint("merge"), F.col("b") == F.col("nb")).select("a", "b", "own_a", "own_b")
+        first = of.join(sets.select(F.col("node").alias("na"), F.col(column).alias("own_a")).hint("merge"), F.col("a") == F.col("na")).select("a", "b", "own_a")
+        return first.join(sets.select(F.col("node").alias("nb"), F.col(column).alias("own_b")).hint("merge"), F.col("b") == F.col("nb")).select("a", "b", "own_a", "own_b")
 
     near = pairs
     if sifted:  # sketches are a sixtieth of the sets, and leave few pairs whose sets must meet
         near = cut(beside(pairs, "sketch").mapInArrow(sift, "a bigint, b bigint"))
-        release(rows.sparkSession)
-    both = beside(near, "own")
-    found = cut(both.mapInArrow(compare, "a bigint, b bigint"))
-    release(rows.sparkSession)
-    return found
+        release(sets.sparkSession)
+    return beside(near, "own").mapInArrow(compare, "a bigint, b bigint")
 
 
-def _entries(rows: DataFrame, common: np.ndarray) -> DataFrame:
-    """s, node, size, place: the prefixes of rows (node, text), and how many shingles of the text come before in the order."""
-    known = rows.sparkSession.sparkContext.broadcast(common)
+def _entries(sets: DataFrame, order: Order) -> DataFrame:
+    """s, node, size, place: the prefixes of sets (node, own), and how many shingles of the text come before in the order."""
+    known = sets.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 4 << 20):
-            sets = [shingles(t) for t in as_bytes(b.column("text"))]
-            some = [prefix(x, known.value) for x in sets]
-            lengths, every = list(map(len, some)), np.concatenate(some)
-            yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(np.repeat(b.column("node").to_numpy(), lengths)), pa.array(np.repeat(list(map(len, sets)), lengths)), pa.array(np.concatenate([np.arange(n) for n in lengths]))], names=["s", "node", "size", "place"])
+        for b in batches:
+            own = [np.frombuffer(x, np.uint64) for x in b.column("own").to_pylist()]
+            if own:
+                some = [prefix(x, known.value) for x in own]
+                lengths, every = list(map(len, some)), np.concatenate(some)
+                yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(np.repeat(b.column("node").to_numpy(), lengths)), pa.array(np.repeat(list(map(len, own)), lengths)), pa.array(np.concatenate([np.arange(n) for n in lengths]))], names=["s", "node", "size", "place"])
 
-    return rows.mapInArrow(run, "s bigint, node bigint, size bigint, place bigint")
+    return sets.select("node", "own").mapInArrow(run, "s bigint, node bigint, size bigint, place bigint")
 
 
-def _frequent(rows: DataFrame, common: np.ndarray) -> np.ndarray:
-    """The shingles of more than SMALL of these rows (node, text) that are not common yet, at most MOST_COMMON, ascending."""
-    known = rows.sparkSession.sparkContext.broadcast(common)
+def _frequent(sets: DataFrame, order: Order, tables: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of shingles of more than SMALL of these sets that are not common yet, at most MOST_COMMON, and their counts."""
+    known = sets.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 4 << 20):
-            s, n = np.unique(np.concatenate([shingles(t) for t in as_bytes(b.column("text"))]), return_counts=True)
-            new = ~among(s, known.value)
-            yield pa.RecordBatch.from_arrays([pa.array(s[new].view(np.int64)), pa.array(n[new])], names=["s", "n"])
+        for b in batches:
+            if b.num_rows:
+                every = np.concatenate([np.frombuffer(x, np.uint64) for x in b.column("own").to_pylist()])
+                key, n = np.unique(every[known.value.ranks(every) == 0] >> known.value.shift, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    often = sets.select("own").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > SMALL)
+    return _most(tables.keep(often))
+
 
-    often = rows.select("text").mapInArrow(run, "s bigint, n bigint").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") > SMALL)
-    top = often.orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s").toArrow()
-    return np.sort(top.column("s").to_numpy().view(np.uint64))
+def merged(entries: DataFrame, tables: Scratch) -> DataFrame:
+    """entries (s, node, size, place) with one of the groups that have the same members, each member at its first place in
+    any of them; known by the number of members and two 64-bit sums of their hashes. Neighbouring shingles of a passage would
+    give the same pairs again and again."""
+    entries = tables.keep(entries)
+    kinds = entries.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    same = kinds.groupBy("n", "x", "y").agg(F.min("s").alias("one"), F.collect_set("s").alias("every")).select("one", F.explode("every").alias("own"))
+    at = entries.join(same.hint("merge"), apart(F.col("s")) == apart(F.col("own")))
+    return at.groupBy(F.col("one").alias("s"), "node").agg(F.first("size").alias("size"), F.min("place").alias("place"))
 
 
 def near_members(rows: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
@@ -203,7 +269,8 @@ def near_members(rows: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
 def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) -> DataFrame:
     spark = rows.sparkSession
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    common = spark.sparkContext.broadcast(_common(rows, n))
+    order = _common(rows, n + size // 6, tables)
+    common = spark.sparkContext.broadcast(order)
     release(spark)
     buckets, slices = max(LEAST_BUCKETS, (n + size // 30) // BUCKET_ENTRIES), max(8, n // BUCKET_ENTRIES)
 
@@ -217,7 +284,7 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
                 part["s"], part["node"], part["size"] = some, node, len(own)
                 parts.append(part)
             entries = np.concatenate(parts)
-            lot = np.where(among(entries["s"], common.value), (entries["node"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(slices), 0).astype(np.uint64)
+            lot = np.where(common.value.ranks(entries["s"]) > 0, (entries["node"].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(slices), 0).astype(np.uint64)
             where = ((entries["s"] + lot) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(where, kind="stable")
             entries, where = entries[order], where[order]
@@ -230,25 +297,28 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
         none = np.zeros(len(a), np.int64)
         return pa.table({"a": np.concatenate([a, more["node"]]), "b": np.concatenate([b, more["s"].view(np.int64)]), "size": np.concatenate([none, more["size"].astype(np.int64)])})
 
-    met = cut(rows.select("node", "text").mapInArrow(deal, "bucket bigint, entries binary").groupBy("bucket").applyInArrow(group, "a bigint, b bigint, size bigint"))
+    met = tables.keep(rows.select("node", "text").mapInArrow(deal, "bucket bigint, entries binary").groupBy("bucket").applyInArrow(group, "a bigint, b bigint, size bigint"))
+    release(spark)
+    first = met.where("size = 0").select("a", "b")
+    first = tables.keep((first if seeds is None else first.union(seeds)).distinct())
+    part = first.select(F.col("a").alias("w")).union(first.select("b")).union(met.where("size > 0").select("a")).distinct()
+    sets = tables.keep(_sets(rows.join(part.hint("merge"), F.col("node") == F.col("w"), "left_semi")))
     release(spark)
     tried = links = None
 
     def judge(pairs: DataFrame, sifted: bool = False) -> bool:
         """Verifies the pairs (a < b) that were not verified before; whether any is similar."""
         nonlocal tried, links
-        new = pairs.distinct() if tried is None else pairs.distinct().join(tried.hint("merge"), ["a", "b"], "left_anti")
-        new = tables.keep(new)
+        new = tables.keep(pairs.distinct() if tried is None else pairs.distinct().join(tried.hint("merge"), ["a", "b"], "left_anti"))
         if new.isEmpty():
             return False
-        similar_ = tables.keep(_verified(new, rows, sifted))
+        similar_ = tables.keep(_verified(new, sets, sifted))
+        release(spark)
         tried = new if tried is None else tried.union(new)
         links = similar_ if links is None else links.union(similar_)
         return not similar_.isEmpty()
 
-    if seeds is not None:
-        judge(seeds)
-    judge(met.where("size = 0").select("a", "b"))
+    judge(first)
     empty = spark.createDataFrame([], "a bigint, b bigint")
     roots = connected_components(links if links is not None else empty)
 
@@ -273,9 +343,11 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
         both = groups.join(other.hint("merge"), (F.col("s") == F.col("s2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & similar(most, F.col("size"), F.col("size2")))
         return both.select(F.col("node").alias("a"), F.col("node2").alias("b"))
 
-    entries, last = met.where("size > 0").select(F.col("b").alias("s"), F.col("a").alias("node"), "size", F.lit(0).cast("bigint").alias("place")), common.value
+    entries = met.where("size > 0").select(F.col("b").alias("s"), F.col("a").alias("node"), "size", F.lit(0).cast("bigint").alias("place"))
+    found = lambda: roots.select("node", F.col("root").alias("grp")).union(roots.select("root", "root").distinct())
+    placed = False
     while True:
-        left = apart_still(entries)
+        left = apart_still(merged(entries, tables))
         for turn in range(TURNS):
             if not judge(stars_of(left, turn), sifted=True):
                 break
@@ -285,12 +357,14 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
             roots = connected_components(links)
         release(spark)
         large = left.where(F.col("members") > SMALL)
+        if large.isEmpty():
+            return found()
         again = large.select(F.col("node").alias("n")).distinct()
-        texts = tables.keep(rows.join(again.hint("merge"), F.col("node") == F.col("n")).select("node", "text"))
-        fresh = _frequent(texts, last)
-        if not len(fresh):  # no large group is left, or their texts have none but common shingles
+        held = tables.keep(sets.join(again.hint("merge"), F.col("node") == F.col("n"), "left_semi").select("node", "own"))
+        fresh = _frequent(held, order, tables)
+        if not len(fresh[0]) and placed:  # the texts of large groups have none but common shingles
             if judge(pairs_of(large), sifted=True):
                 roots = connected_components(links)
-            return roots.select("node", F.col("root").alias("grp")).union(roots.select("root", "root").distinct())
-        last = np.union1d(last, fresh)
-        entries = cut(_entries(texts, last))
+            return found()
+        order, placed = order.after(*fresh), True
+        entries = tables.keep(_entries(held, order))

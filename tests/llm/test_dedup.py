@@ -368,3 +368,29 @@ def test_batch_size_of_the_session_stays(spark, docs):
     simhash.drop_near_duplicates(docs).count()
     suffix_dedup.removal(docs).count()
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+@pytest.mark.parametrize("block", [7, 500_000])
+def test_components_in_blocks(spark, monkeypatch, block):
+    """Chains, stars and rings that several blocks share, and what one block holds."""
+    monkeypatch.setattr(components, "BLOCK", block)
+    rng = random.Random(block)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(1000 + i, 1001 + i) for i in range(25)] + [(2000, 2000 + i) for i in range(1, 20)]
+    rng.shuffle(links)
+    nodes = sorted({x for link in links for x in link})
+    at = {x: k for k, x in enumerate(nodes)}
+    root = components.local_roots(len(nodes), np.array([at[a] for a, _ in links]), np.array([at[b] for _, b in links]))
+    got = {r.node: r.root for r in components.connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {x: nodes[r] for x, r in zip(nodes, root.tolist(), strict=True) if nodes[r] != x}
+
+
+def test_common_shingles_are_counted_over_all_texts(spark, tmp_path):
+    """A passage of few texts among very many others is known as common, so texts that share no more than it are not compared."""
+    rows = [(k, " ".join(f"p{k % 40}x{j}" for j in range(12)) + " " + " ".join(f"own{k}x{j}" for j in range(60))) for k in range(800)]
+    docs = spark.createDataFrame([(k, t) for k, t in rows], "node bigint, text string")
+    with jaccard.Scratch(spark, "test") as tables:
+        order = jaccard._common(docs, 800 * 70, tables)
+    sets = [jaccard.shingles(t.encode()) for _, t in rows]
+    shared = np.unique(np.concatenate(sets), return_counts=True)
+    assert len(order.keys) == int((shared[1] > jaccard.SMALL).sum()) == 40 * 8
+    assert all(not (order.ranks(jaccard.prefix(s, order)) > 0).any() for s in sets)
