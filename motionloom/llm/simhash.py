@@ -185,13 +185,14 @@ def ball_pairs(rows: DataFrame, text_col: str = "text", words_per_shingle: int =
     return cut(same.union(near.select(F.least("la", "lb"), F.greatest("la", "lb"))).distinct())
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", balls_first: bool = False) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", balls_first: bool = True) -> DataFrame:
     """The rows of docs, all columns, that stay: of rows that pairs of a Jaccard similarity of 0.8 or more over five-word
     shingles connect, exactly one, chosen as in keep_one.
 
-    A pair at 0.8 differs in about ten bits, which no ball of affordable size reaches (within 3 bits lie about a fifth of the
-    pairs), so the pairs come from the prefix-filtered join of `jaccard`, which misses none. balls_first: verify the pairs
-    within 3 bits beforehand; the result is the same. Null text counts as empty; texts without words are equal; rows
+    The pairs come from the fingerprints' balls that meet in the middle, and are verified on the sets. A pair at 0.8 differs in
+    about ten bits, which no ball of affordable size reaches (within 3 bits lie about a fifth of the pairs), so what they miss
+    is completed by the prefix-filtered join of `jaccard`, which misses none and is verified alike. balls_first=False leaves
+    the balls out; the result is the same. Null text counts as empty; texts without words are equal; rows
     without id take part and stay only where no other row of their group has an id; of repeated rows one stays. An empty
     table gives an empty result. Columns of any other names pass through."""
     rows, node = numbered(docs)

@@ -384,6 +384,20 @@ def test_components_in_blocks(spark, monkeypatch, block):
     assert got == {x: nodes[r] for x, r in zip(nodes, root.tolist(), strict=True) if nodes[r] != x}
 
 
+def test_near_stage_takes_pairs_from_the_fingerprints(spark, monkeypatch):
+    """The balls of the fingerprints give the stage pairs, and what they miss comes from the join."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(150)] for _ in range(20)]
+    rows = [(10 * k, " ".join(w)) for k, w in enumerate(base)] + [(10 * k + 1, " ".join([*w[:149], "other"])) for k, w in enumerate(base)] + [(10 * k + 2, " ".join([*w[:140], *(f"x{j}" for j in range(10))])) for k, w in enumerate(base)]
+    pairs, balls = [], simhash.ball_pairs
+    monkeypatch.setattr(simhash, "ball_pairs", lambda *a, **k: pairs.append(got := balls(*a, **k)) or got)
+    kept = corpus_pipeline.near_stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(map(tuple, kept.collect()), key=str) == brute_near(rows) and len(brute_near(rows)) == 20
+    assert 5 <= pairs[0].count() < 60
+
+
 def test_common_shingles_are_counted_over_all_texts(spark, tmp_path):
     """A passage of few texts among very many others is known as common, so texts that share no more than it are not compared."""
     rows = [(k, " ".join(f"p{k % 40}x{j}" for j in range(12)) + " " + " ".join(f"own{k}x{j}" for j in range(60))) for k in range(800)]
