@@ -15,7 +15,10 @@ one member of each component is compared with one of the group's largest, in two
 apart is compared pair by pair in groups of at most SMALL members. The shingles that the members of larger groups share become common ones, and these members,
 and no others, get new prefixes: a similar pair not found by then has both its texts in such groups only, and shares a shingle of
 the new prefixes as well. This goes on until no group is large, so the pairs are linear in the entries, and none is
-missed. Only texts that hold too few other shingles for a prefix without common ones are compared pair by pair in any number.
+missed. Texts that then still share a group, since they hold too few other shingles for a prefix without common ones, are described by
+their differences from a pivot, the first text of their group's largest component: copies of one text with a few changes each share
+most shingles, but few differences. |x ^ y| follows from the differences dx = x ^ p and dy = y ^ p, as |dx| + |dy| - 2 |dx & dy|, so
+that similar texts share one of their rarest differences, or both are similar to the pivot. Only texts that share those are compared.
 A pair is first judged by two small sketches, which rule out most pairs and never a similar one, and then verified by
 intersecting the two sets.
 """
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from motionloom.llm.common import Scratch, apart, as_bytes, cut, release, spread_ids, text_slices
@@ -247,6 +250,47 @@ def _frequent(sets: DataFrame, order: Order, tables: Scratch) -> tuple[np.ndarra
     return _most(tables.keep(often))
 
 
+def differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """groups: s, node, size, root. Returns q, node, size, base, own: for each pivot of a node's groups (the root of the group's largest
+    component) the sizes of the node's set and the pivot's, and the shingles that one of the two holds alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            base, own = [], []
+            for x, p in zip(b.column("own").to_pylist(), b.column("pivot").to_pylist(), strict=True):
+                base.append(len(p) // 8)
+                own.append(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64), assume_unique=True).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), b.column("size"), pa.array(base, pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["q", "node", "size", "base", "own"])
+
+    each = groups.groupBy("s", "root").agg(F.count(F.lit(1)).alias("n"))
+    pivot = each.groupBy(F.col("s").alias("ps")).agg(F.max(F.struct("n", "root")).alias("p")).select("ps", F.col("p.root").alias("q"))
+    placed = groups.join(pivot.hint("merge"), apart(F.col("s")) == apart(F.col("ps"))).select("q", "node", "size").distinct()
+    both = placed.join(sets.select(F.col("node").alias("nx"), "own").hint("merge"), F.col("node") == F.col("nx"))
+    both = both.join(sets.select(F.col("node").alias("np"), F.col("own").alias("pivot")).hint("merge"), F.col("q") == F.col("np"))
+    return both.select("q", "node", "size", "own", "pivot").mapInArrow(run, "q bigint, node bigint, size bigint, base bigint, own array<bigint>")
+
+
+def similar_apart(only: Column, sizes: Column) -> Column:
+    """Whether sets of this joint size are similar, of which so many shingles are in one set alone."""
+    return only * (NUM + DEN) <= sizes * (DEN - NUM)
+
+
+def pairs_by_differences(differ: DataFrame, roots: DataFrame) -> DataFrame:
+    """differ: as from differences(). Pairs (a < b) of nodes of one pivot and different components that can be similar if this is the
+    first difference from the pivot that they share, rare ones first. Pairs that need share none are both similar to the pivot."""
+    each = differ.select("q", "node", "size", F.size("own").cast("bigint").alias("n"), F.explode("own").alias("t"))
+    kinds = each.groupBy(F.col("q").alias("kq"), F.col("t").alias("kt")).agg(F.count(F.lit(1)).alias("holders"))
+    held = each.join(kinds.hint("merge"), apart(F.col("q"), F.col("t")) == apart(F.col("kq"), F.col("kt")))
+    place = F.row_number().over(Window.partitionBy("q", "node").orderBy("holders", "t")) - 1
+    first = held.withColumn("place", place).where((F.col("holders") > 1) & (F.col("place") * NUM <= F.col("size") * (DEN - NUM)))
+    at = cut(first.join(roots.select(F.col("node").alias("of"), "root").hint("merge"), F.col("node") == F.col("of"), "left").select("q", "t", "node", "size", "n", "place", F.coalesce("root", "node").alias("root")))
+    other = at.select(*[F.col(c).alias(f"{c}2") for c in at.columns])
+    most = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
+    can = similar_apart(F.col("n") + F.col("n2") - 2 * most, F.col("size") + F.col("size2"))
+    both = at.join(other.hint("merge"), (F.col("q") == F.col("q2")) & (F.col("t") == F.col("t2")) & (F.col("node") < F.col("node2")) & (F.col("root") != F.col("root2")) & can)
+    return both.select(F.col("node").alias("a"), F.col("node2").alias("b"))
+
+
 def merged(entries: DataFrame, tables: Scratch) -> DataFrame:
     """entries (s, node, size, place) with one of the groups that have the same members, each member at its first place in
     any of them; known by the number of members and two 64-bit sums of their hashes. Neighbouring shingles of a passage would
@@ -363,7 +407,11 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
         held = tables.keep(sets.join(again.hint("merge"), F.col("node") == F.col("n"), "left_semi").select("node", "own"))
         fresh = _frequent(held, order, tables)
         if not len(fresh[0]) and placed:  # the texts of large groups have none but common shingles
-            if judge(pairs_of(large), sifted=True):
+            differ = tables.keep(differences(large, sets))
+            close = differ.where((F.col("q") != F.col("node")) & similar_apart(F.size("own"), F.col("size") + F.col("base")))
+            if judge(close.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b"))):
+                roots = connected_components(links)
+            if judge(pairs_by_differences(differ, roots), sifted=True):
                 roots = connected_components(links)
             return found()
         order, placed = order.after(*fresh), True

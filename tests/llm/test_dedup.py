@@ -408,3 +408,27 @@ def test_common_shingles_are_counted_over_all_texts(spark, tmp_path):
     shared = np.unique(np.concatenate(sets), return_counts=True)
     assert len(order.keys) == int((shared[1] > jaccard.SMALL).sum()) == 40 * 8
     assert all(not (order.ranks(jaccard.prefix(s, order)) > 0).any() for s in sets)
+
+
+def test_copies_with_changes_of_their_own_are_compared_by_these(spark, monkeypatch):
+    """Copies of one text that is not there, each with three changes and so unlike all others, and copies of some of these."""
+    seen = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a, **k: seen.append(pairs.count()) or verified(pairs, *a, **k))
+    rng = random.Random(7)
+    base, rows = [f"w{j}" for j in range(150)], []
+    for k in range(200):
+        words = list(base)
+        for at in rng.sample(range(12), 1) + rng.sample(range(30, 140), 2):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+        if k % 10 == 0:
+            rows.append((1000 + k, " ".join([*words[:-1], f"end{k}"])))
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_near(rows)
+    assert sum(seen) <= 20 * len(rows)
+    counts = {}
+    for text in rows:
+        for x in jaccard.shingles(text[1].encode()).tolist():
+            counts[x] = counts.get(x, 0) + 1
+    assert sum(n > 8 for n in counts.values()) > 100
