@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import table, text_slices
+from motionloom.llm.common import kept, table, text_slices
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 NO_RANK = np.int64(1 << 40)
@@ -87,6 +87,10 @@ class Bpe:
         self.codes, self.code_ranks = code[order], order
         self.rank_of = {int(c): r for r, c in reversed(list(enumerate(code)))}
 
+    def forget(self) -> None:
+        """Drops the cached pieces."""
+        self.cached, self.held = {}, 0
+
     # encoding
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -204,7 +208,7 @@ class Bpe:
     def encode_slice(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers. Special tokens in a text count as such."""
         if self.held > self.cache_bytes:
-            self.cached, self.held = {}, 0
+            self.forget()
         parts, new = [list(self._parts(t)) for t in texts], set()
         for own in parts:
             for x in own:
@@ -247,13 +251,10 @@ class Bpe:
         return out.decode("utf-8", "replace").encode()
 
 
-_loaded: dict[tuple[str, bool], Bpe] = {}
-
-
 def bpe(path: str, library: bool = False) -> Bpe:
-    if (path, library) not in _loaded:
-        _loaded[path, library] = Bpe(path, library)
-    return _loaded[path, library]
+    if (path, library) not in kept:
+        kept[path, library] = Bpe(path, library)
+    return kept[path, library]
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 5 << 20) -> DataFrame:

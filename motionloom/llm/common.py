@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -35,12 +36,57 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000):
-    """Within, rows that hold whole texts or sets of hashes go to Python in batches of at most so many, which bounds the memory
-    of both sides; a smaller bound of the session stays."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    return settings(spark, {name: str(now if 0 < now <= rows else rows)})
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20):
+    """Within, rows that hold whole texts or sets of hashes go to Python in batches of at most so many rows and about so many bytes
+    (a longer row stays whole), which bounds the memory of both sides; smaller bounds of the session stay."""
+    values = {}
+    for name, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = int(spark.conf.get(name, None) or 0)
+        values[name] = str(now if 0 < now <= most else most)
+    return settings(spark, values)
+
+
+#: Tables that a Python worker keeps from task to task, as it may serve their operator again.
+kept: dict = {}
+
+
+def drop_kept() -> None:
+    kept.clear()
+
+
+def give_back() -> None:
+    """Free memory of this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """run, for mapInArrow, in a worker that first drops what other operators left in it, and in the end gives back what it freed.
+
+    An executor has several workers for each core, which live on and take turns: else each keeps the peak of all tasks it served."""
+
+    def inner(batches):
+        drop_kept()
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
+def lean_groups(run: Callable) -> Callable:
+    """As lean, for applyInArrow with a key."""
+
+    def inner(key, got):
+        drop_kept()
+        try:
+            return run(key, got)
+        finally:
+            give_back()
+
+    return inner
 
 
 def apart(*keys: Column) -> Column:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import Scratch, apart, cut, release
+from motionloom.llm.common import Scratch, apart, cut, lean, release
 
 #: Links of a block, which one task turns into a forest.
 BLOCK = 500_000
@@ -63,7 +63,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         before = _state(links)
         while before[0]:
             blocks = -(-before[0] // BLOCK)
-            forest = links.coalesce(blocks).mapInArrow(_forest, "a bigint, b bigint")
+            forest = links.coalesce(blocks).mapInArrow(lean(_forest), "a bigint, b bigint")
             if blocks == 1:
                 return cut(forest.select(F.col("a").alias("node"), F.col("b").alias("root")))
             links = tables.keep(_star(_star(tables.keep(forest.distinct()), large=True), large=False))

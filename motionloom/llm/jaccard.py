@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import Scratch, apart, as_bytes, cut, release, spread_ids, text_slices
+from motionloom.llm.common import Scratch, apart, as_bytes, cut, lean, lean_groups, release, text_slices
 from motionloom.llm.components import connected_components
 
 WORDS = 5
@@ -170,8 +170,8 @@ def _common(rows: DataFrame, entries: int, tables: Scratch) -> Order:
         often = n >= least
         return pa.table({"key": (every[first][often].astype(np.int64) | (key[0].as_py() << 32)), "n": n[often].astype(np.int64)})
 
-    sent = rows.select("text").mapInArrow(send, "bucket bigint, ones binary, more binary")
-    return Order(int(shift), *_most(tables.keep(sent.groupBy("bucket").applyInArrow(count, "key bigint, n bigint"))))
+    sent = rows.select("text").mapInArrow(lean(send), "bucket bigint, ones binary, more binary")
+    return Order(int(shift), *_most(tables.keep(sent.groupBy("bucket").applyInArrow(lean_groups(count), "key bigint, n bigint"))))
 
 
 def _most(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +188,7 @@ def _sets(rows: DataFrame) -> DataFrame:
             own = [shingles(t) for t in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([sketch(x) for x in own], pa.binary())], names=["node", "own", "sketch"])
 
-    return rows.select("node", "text").mapInArrow(run, "node bigint, own binary, sketch binary")
+    return rows.select("node", "text").mapInArrow(lean(run), "node bigint, own binary, sketch binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, sifted: bool = False) -> DataFrame:
@@ -215,9 +215,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, sifted: bool = False) -> DataFr
 
     near = pairs
     if sifted:  # sketches are a sixtieth of the sets, and leave few pairs whose sets must meet
-        near = cut(beside(pairs, "sketch").mapInArrow(sift, "a bigint, b bigint"))
+        near = cut(beside(pairs, "sketch").mapInArrow(lean(sift), "a bigint, b bigint"))
         release(sets.sparkSession)
-    return beside(near, "own").mapInArrow(compare, "a bigint, b bigint")
+    return beside(near, "own").mapInArrow(lean(compare), "a bigint, b bigint")
 
 
 def _entries(sets: DataFrame, order: Order) -> DataFrame:
@@ -232,7 +232,7 @@ def _entries(sets: DataFrame, order: Order) -> DataFrame:
                 lengths, every = list(map(len, some)), np.concatenate(some)
                 yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(np.repeat(b.column("node").to_numpy(), lengths)), pa.array(np.repeat(list(map(len, own)), lengths)), pa.array(np.concatenate([np.arange(n) for n in lengths]))], names=["s", "node", "size", "place"])
 
-    return sets.select("node", "own").mapInArrow(run, "s bigint, node bigint, size bigint, place bigint")
+    return sets.select("node", "own").mapInArrow(lean(run), "s bigint, node bigint, size bigint, place bigint")
 
 
 def _frequent(sets: DataFrame, order: Order, tables: Scratch) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +246,7 @@ def _frequent(sets: DataFrame, order: Order, tables: Scratch) -> tuple[np.ndarra
                 key, n = np.unique(every[known.value.ranks(every) == 0] >> known.value.shift, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-    often = sets.select("own").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > SMALL)
+    often = sets.select("own").mapInArrow(lean(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > SMALL)
     return _most(tables.keep(often))
 
 
@@ -267,7 +267,7 @@ def differences(groups: DataFrame, sets: DataFrame) -> DataFrame:
     placed = groups.join(pivot.hint("merge"), apart(F.col("s")) == apart(F.col("ps"))).select("q", "node", "size").distinct()
     both = placed.join(sets.select(F.col("node").alias("nx"), "own").hint("merge"), F.col("node") == F.col("nx"))
     both = both.join(sets.select(F.col("node").alias("np"), F.col("own").alias("pivot")).hint("merge"), F.col("q") == F.col("np"))
-    return both.select("q", "node", "size", "own", "pivot").mapInArrow(run, "q bigint, node bigint, size bigint, base bigint, own array<bigint>")
+    return both.select("q", "node", "size", "own", "pivot").mapInArrow(lean(run), "q bigint, node bigint, size bigint, base bigint, own array<bigint>")
 
 
 def similar_apart(only: Column, sizes: Column) -> Column:
@@ -341,7 +341,7 @@ def _near_members(rows: DataFrame, seeds: DataFrame | None, tables: Scratch) ->
         none = np.zeros(len(a), np.int64)
         return pa.table({"a": np.concatenate([a, more["node"]]), "b": np.concatenate([b, more["s"].view(np.int64)]), "size": np.concatenate([none, more["size"].astype(np.int64)])})
 
-    met = tables.keep(rows.select("node", "text").mapInArrow(deal, "bucket bigint, entries binary").groupBy("bucket").applyInArrow(group, "a bigint, b bigint, size bigint"))
+    met = tables.keep(rows.select("node", "text").mapInArrow(lean(deal), "bucket bigint, entries binary").groupBy("bucket").applyInArrow(lean_groups(group), "a bigint, b bigint, size bigint"))
     release(spark)
     first = met.where("size = 0").select("a", "b")
     first = tables.keep((first if seeds is None else first.union(seeds)).distinct())

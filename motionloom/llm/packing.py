@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from motionloom.llm.bpe import WORD_BPE, bpe, vocabulary_path
-from motionloom.llm.common import cut, small_batches, table, text_slices
+from motionloom.llm.common import cut, give_back, small_batches, table, text_slices
 
 LENGTH = 4096
 SLICE_PIECES = 200_000
@@ -61,6 +61,9 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, id_col: str = "doc_id",
             if with_ids:
                 cols["ids"] = pa.array(out, pa.binary())
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+            del cols, at, start, length, crc, total, out
+        tok.forget()
+        give_back()
 
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return src.mapInArrow(run, "id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids binary" * with_ids)

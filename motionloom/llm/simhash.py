@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motionloom.llm import jaccard
-from motionloom.llm.common import apart, as_bytes, cut, keep_one, numbered, release, small_batches, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, keep_one, lean, lean_groups, numbered, release, small_batches, table, text_slices
 from motionloom.llm.components import connected_components, local_roots
 
 RADIUS = 3
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(fps)], names=["id", "fp"])
 
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return src.mapInArrow(run, "id bigint, fp bigint")
+    return src.mapInArrow(lean(run), "id bigint, fp bigint")
 
 
 def _syndromes(fps: np.ndarray) -> np.ndarray:
@@ -156,7 +156,7 @@ def links(distinct_fps: DataFrame, n: int | None = None) -> DataFrame:
         a, b = bucket_links(fps, key[0].as_py(), k)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return distinct_fps.select("fp").mapInArrow(deal, "bucket bigint, fps binary").groupBy("bucket").applyInArrow(meet, "a bigint, b bigint")
+    return distinct_fps.select("fp").mapInArrow(lean(deal), "bucket bigint, fps binary").groupBy("bucket").applyInArrow(lean_groups(meet), "a bigint, b bigint")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motionloom.llm.common import apart, as_bytes, cut, release, small_batches, table, text_slices
+from motionloom.llm.common import apart, as_bytes, cut, lean, lean_groups, release, small_batches, table, text_slices
 from motionloom.operators.ranks import free_name
 
 DEPTH, GRAM = 200, 64
@@ -163,7 +163,7 @@ def _runs(rows: DataFrame, depth: int) -> DataFrame:
                 where = pa.array(np.concatenate(at))
                 yield pa.RecordBatch.from_arrays([b.column("id").take(where), b.column("th").take(where), *(pa.array(np.concatenate(c)) for c in cols)], names=[x.split()[0] for x in RUN.split(", ")])
 
-    return rows.mapInArrow(run, RUN)
+    return rows.mapInArrow(lean(run), RUN)
 
 
 def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTENTS) -> DataFrame:
@@ -207,7 +207,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["id", "th", "digit", "h2", "start", "weight", "hot", "seg"])
 
     texts = rows.join(wanted, (F.col("id") == F.col("i")) & (F.col("th") == F.col("t"))).select("id", "th", "text", "runs")
-    fetched = cut(texts.mapInArrow(fetch, "id bigint, th bigint, digit bigint, h2 bigint, start bigint, weight int, hot boolean, seg binary"))
+    fetched = cut(texts.mapInArrow(lean(fetch), "id bigint, th bigint, digit bigint, h2 bigint, start bigint, weight int, hot boolean, seg binary"))
 
     release(rows.sparkSession)
 
@@ -223,7 +223,7 @@ def repeated_intervals(rows: DataFrame, depth: int = DEPTH, hot: int = HOT_CONTE
 
     cold = fetched.where("NOT hot")
     buckets = max(1, math.ceil((cold.agg(F.sum(F.octet_length("seg"))).first()[0] or 0) / BUCKET_BYTES))
-    sorted_ = cold.withColumn("bucket", F.pmod(F.xxhash64("digit"), F.lit(buckets))).groupBy("bucket").applyInArrow(sort, "id bigint, th bigint, a bigint, b bigint")
+    sorted_ = cold.withColumn("bucket", F.pmod(F.xxhash64("digit"), F.lit(buckets))).groupBy("bucket").applyInArrow(lean_groups(sort), "id bigint, th bigint, a bigint, b bigint")
     warm = fetched.where("hot").select("id", "th", F.col("digit").alias("w1"), F.col("h2").alias("w2"), "start", "weight")
     twice = warm.groupBy(F.col("w1").alias("x1"), F.col("w2").alias("x2")).agg(F.sum("weight").alias("total")).where("total > 1")
     counted = warm.join(twice, apart(F.col("w1"), F.col("w2")) == apart(F.col("x1"), F.col("x2"))).select("id", "th", F.col("start").alias("a"), (F.col("start") + depth).alias("b"))
@@ -258,7 +258,7 @@ def removal(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dep
             yield pa.RecordBatch.from_arrays([b.column("i"), b.column("t"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())], names=["i", "t", "removed", "spans", "sha"])
 
     lists = cuts(docs, id_col, text_col, depth, hot)
-    losing = rows.join(lists, (F.col("id") == F.col("i")) & (F.col("th") == F.col("t"))).select("i", "t", "text", "spans").mapInArrow(run, "i bigint, t bigint, removed bigint, spans bigint, sha string")
+    losing = rows.join(lists, (F.col("id") == F.col("i")) & (F.col("th") == F.col("t"))).select("i", "t", "text", "spans").mapInArrow(lean(run), "i bigint, t bigint, removed bigint, spans bigint, sha string")
     # rows that repeat id and text would multiply in the join back
     losing = losing.groupBy("i", "t").agg(F.max("removed").alias("removed"), F.max("spans").alias("spans"), F.max("sha").alias("sha"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))

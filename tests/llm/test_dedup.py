@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from motionloom.llm import components, exact_dedup, jaccard, simhash, suffix_dedup, topk, warc
+from motionloom.llm import common, components, exact_dedup, jaccard, simhash, suffix_dedup, topk, warc
 
 
 @pytest.fixture(scope="module")
@@ -432,3 +432,44 @@ def test_copies_with_changes_of_their_own_are_compared_by_these(spark, monkeypat
         for x in jaccard.shingles(text[1].encode()).tolist():
             counts[x] = counts.get(x, 0) + 1
     assert sum(n > 8 for n in counts.values()) > 100
+
+
+def test_small_batches_bound_bytes(spark):
+    """Long texts go to Python a few at a time, though their rows are fewer than a batch may have."""
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], names=["rows", "bytes"])
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    texts = spark.range(0, 300, 1, 1).select(F.expr("repeat('0123456789', 10000)").alias("text"))
+    with common.small_batches(spark):
+        got = texts.mapInArrow(sizes, "rows bigint, bytes bigint").collect()
+    assert sum(r["rows"] for r in got) == 300 and max(r["bytes"] for r in got) < 6 << 20
+    assert spark.conf.get(name, None) is None
+    with common.settings(spark, {name: "1000"}), common.small_batches(spark):
+        assert spark.conf.get(name) == "1000"  # a smaller bound stays
+
+
+def test_lean_tasks_drop_what_others_keep(spark):
+    """A worker that served a tokenizer keeps none of its tables in a near-duplicate task."""
+    def keep(batches):
+        from motionloom.llm.common import kept
+
+        for b in batches:
+            kept["of another operator"] = bytes(1000)
+            yield b
+
+    def left(batches):
+        from motionloom.llm.common import kept
+
+        for b in batches:
+            yield b.slice(0, len(kept))
+
+    one = spark.range(0, 1, 1, 1)
+    one.mapInArrow(keep, "id bigint").collect()
+    assert one.mapInArrow(common.lean(left), "id bigint").collect() == []
+    common.kept["here"] = 1
+    assert common.lean_groups(lambda key, got: dict(common.kept))(None, None) == {}
+    assert list(common.lean(lambda batches: batches)(iter([1, 2]))) == [1, 2]
