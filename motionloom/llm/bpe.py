@@ -251,10 +251,10 @@ class Bpe:
         return out.decode("utf-8", "replace").encode()
 
 
-def bpe(path: str, library: bool = False) -> Bpe:
-    if (path, library) not in kept:
-        kept[path, library] = Bpe(path, library)
-    return kept[path, library]
+def bpe(path: str, library: bool = False, cache_bytes: int = 2 << 20) -> Bpe:
+    if (path, library, cache_bytes) not in kept:
+        kept[path, library, cache_bytes] = Bpe(path, library, cache_bytes)
+    return kept[path, library, cache_bytes]
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 5 << 20) -> DataFrame:

@@ -39,7 +39,9 @@ from motionloom.llm.common import AtomicFile, file_system, fresh_dir, small_batc
 MAGIC = b"MLTOKEN2"
 BLOCK, STREAMS, LEAST_STREAM = 1 << 15, 32, 1024
 #: Blocks whose streams are coded side by side, and blocks whose predictions are replayed side by side.
-CODED, REPLAYED = 32, 128
+CODED, REPLAYED = 256, 256
+#: Bound on the characters of pieces whose ids a task keeps: about a million, 200 bytes each.
+CACHE_BYTES = 8 << 20
 BITS = 15
 UNIT = 1 << BITS
 CLASSES, RAW_BITS = 64, 10
@@ -240,9 +242,10 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
                 new = at >= len(known)
                 new[~new] = known[at[~new]] != now[~new]
                 at = np.where(new, len(known) + (now >> RAW_BITS), at)
-                starts.append((np.cumsum(width) - width)[at])
+                width = width.astype(np.int32)  # half the memory, as all blocks of a file may be coded at once
+                starts.append((np.cumsum(width, dtype=np.int32) - width)[at])
                 freqs.append(width[at])
-                raws.append(np.where(new, (now & (1 << RAW_BITS) - 1).astype(np.int64), -1))
+                raws.append(np.where(new, (now & (1 << RAW_BITS) - 1).astype(np.int32), np.int32(-1)))
         counts = np.clip(sizes - s, 0, e - s)
         start, freq, raw, base = np.concatenate(starts), np.concatenate(freqs), np.concatenate(raws), (np.cumsum(counts) - counts)[streams.block]
         for who, k in streams.part(counts):
@@ -434,7 +437,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tok, out, uri, tokens = bpe(path, library=True), None, f"{folder}/part-{uuid.uuid4().hex}.tok", 0
+        tok, out, uri, tokens = bpe(path, library=True, cache_bytes=CACHE_BYTES), None, f"{folder}/part-{uuid.uuid4().hex}.tok", 0
         for b in text_slices(batches, slice_bytes):
             for doc, ids in zip(b.column("id").to_pylist(), tok.encode_slice([t or "" for t in b.column("text").to_pylist()]), strict=True):
                 out = out or TokenWriter(uri)

@@ -228,3 +228,17 @@ def test_quality_held_out(spark):
     assert quality.keep_quality(odd, m).columns == odd.columns
     none = quality.fit(docs, labels.where("false"))
     assert none.score(b"abc") == pytest.approx(0.5)
+
+
+def test_blocks_of_a_file_are_coded_side_by_side(monkeypatch):
+    """All blocks of a usual file move in one batch, and their bytes don't depend on the batches."""
+    rng = np.random.default_rng(8)
+    blocks = [rng.zipf(1.3, n).clip(0, 50_000).astype("<u4") for n in (3000, *[300] * 198, 7)]
+    calls, code, decode = [], token_files._encode, token_files._decode
+    monkeypatch.setattr(token_files, "_encode", lambda b: calls.append(len(b)) or code(b))
+    monkeypatch.setattr(token_files, "_decode", lambda p, s: calls.append(len(p)) or decode(p, s))
+    together = token_files.encode_blocks(blocks)
+    got = token_files.decode_blocks(together, [len(b) for b in blocks])
+    assert calls == [200, 200] and all((a == b).all() for a, b in zip(got, blocks, strict=True))
+    monkeypatch.setattr(token_files, "CODED", 32)
+    assert token_files.encode_blocks(blocks) == together
