@@ -9,6 +9,7 @@ one symbol can be made in two ways) sends that piece to the plain loop, which me
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import heapq
 import json
@@ -52,6 +53,37 @@ BYTE_SPLIT = (
 )
 
 
+#: For each Latin-1 byte: 0 white space, 1 letter, 2 digit, 3 anything else; and the letters of contractions by their first.
+KIND1 = np.full(256, 3, np.uint8)
+for _kind, _chars in enumerate((SPACE1, LETTER1, DIGIT1)):
+    KIND1[[b for b in range(256) if re.match(rb"[" + _chars + rb"]", bytes([b]))]] = _kind
+
+
+def byte_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """(the pieces of Latin-1 texts as BYTE_SPLIT gives them, as large_binary; the number of pieces of each text), an array operation at a time."""
+    data, sizes = b"".join(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+    raw, n, ends = np.frombuffer(data, np.uint8), len(data), np.cumsum(sizes)
+    first = np.zeros(n + 1, bool)  # where a text starts
+    first[ends - sizes] = True
+    first[n] = True
+    kind = KIND1[raw]
+    starts = first.copy()
+    starts[1:n] |= kind[1:] != kind[:-1]
+    # the last white space before anything else is apart from the rest of its run, and a blank belongs to what follows
+    last = np.flatnonzero((kind == 0) & starts[1:] & ~first[1:])
+    starts[last] = True
+    starts[last[raw[last] == 32] + 1] = False
+    # contractions: an apostrophe that starts a piece
+    for at in np.flatnonzero((raw == 39) & starts[:-1]).tolist():
+        if not first[at + 1] and starts[at + 1]:
+            size = 2 if data[at + 1] in b"stmd" else 3 if data[at + 1 : at + 3] in (b"re", b"ve", b"ll") and not first[at + 2] else 0
+            if size:
+                starts[at + 1] = False
+                starts[at + size] = True
+    offsets = np.flatnonzero(starts)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]), np.diff(np.searchsorted(offsets, np.append(ends - sizes, n)))
+
+
 class Bpe:
     """A vocabulary file, loaded once per process by `bpe()`."""
 
@@ -68,7 +100,7 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
         chars = byte_chars()
-        self.shown = dict(enumerate(chars))
+        self.shown = "".join(chars)
         self.cached: dict[bytes | str, bytes] = {}
         self.held = 0
         self.library = self.newest = None
@@ -205,25 +237,63 @@ class Bpe:
             elif x:
                 yield self._pieces(x)
 
+    def _learn(self, pieces: list) -> None:
+        """Puts the ids of new pieces into the cache."""
+        self.held += sum(map(len, pieces))
+        raw = [p.decode("latin-1").encode() if type(p) is bytes else p.encode() for p in pieces]
+        if self.library:
+            tokenize, ends = self.library.model.tokenize, np.cumsum([0, *map(len, raw)]).tolist()
+            shown = codecs.charmap_decode(b"".join(raw), "strict", self.shown)[0]
+            ids = (struct.pack(f"<{len(x)}I", *[t.id for t in x]) for x in (tokenize(shown[s:e]) for s, e in zip(ends, ends[1:], strict=False)))
+        else:
+            ids = (x.astype("<u4").tobytes() for x in self.encode_pieces(raw))
+        self.cached.update(zip(pieces, ids, strict=True))
+
     def encode_slice(self, texts: list[str]) -> Iterator[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers. Special tokens in a text count as such."""
         if self.held > self.cache_bytes:
             self.forget()
+        if self.split is not BYTE_SPLIT or self.lower:
+            yield from self._encode_each(texts)
+            return
+        whole, other = {}, []
+        for i, t in enumerate(texts):
+            try:
+                whole[i] = t.encode("latin-1")
+            except UnicodeEncodeError:
+                other.append(i)
+                continue
+            if any(s in t for s in self.special):
+                del whole[i]
+                other.append(i)
+        ids = dict(zip(whole, self._encode_whole(list(whole.values())), strict=True))
+        ids.update(zip(other, self._encode_each([texts[i] for i in other]), strict=True))
+        for i in range(len(texts)):
+            yield ids.pop(i)
+
+    def _encode_whole(self, texts: list[bytes]) -> list[bytes]:
+        """Latin-1 texts without special tokens: each distinct piece of the slice is looked up once."""
+        pieces, counts = byte_pieces(texts)
+        coded = pieces.dictionary_encode()
+        at, data = np.frombuffer(coded.dictionary.buffers()[1], np.int64)[: len(coded.dictionary) + 1].tolist(), (coded.dictionary.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+        own = [data[s:e] for s, e in zip(at, at[1:], strict=False)]
+        found = list(map(self.cached.get, own))
+        if new := [p for p, x in zip(own, found, strict=True) if x is None]:
+            self._learn(new)
+            found = map(self.cached.__getitem__, own)
+        ids = pa.array(found, pa.large_binary(), size=len(own)).take(coded.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[np.append(0, np.cumsum(counts))].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = memoryview(ids.buffers()[2] or b"")
+        return [bytes(data[s:e]) for s, e in zip(ends, ends[1:], strict=False)]
+
+    def _encode_each(self, texts: list[str]) -> Iterator[bytes]:
         parts, new = [list(self._parts(t)) for t in texts], set()
         for own in parts:
             for x in own:
                 if type(x) is list:
                     new.update(set(x).difference(self.cached))
         if new:
-            pieces = list(new)
-            self.held += sum(map(len, pieces))
-            raw = [p.decode("latin-1").encode() if type(p) is bytes else p.encode() for p in pieces]
-            if self.library:
-                tokenize = self.library.model.tokenize
-                ids = (struct.pack(f"<{len(x)}I", *[t.id for t in x]) for x in (tokenize(b.decode("latin-1").translate(self.shown)) for b in raw))
-            else:
-                ids = (x.astype("<u4").tobytes() for x in self.encode_pieces(raw))
-            self.cached.update(zip(pieces, ids, strict=True))
+            self._learn(list(new))
         get = self.cached.__getitem__
         for own in parts:
             yield b"".join([b"".join(map(get, x)) if type(x) is list else x.to_bytes(4, "little") for x in own])

@@ -40,6 +40,8 @@ MAGIC = b"MLTOKEN2"
 BLOCK, STREAMS, LEAST_STREAM = 1 << 15, 32, 1024
 #: Blocks whose streams are coded side by side, and blocks whose predictions are replayed side by side.
 CODED, REPLAYED = 256, 256
+#: Steps whose symbols are looked up together.
+STEPS = 32
 #: Bound on the characters of pieces whose ids a task keeps: about a million, 200 bytes each.
 CACHE_BYTES = 8 << 20
 BITS = 15
@@ -77,49 +79,63 @@ class Streams:
         self.length = np.clip(sizes[self.block] - begin, 0, width[self.block])
         self.begin = (np.cumsum(sizes) - sizes)[self.block] + begin
 
-    def places(self) -> Iterator[tuple[slice | np.ndarray, np.ndarray]]:
-        """Step by step: the streams that take part, and their places."""
-        full = int(self.length.min(initial=0)) if self.n else 0
-        for t in range(int(self.length.max(initial=0))):
-            who = slice(None) if t < full else np.flatnonzero(self.length > t)
-            yield who, self.begin[who] + t
+    def lanes(self, length: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """Streams with these lengths in an order in which those that take part in a step come first, and their number by step."""
+        lane = np.argsort(-length, kind="stable")
+        return lane, np.searchsorted(-length[lane], -np.arange(int(length.max(initial=0))), side="left").tolist()
 
-    def part(self, counts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """A part with counts[block] order-0 ids: the streams that take part in a step, and the numbers of their ids."""
-        per, own, counts = self.per[self.block], self.j.copy(), counts[self.block]
-        for _ in range(int((-(-counts // per)).max(initial=0))):
-            who = np.flatnonzero(own < counts)
-            yield who, own[who]
-            own += per
+    def part(self, counts: np.ndarray) -> np.ndarray:
+        """How many of the order-0 ids of a part that has counts[block] fall to each stream."""
+        return np.maximum(0, -(-(counts[self.block] - self.j) // self.per[self.block]))
 
 
 class Encoder:
+    """The streams' coders, in the order of the lanes that were set last; a step codes for the first of them."""
+
     def __init__(self, streams: int):
         self.low, self.span = np.zeros(streams, np.int64), np.full(streams, 1 << 48, np.int64)
-        self.number = np.arange(streams, dtype=np.int32)
+        self.number = np.arange(streams, dtype=np.uint16 if streams <= 1 << 16 else np.int32)  # 16 bits sort faster
         self.who: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def put(self, who, start: np.ndarray, freq: np.ndarray) -> None:
-        r = self.span[who] >> BITS
-        low = self.low[who] + r * start
-        span = r * freq
+    def set_lanes(self, lane: np.ndarray) -> None:
+        back = np.argsort(self.number)[lane]
+        self.low, self.span, self.number = self.low[back], self.span[back], self.number[back]
+
+    def put(self, start: np.ndarray, freq: np.ndarray) -> None:
+        """Codes one symbol of each of the first len(start) lanes."""
+        low, span = self.low[: len(start)], self.span[: len(start)]
+        span >>= BITS
+        low += span * start
+        span *= freq
         small = np.flatnonzero(span < 1 << 32)
         if len(small):
-            out = low[small]
-            self.who.append(self.number[who][small])
-            self.words.append((out >> 32).astype(np.int32))  # bit 16: a carry into the word before
-            low[small] = (out & 0xFFFFFFFF) << 16
-            span[small] <<= 16
-        self.low[who], self.span[who] = low, span
+            self._move(small)
+
+    def put_raw(self, who: np.ndarray, value: np.ndarray) -> None:
+        """Codes RAW_BITS bits of each of these lanes."""
+        span = self.span[who] >> BITS << BITS - RAW_BITS
+        self.low[who] += span * value
+        self.span[who] = span
+        small = who[span < 1 << 32]
+        if len(small):
+            self._move(small)
+
+    def _move(self, small: np.ndarray) -> None:
+        out = self.low[small]
+        self.who.append(self.number[small])
+        self.words.append((out >> 32).astype(np.int32))  # bit 16: a carry into the word before
+        self.low[small] = (out & 0xFFFFFFFF) << 16
+        self.span[small] <<= 16
 
     def close(self) -> tuple[np.ndarray, np.ndarray]:
         """All words, stream by stream, and the number of each stream's words. The reader takes zeros beyond a stream's end."""
+        self.set_lanes(np.arange(len(self.number)))
         self.who.append(self.number)
         self.words.append(((self.low + 0xFFFFFFFF) >> 32).astype(np.int32))
         who, word = np.concatenate(self.who), np.concatenate(self.words)
         word = word[np.argsort(who, kind="stable")]
-        while len(over := np.flatnonzero(word >> 16)):
+        while len(over := np.flatnonzero(word > 0xFFFF)):
             carry = word[over] >> 16
             word[over] &= 0xFFFF
             word[over - 1] += carry
@@ -130,40 +146,55 @@ class Decoder:
     def __init__(self, words: np.ndarray, counts: np.ndarray):
         """words, counts: as from Encoder.close()."""
         ends = np.cumsum(counts + 3)
-        self.data = np.zeros(int(ends[-1]) + 1, np.int64)
+        self.data = np.zeros(int(ends[-1]) + 1, np.uint16)
         self.data[np.arange(len(words)) + np.repeat(3 * np.arange(len(counts)), counts)] = words
         self.at = ends - counts - 3
-        self.code = self.data[self.at] << 32 | self.data[self.at + 1] << 16 | self.data[self.at + 2]
+        first = self.data[self.at[:, None] + np.arange(3)].astype(np.int64)
+        self.code = first[:, 0] << 32 | first[:, 1] << 16 | first[:, 2]
         self.at += 3
-        self.span = np.full(len(counts), 1 << 48, np.int64)
-
-    def value(self, who) -> np.ndarray:
-        self.r = self.span[who] >> BITS
-        return np.minimum(self.code[who] // self.r, UNIT - 1)
-
-    def take(self, who, start: np.ndarray, freq: np.ndarray) -> None:
-        code = self.code[who] - self.r * start
-        span = self.r * freq
+        self.span, self.number = np.full(len(counts), 1 << 48, np.int64), np.arange(len(counts))
+
+    def set_lanes(self, lane: np.ndarray) -> None:
+        back = np.argsort(self.number)[lane]
+        self.code, self.span, self.at, self.number = self.code[back], self.span[back], self.at[back], self.number[back]
+
+    def value(self, m: int) -> np.ndarray:
+        """What the codes of the first m lanes stand for, under UNIT."""
+        self.span[:m] >>= BITS
+        # the quotient of whole numbers under 2^48, itself under 2^16, is as exact in doubles as in integers once cut
+        return np.minimum((self.code[:m] / self.span[:m]).astype(np.int64), UNIT - 1)
+
+    def take(self, start: np.ndarray, freq: np.ndarray) -> None:
+        code, span = self.code[: len(start)], self.span[: len(start)]
+        code -= span * start
+        span *= freq
         small = np.flatnonzero(span < 1 << 32)
         if len(small):
-            at = self.at[who][small]
-            code[small] = code[small] << 16 | self.data[np.minimum(at, len(self.data) - 1)]  # a damaged block may ask for more
-            span[small] <<= 16
-            at += 1
-            if isinstance(who, slice):
-                self.at[small] = at
-            else:
-                self.at[who[small]] = at
-        self.code[who], self.span[who] = code, span
+            self._move(small)
+
+    def take_raw(self, who: np.ndarray) -> np.ndarray:
+        """RAW_BITS bits of each of these lanes."""
+        code, span = self.code[who], self.span[who] >> BITS << BITS - RAW_BITS
+        value = np.minimum((code / span).astype(np.int64), (1 << RAW_BITS) - 1)
+        self.code[who], self.span[who] = code - span * value, span
+        small = who[span < 1 << 32]
+        if len(small):
+            self._move(small)
+        return value
+
+    def _move(self, small: np.ndarray) -> None:
+        at = self.at[small]
+        self.code[small] = self.code[small] << 16 | self.data.take(at, mode="clip")  # a damaged block may ask for more
+        self.span[small] <<= 16
+        self.at[small] = at + 1
 
 
 class Mixture:
-    """The weights of the three orders: per block and context (the orders right at the two places before in the stream)."""
+    """The weights of the three orders, of which a place is (block * 9 + context) * 3 + order; the context: the orders right at
+    the two places before in the stream, three times the earlier and the later."""
 
-    def __init__(self, streams: Streams):
-        self.counts = np.ones((len(streams.sizes) * 9, 3), np.int64)
-        self.base = streams.block * 9
-        self.last = np.full(streams.n, 8, np.int64)
+    def __init__(self, blocks: int):
+        self.counts = np.ones((blocks * 9, 3), np.int64)
         self.held: list[np.ndarray] = []
         self.renew()
 
@@ -180,21 +211,21 @@ class Mixture:
         self.freq = freq.ravel()
         self.start = (np.cumsum(freq, axis=1) - freq).ravel()
 
-    def context(self, who) -> np.ndarray:
-        return (self.base[who] + self.last[who]) * 3
-
-    def learn(self, who, context: np.ndarray, order: np.ndarray) -> None:
-        self.last[who] = self.last[who] % 3 * 3 + order
-        self.held.append(context + order)
+    def learn(self, at: np.ndarray) -> None:
+        self.held.append(at)
         if len(self.held) == RENEW:
             self.renew()
 
 
 def distribution(before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order 0 after these order-0 ids of the block: the known ids, and the widths (sum UNIT) of these and then of the classes of new ids."""
-    times = np.bincount(before, minlength=1 << 16)
-    known = np.flatnonzero(times)
-    times = times[known]
+    if len(before) < 1 << 12:  # sorting is cheaper than counting over all ids
+        known, times = np.unique(before, return_counts=True)
+        known = known.astype(np.int64)
+    else:
+        times = np.bincount(before)
+        known = np.flatnonzero(times > 0)
+        times = times[known]
     n, room = len(before), UNIT - len(known) - CLASSES
     once = max(1, int((times == 1).sum()))
     for_known = room * (n - once + 1) // (n + 1) if n else 0
@@ -220,14 +251,20 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
 def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     blocks = [np.asarray(b).astype(np.uint16) for b in blocks]
     streams = Streams(np.array([len(b) for b in blocks]))
-    coder, mix = Encoder(streams.n), Mixture(streams)
+    coder, mix = Encoder(streams.n), Mixture(len(blocks))
     order_of = [orders(b) for b in blocks]
     order = np.concatenate(order_of)
-    for who, at in streams.places():
-        own = order[at]
-        c = mix.context(who)
-        coder.put(who, mix.start[c + own], mix.freq[c + own])
-        mix.learn(who, c, own)
+    lane, active = streams.lanes(streams.length)
+    coder.set_lanes(lane)
+    begin, base, before = streams.begin[lane], streams.block[lane] * 27, np.full((2, streams.n), 2, np.uint8)
+    for s in range(0, len(active), STEPS):
+        m = active[s]
+        right = np.concatenate((before[:, :m], order.take(begin[:m] + np.arange(s, min(len(active), s + STEPS))[:, None], mode="clip")))
+        places, before = base[:m] + (9 * right[:-2] + 3 * right[1:-1] + right[2:]), right[-2:]
+        for row, m in zip(places, active[s : s + STEPS], strict=True):
+            at = row[:m]
+            coder.put(mix.start.take(at), mix.freq.take(at))
+            mix.learn(at)
     rest = [b[o == 2] for b, o in zip(blocks, order_of, strict=True)]
     sizes = np.array([len(x) for x in rest])
     where = np.zeros(1 << 16, np.int64)
@@ -247,13 +284,17 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
                 freqs.append(width[at])
                 raws.append(np.where(new, (now & (1 << RAW_BITS) - 1).astype(np.int32), np.int32(-1)))
         counts = np.clip(sizes - s, 0, e - s)
-        start, freq, raw, base = np.concatenate(starts), np.concatenate(freqs), np.concatenate(raws), (np.cumsum(counts) - counts)[streams.block]
-        for who, k in streams.part(counts):
-            at = base[who] + k
-            coder.put(who, start[at], freq[at])
-            low = raw[at]
-            if len(new := np.flatnonzero(low >= 0)):
-                coder.put(who[new], low[new] << BITS - RAW_BITS, np.int64(1 << BITS - RAW_BITS))
+        start, freq, raw = np.concatenate(starts), np.concatenate(freqs), np.concatenate(raws)
+        lane, active = streams.lanes(streams.part(counts))
+        coder.set_lanes(lane)
+        first, step = ((np.cumsum(counts) - counts)[streams.block] + streams.j)[lane], streams.per[streams.block][lane]
+        for t in range(0, len(active), STEPS):
+            m = active[t]
+            at = first[:m] + step[:m] * np.arange(t, min(len(active), t + STEPS))[:, None]
+            for own, width, low, m in zip(start.take(at, mode="clip"), freq.take(at, mode="clip"), raw.take(at, mode="clip"), active[t : t + STEPS], strict=True):
+                coder.put(own[:m], width[:m])
+                if len(new := np.flatnonzero(low[:m] >= 0)):
+                    coder.put_raw(new, low[new])
     words, counts = coder.close()
     out, w, c = [], 0, 0
     for per in streams.per.tolist():
@@ -278,43 +319,49 @@ def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[tuple[np.ndarray,
     words = np.concatenate([np.frombuffer(p, "<u2", offset=2 * n) for p, n in zip(payloads, streams.per.tolist(), strict=True)])
     if len(words) != counts.sum():
         raise ValueError("a block is damaged")
-    coder, mix = Decoder(words, counts), Mixture(streams)
+    coder, mix = Decoder(words, counts), Mixture(len(sizes))
     order = np.zeros(int(sizes.sum()), np.uint8)
-    for who, at in streams.places():
-        c = mix.context(who)
-        v = coder.value(who)
-        own = (v >= mix.start[c + 1]).astype(np.int64) + (v >= mix.start[c + 2])
-        coder.take(who, mix.start[c + own], mix.freq[c + own])
-        mix.learn(who, c, own)
-        order[at] = own
+    lane, active = streams.lanes(streams.length)
+    coder.set_lanes(lane)
+    begin, base, before, last = streams.begin[lane], streams.block[lane] * 27, np.full(streams.n, 2), np.full(streams.n, 2)
+    for t, m in enumerate(active):
+        at = base[:m] + (9 * before[:m] + 3 * last[:m])
+        v = coder.value(m)
+        own = (v >= mix.start.take(at + 1)).astype(np.int64)
+        own += v >= mix.start.take(at + 2)
+        at += own
+        coder.take(mix.start.take(at), mix.freq.take(at))
+        mix.learn(at)
+        order[begin[:m] + t] = own
+        before, last = last, own
     order_of = np.split(order, np.cumsum(sizes)[:-1])
     left = np.array([np.count_nonzero(o == 2) for o in order_of])
     rest = [np.zeros(n, np.uint16) for n in left]
     for s, e in _parts(int(left.max(initial=0))):
         counts = np.clip(left - s, 0, e - s)
-        ids, starts, widths, slots, at = [], [], [], np.zeros((len(sizes), UNIT), np.uint16), 0
+        symbols, slots, at = [], np.zeros((len(sizes), UNIT), np.uint16), 0
         firsts = np.zeros(len(sizes), np.int64)
         for k, x in enumerate(rest):
             if counts[k]:
                 known, width = distribution(x[:s])
                 firsts[k] = at
                 slots[k] = np.repeat(np.arange(len(width), dtype=np.uint16), width)
-                ids.append(np.concatenate((known.astype(np.int64), -1 - np.arange(CLASSES))))
-                starts.append(np.cumsum(width) - width)
-                widths.append(width)
+                # start, width and id (or 1 << 16 and a class) in one number, so that a symbol is one look-up
+                symbols.append(np.concatenate((known, (1 << 16) + np.arange(CLASSES))) << 32 | width << 16 | np.cumsum(width) - width)
                 at += len(width)
-        ids, starts, widths, slots = np.concatenate(ids), np.concatenate(starts), np.concatenate(widths), slots.ravel()
+        symbols, slots = np.concatenate(symbols), slots.ravel()
         found = np.zeros(int(counts.sum()), np.uint16)
-        base, slot_base, first = (np.cumsum(counts) - counts)[streams.block], streams.block * UNIT, firsts[streams.block]
-        for who, k in streams.part(counts):
-            sym = first[who] + slots[slot_base[who] + coder.value(who)]
-            coder.take(who, starts[sym], widths[sym])
-            now = ids[sym]
-            if len(new := np.flatnonzero(now < 0)):
-                low = coder.value(who[new]) >> BITS - RAW_BITS
-                coder.take(who[new], low << BITS - RAW_BITS, np.int64(1 << BITS - RAW_BITS))
-                now[new] = -1 - now[new] << RAW_BITS | low
-            found[base[who] + k] = now
+        lane, active = streams.lanes(streams.part(counts))
+        coder.set_lanes(lane)
+        block = streams.block[lane]
+        place, step, slot_base, first = (np.cumsum(counts) - counts)[block] + streams.j[lane], streams.per[block], block * UNIT, firsts[block]
+        for t, m in enumerate(active):
+            sym = symbols.take(first[:m] + slots.take(slot_base[:m] + coder.value(m), mode="clip"))
+            coder.take(sym & 0xFFFF, sym >> 16 & 0xFFFF)
+            now = sym >> 32
+            if len(new := np.flatnonzero(now >> 16)):
+                now[new] = (now[new] & 0xFFFF) << RAW_BITS | coder.take_raw(new)
+            found[place[:m] + step[:m] * t] = now
         for k, part in enumerate(np.split(found, np.cumsum(counts)[:-1])):
             rest[k][s : s + len(part)] = part
     return list(zip(order_of, rest, strict=True))
@@ -324,31 +371,36 @@ def _replay(blocks: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
     """Orders and order-0 ids -> ids, blocks side by side, longest first."""
     sizes = np.array([len(o) for o, _ in blocks])
     n, longest = len(blocks), int(sizes.max(initial=0))
-    order = np.zeros((longest, n), np.uint8)
-    for k, (o, _) in enumerate(blocks):
+    order, out = np.full((longest, n), 2, np.uint8), np.zeros((longest, n), np.uint16)
+    for k, (o, rest) in enumerate(blocks):
         order[: len(o), k] = o
-    rest = np.concatenate([*(x for _, x in blocks), np.zeros(1, np.uint16)])
-    each = np.array([len(x) for _, x in blocks])
-    at = np.cumsum(each) - each
-    by2, by1 = np.zeros(n << 16, np.uint16), np.zeros(n << 16, np.uint16)
-    out, ways = np.zeros((longest, n), np.uint16), np.zeros((3, n), np.uint16)
-    base, number, a, b = np.arange(n) << 16, np.arange(n), np.zeros(n, np.uint16), np.zeros(n, np.uint16)
+        out[np.flatnonzero(o == 2), k] = rest
+    # what is predicted, by step: the block, and its place in `key` below, which has a row for each order
+    step, block = np.nonzero(order < 2)
+    ends = np.searchsorted(step, np.arange(longest + 1)).tolist()
     active = np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()
-    for t, m in enumerate(active):
-        if m < n:
-            n = m
-            at, base, number, a, b, ways = at[:n], base[:n], number[:n], a[:n], b[:n], np.zeros((3, n), np.uint16)
-        own = order[t, :n]
-        i2, i1 = base + (a * M2 + b * M1), base + b
-        by2.take(i2, out=ways[0], mode="clip")
-        by1.take(i1, out=ways[1], mode="clip")
-        rest.take(at, out=ways[2], mode="clip")
-        now = ways.ravel().take(own * np.int64(n) + number)
-        by2[i2] = now
-        by1[i1] = now
-        at = at + (own == 2)
-        out[t, :n] = now
-        a, b = b, now
+    last = np.zeros(n << 17, np.uint16)  # of each block: the id that last followed two ids, by their hash, and one
+    m, base, key = n, np.arange(n) * 2 << 16, np.zeros((2, n), np.int64)
+    at = order[step, block].astype(np.int64) * n + block
+    two, one, times2, times1 = *key, np.full(n, M2), np.full(n, M1)
+    base1, a, b, h = base + (1 << 16), np.zeros(n, np.uint16), np.zeros(n, np.uint16), np.zeros(n, np.uint16)
+    for t, n in enumerate(active):
+        if n < m:
+            m = n
+            base, base1, two, one, times2, times1, a, b, h = (x[:n] for x in (base, base1, two, one, times2, times1, a, b, h))
+        np.multiply(b, times1, out=h)
+        np.add(h, a, out=h)
+        np.add(base, h, out=two)
+        np.add(base1, b, out=one)
+        now = out[t, :n]
+        s, e = ends[t], ends[t + 1]
+        if s < e:
+            own = block[s:e]
+            now[own] = last.take(key.take(at[s:e]))
+        last[two] = now
+        last[one] = now
+        np.multiply(b, times2, out=a)  # the id before the last, as the hash has it
+        b = now
     return [out[:s, k] for k, s in enumerate(sizes.tolist())]
 
 

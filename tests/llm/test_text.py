@@ -242,3 +242,42 @@ def test_blocks_of_a_file_are_coded_side_by_side(monkeypatch):
     assert calls == [200, 200] and all((a == b).all() for a, b in zip(got, blocks, strict=True))
     monkeypatch.setattr(token_files, "CODED", 32)
     assert token_files.encode_blocks(blocks) == together
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("  \n\x85\xa0''stmdrevlS1²._é", max_size=12), max_size=5))
+def test_latin_1_texts_are_split_at_once(texts):
+    """The pieces of a slice come from array operations, as the pattern gives them; texts don't touch."""
+    raw = [t.encode("latin-1") for t in texts]
+    pieces, counts = bpe.byte_pieces(raw)
+    expected = [bpe.BYTE_SPLIT[0].findall(t) for t in raw]
+    assert pieces.to_pylist() == [p for own in expected for p in own] and counts.tolist() == list(map(len, expected))
+
+
+def test_pieces_of_a_slice_are_looked_up_once_each(monkeypatch):
+    """A slice's repeated pieces cost one look-up, whichever of its texts they are in; mixed slices keep their order."""
+    tok, lib, asked = bpe.Bpe(bpe.vocabulary_path(bpe.BYTE_BPE), library=True), library(bpe.BYTE_BPE), []
+
+    class Seen(dict):
+        def get(self, piece):
+            asked.append(piece)
+            return dict.get(self, piece)
+
+    tok.cached = Seen()
+    list(tok.encode_slice(["one two two", "", "one two one"] * 50))
+    assert sorted(asked) == [b" one", b" two", b"one"]
+    mixed = [*ODD, "plain", "漢字 plain", "", "it's <|endoftext|>"] * 2
+    assert [np.frombuffer(x, "<u4").tolist() for x in tok.encode_slice(mixed)] == [lib.encode(t, add_special_tokens=False).ids for t in mixed]
+
+
+def test_coder_takes_streams_of_many_lengths_and_keeps_its_format():
+    """Lanes are put in order of their lengths for each part; what is written stays as it was (CRC-32 of files of the version before)."""
+    rng = np.random.default_rng(4)
+    blocks = [rng.zipf(1.2, n).clip(0, 50_256).astype("<u4") for n in (5000, 1, 2047, 32768, 0, 4100)]
+    coded = token_files.encode_blocks(blocks)
+    assert zlib.crc32(b"".join(coded)) == 3760717890
+    order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
+    back = token_files.decode_blocks([coded[k] for k in order], [len(blocks[k]) for k in order])
+    assert all((a == blocks[k]).all() for a, k in zip(back, order, strict=True))
+    many = [rng.zipf(1.2, n).clip(0, 50_256).astype("<u4") for n in range(330, 30, -1)]
+    assert all((a == b).all() for a, b in zip(token_files.decode_blocks(token_files.encode_blocks(many), list(map(len, many))), many, strict=True))
