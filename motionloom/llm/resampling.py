@@ -88,19 +88,43 @@ def packed(strings: pa.Array, counts: np.ndarray, part: np.ndarray) -> tuple[np.
     return some, [press.compress(data[at[a] : at[z]]) for a, z in cuts], [press.compress(counts[a:z].tobytes()) for a, z in cuts]
 
 
-def unpacked(blobs: list[bytes], times: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """The distinct strings of all blobs, without their ends of line, and the sums of their counts."""
+def unpacked(blobs: list[bytes], times: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The distinct strings of all blobs, with their ends of line, and the sums of their counts."""
     unpack, pieces = zstandard.ZstdDecompressor(), []
     for blob in blobs:
         data = unpack.decompress(blob)
         ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord("\n")) + 1
         pieces.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(data)]))
     if not pieces:
-        return [], np.zeros(0, np.int64)
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
     entries = pa.concat_arrays(pieces).dictionary_encode()
     total = np.zeros(len(entries.dictionary), np.int64)
     np.add.at(total, entries.indices.to_numpy(), np.concatenate([np.frombuffer(unpack.decompress(t), np.int64) for t in times]))
-    return [s[:-1] for s in entries.dictionary.to_pylist()], total
+    return entries.dictionary, total
+
+
+def bounds(strings: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Where each string begins in the bytes of all, and where the last one ends; those bytes."""
+    if not len(strings):
+        return np.zeros(1, np.int64), b""
+    at = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    return at, (strings.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+
+
+def hashes(strings: pa.Array, end: int) -> np.ndarray:
+    """CRC-32 of each string without its last `end` bytes."""
+    at, data = bounds(strings)
+    return np.fromiter(map(zlib.crc32, [data[s:e] for s, e in zip(at[:-1].tolist(), (at[1:] - end).tolist(), strict=True)]), np.int64, len(strings))
+
+
+def first_two(triples: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Of strings of three words with an end of line: the first two words, and whether the third is empty."""
+    at, data = bounds(triples)
+    second = np.flatnonzero(np.frombuffer(data, np.uint8)[at[0] : at[-1]] == ord(" "))[1::2] + at[0]  # words hold no spaces
+    cuts = np.empty(2 * len(triples) + 1, np.int64)
+    cuts[::2], cuts[1::2] = at, second
+    halves = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * len(triples), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    return halves.take(pa.array(np.arange(0, len(halves), 2))), at[1:] - second == 2
 
 
 def _zeros(basis: tuple[int, ...], times: int) -> tuple[int, ...]:
@@ -171,12 +195,13 @@ def bucket_counts(docs: DataFrame, text_col: str = "text", buckets: int = BUCKET
         of = lambda n: unpacked(*[got.filter(pc.equal(got.column("n"), n)).column(c).to_pylist() for c in ("strings", "counts")])
         words, own = of(1)
         triples, times = of(3)
-        pairs = pa.array([t.rpartition(b" ")[0] for t in triples], pa.large_binary()).dictionary_encode()
+        pairs, ended = first_two(triples)
+        pairs = pairs.dictionary_encode()
         both = np.zeros(len(pairs.dictionary), np.int64)
         np.add.at(both, pairs.indices.to_numpy(), times)
         sums = np.zeros(buckets, np.int64)
-        for strings, counts in ((words, own), (pairs.dictionary.to_pylist(), both), (triples, np.where([t.endswith(b" ") for t in triples], 0, times))):
-            np.add.at(sums, np.fromiter(map(zlib.crc32, strings), np.int64, len(strings)) % buckets, counts)
+        for strings, end, counts in ((words, 1, own), (pairs.dictionary, 0, both), (triples, 1, np.where(ended, 0, times))):
+            np.add.at(sums, hashes(strings, end) % buckets, counts)
         some = np.flatnonzero(sums)
         return pa.table({"bucket": pa.array(some, pa.int64()), "n": pa.array(sums[some], pa.int64())})
 

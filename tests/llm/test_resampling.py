@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from motionloom.llm import resampling
@@ -60,3 +62,19 @@ def test_empty_tables(spark, sf):
     assert resampling.resample(docs.where("false"), docs).count() == 0
     one = spark.createDataFrame([(1, "a b c")], "doc_id bigint, text string")
     assert resampling.resample(one, docs.where("false").select("text")).first().n_features == 6
+
+
+def test_strings_of_a_part_stay_in_arrow():
+    """Parts are put together, cut into pairs and hashed on buffers; no list of strings is made of them."""
+    triples = [b"a b c", b"a b ", b"\xc3\xa9 b c", b"a b c", b"x y zz"]
+    strings, counts, part = pa.array(triples, pa.large_binary()), np.array([1, 2, 3, 4, 5]), np.array([1, 0, 1, 0, 1])
+    _, blobs, times = resampling.packed(strings, counts, part)
+    found, total = resampling.unpacked(blobs, times)
+    assert isinstance(found, pa.Array) and dict(zip(found.to_pylist(), total.tolist(), strict=True)) == {b"a b c\n": 5, b"a b \n": 2, b"\xc3\xa9 b c\n": 3, b"x y zz\n": 5}
+    for some in (found, found[1:], found[:0]):
+        own = [x[:-1] for x in some.to_pylist()]
+        assert resampling.hashes(some, 1).tolist() == [zlib.crc32(x) for x in own]
+        pairs, ended = resampling.first_two(some)
+        assert pairs.to_pylist() == [x.rpartition(b" ")[0] for x in own] and ended.tolist() == [x.endswith(b" ") for x in own]
+    none, total = resampling.unpacked([], [])
+    assert len(none) == len(total) == len(resampling.hashes(none, 1)) == 0
