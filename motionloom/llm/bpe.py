@@ -14,7 +14,6 @@ import hashlib
 import heapq
 import json
 import re
-import struct
 import unicodedata
 from collections.abc import Iterator
 from functools import cached_property
@@ -53,10 +52,8 @@ BYTE_SPLIT = (
 )
 
 
-#: For each Latin-1 byte: 0 white space, 1 letter, 2 digit, 3 anything else; and the letters of contractions by their first.
-KIND1 = np.full(256, 3, np.uint8)
-for _kind, _chars in enumerate((SPACE1, LETTER1, DIGIT1)):
-    KIND1[[b for b in range(256) if re.match(rb"[" + _chars + rb"]", bytes([b]))]] = _kind
+#: For each Latin-1 byte: 0 white space, 1 letter, 2 digit, 3 anything else.
+KIND1 = bytes(next((kind for kind, chars in enumerate((SPACE1, LETTER1, DIGIT1)) if re.match(rb"[" + chars + rb"]", bytes([b]))), 3) for b in range(256))
 
 
 def byte_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
@@ -66,7 +63,7 @@ def byte_pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     first = np.zeros(n + 1, bool)  # where a text starts
     first[ends - sizes] = True
     first[n] = True
-    kind = KIND1[raw]
+    kind = np.frombuffer(data.translate(KIND1), np.uint8)
     starts = first.copy()
     starts[1:n] |= kind[1:] != kind[:-1]
     # the last white space before anything else is apart from the rest of its run, and a blank belongs to what follows
@@ -240,11 +237,17 @@ class Bpe:
     def _learn(self, pieces: list) -> None:
         """Puts the ids of new pieces into the cache."""
         self.held += sum(map(len, pieces))
-        raw = [p.decode("latin-1").encode() if type(p) is bytes else p.encode() for p in pieces]
+        raw = [p if type(p) is bytes and p.isascii() else p.decode("latin-1").encode() if type(p) is bytes else p.encode() for p in pieces]
         if self.library:
             tokenize, ends = self.library.model.tokenize, np.cumsum([0, *map(len, raw)]).tolist()
             shown = codecs.charmap_decode(b"".join(raw), "strict", self.shown)[0]
-            ids = (struct.pack(f"<{len(x)}I", *[t.id for t in x]) for x in (tokenize(shown[s:e]) for s, e in zip(ends, ends[1:], strict=False)))
+            flat: list[int] = []
+            cuts = [0]
+            for s, e in zip(ends, ends[1:], strict=False):
+                flat += [t.id for t in tokenize(shown[s:e])]
+                cuts.append(4 * len(flat))
+            data = np.array(flat, "<u4").tobytes()
+            ids = [data[s:e] for s, e in zip(cuts, cuts[1:], strict=False)]
         else:
             ids = (x.astype("<u4").tobytes() for x in self.encode_pieces(raw))
         self.cached.update(zip(pieces, ids, strict=True))

@@ -56,11 +56,10 @@ def orders(ids: np.ndarray) -> np.ndarray:
     b = np.concatenate((np.zeros(1, np.uint16), ids[:-1]))
     a = np.concatenate((np.zeros(1, np.uint16), b[:-1]))
     out = np.full(len(ids), 2, np.uint8)
-    for order, key in ((1, b), (0, a * M2 + b * M1)):
+    for order, key in ((1, b), (0, a * M2 + b * M1)) if len(ids) else ():
         at = np.argsort(key, kind="stable")
-        again = np.flatnonzero(key[at[1:]] == key[at[:-1]])
-        right = ids[at[again + 1]] == ids[at[again]]
-        out[at[again[right] + 1]] = order
+        key, own = key.take(at), ids.take(at)
+        out[at[1:][(key[1:] == key[:-1]) & (own[1:] == own[:-1])]] = order
     return out
 
 
@@ -376,7 +375,7 @@ def _replay(blocks: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
         order[: len(o), k] = o
         out[np.flatnonzero(o == 2), k] = rest
     # what is predicted, by step: the block, and its place in `key` below, which has a row for each order
-    step, block = np.nonzero(order < 2)
+    step, block = np.divmod(np.flatnonzero(order < 2), max(1, n))
     ends = np.searchsorted(step, np.arange(longest + 1)).tolist()
     active = np.searchsorted(-sizes, -np.arange(longest), side="left").tolist()
     last = np.zeros(n << 17, np.uint16)  # of each block: the id that last followed two ids, by their hash, and one
@@ -469,15 +468,17 @@ class TokenReader:
                 yield ids
 
     def documents(self) -> Iterator[tuple[int | None, bytes]]:
-        held, blocks = b"", self.ids()
+        held, at, blocks = b"", 0, self.ids()
         for doc, n in self.docs:
-            parts, have = [held], len(held)
-            while have < 4 * n:
-                parts.append(next(blocks).tobytes())
-                have += len(parts[-1])
-            held = b"".join(parts)
-            yield doc, held[: 4 * n]
-            held = held[4 * n :]
+            if at + 4 * n > len(held):
+                parts = [held[at:]]
+                have, at = len(parts[0]), 0
+                while have < 4 * n:
+                    parts.append(next(blocks).tobytes())
+                    have += len(parts[-1])
+                held = b"".join(parts)
+            yield doc, held[at : at + 4 * n]
+            at += 4 * n
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 5 << 20) -> DataFrame:
@@ -503,7 +504,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 0, id_col: str
     src = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text"))
     # a hash beside the id, so that one id with many texts is not all one task's
     dealt = src.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text")
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, rows=4000):  # the fewer slices, the fewer look-ups of pieces
         dealt.drop("h").mapInArrow(run, schema).write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(schema).parquet(f"{folder}/manifest")
 

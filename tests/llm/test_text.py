@@ -281,3 +281,26 @@ def test_coder_takes_streams_of_many_lengths_and_keeps_its_format():
     assert all((a == blocks[k]).all() for a, k in zip(back, order, strict=True))
     many = [rng.zipf(1.2, n).clip(0, 50_256).astype("<u4") for n in range(330, 30, -1)]
     assert all((a == b).all() for a, b in zip(token_files.decode_blocks(token_files.encode_blocks(many), list(map(len, many))), many, strict=True))
+
+
+@given(st.lists(st.integers(0, 4), max_size=60))
+def test_orders_equal_what_followed_last(ids):
+    """The order-2 prediction by the hash of two ids, then the order-1 prediction, as a plain walk finds them."""
+    ids, seen, expected, a, b = np.array(ids, np.uint16), {}, [], 0, 0
+    for x in ids.tolist():
+        two, one = (2, (a * int(token_files.M2) + b * int(token_files.M1)) & 0xFFFF), (1, b)
+        expected.append(0 if seen.get(two) == x else 1 if seen.get(one) == x else 2)
+        seen[two] = seen[one] = x
+        a, b = b, x
+    assert token_files.orders(ids).tolist() == expected
+
+
+def test_documents_of_a_file_are_cut_where_they_are(tmp_path):
+    """Documents of all sizes come back whole, and those before the end of a block don't move what follows them."""
+    rng = np.random.default_rng(6)
+    docs = [(k, rng.integers(0, 50_257, n).astype("<u4").tobytes()) for k, n in enumerate([1, 1, 40_000, 0, 3, 32_768, 70_000, *[2] * 500])]
+    writer = token_files.TokenWriter(f"file://{tmp_path}/d.tok")
+    for k, ids in docs:
+        writer.add(k, ids)
+    writer.close()
+    assert list(token_files.TokenReader(f"file://{tmp_path}/d.tok").documents()) == docs
