@@ -61,6 +61,14 @@ def give_back() -> None:
         trim(0)
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """The executors collect their garbage and give free heap back to the system, a task for each core.
+
+    A heap that has once grown stays as large until a full collection, beside the memory of Python workers."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("done")).where("done <> ''").count()
+
+
 def lean(run: Callable) -> Callable:
     """run, for mapInArrow, in a worker that first drops what other operators left in it, and in the end gives back what it freed.
 

@@ -473,3 +473,38 @@ def test_lean_tasks_drop_what_others_keep(spark):
     common.kept["here"] = 1
     assert common.lean_groups(lambda key, got: dict(common.kept))(None, None) == {}
     assert list(common.lean(lambda batches: batches)(iter([1, 2]))) == [1, 2]
+
+
+def test_texts_that_share_usual_words_only_are_not_compared(spark, monkeypatch):
+    """Usual words side by side, by chance alike in too few texts to be common: no pair comes from them."""
+    seen = []
+    verified = jaccard._verified
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a, **k: seen.append(pairs.count()) or verified(pairs, *a, **k))
+    rng = random.Random(9)
+    rows = [(k, " ".join(" ".join([*(f"u{rng.randrange(7)}" for _ in range(6)), *(f"own{k}x{j}x{i}" for i in range(3))]) for j in range(12))) for k in range(400)]
+    shared = np.unique(np.concatenate([jaccard.shingles(t.encode()) for _, t in rows]), return_counts=True)[1]
+    assert (shared > 1).sum() > 1000 and shared.max() <= jaccard.SMALL
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert kept.count() == 400 and sum(seen) == 0
+
+
+def test_order_of_common_shingles(spark, monkeypatch):
+    """More than half a million are known, in five bytes each, rarer ones first; of too many the most common."""
+    keys = spark.range(600_000).select(F.xxhash64("id").alias("key"), (F.col("id") % 50 + 9).alias("n"))
+    order = jaccard.Order(*jaccard._most(keys))
+    known = np.unique(keys.select("key").toPandas()["key"].to_numpy().view(np.uint64) >> np.uint64(32))
+    assert np.array_equal(order.keys, known) and order.keys.nbytes + order.levels.nbytes == 5 * len(known)
+    monkeypatch.setattr(jaccard, "MOST_COMMON", 100_000)
+    fewer, levels = jaccard._most(keys)
+    assert 90_000 < len(fewer) < 110_000 and levels.min() > order.levels.min()
+    own = np.array([5, 6, 7, 8], np.uint64) << np.uint64(40)
+    first = jaccard.Order((jaccard.keys_of(own[:2]) >> np.uint64(32)).astype(np.uint32), np.array([9, 1], np.uint8))
+    both = first.after((jaccard.keys_of(own[2:3]) >> np.uint64(32)).astype(np.uint32), np.array([255], np.uint8))
+    assert own[np.argsort(both.ranks(own), kind="stable")].tolist() == own[[3, 2, 1, 0]].tolist()
+
+
+def test_heaps_are_collected(spark):
+    counts = lambda: sum(b.getCollectionCount() for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans())
+    before = counts()
+    common.shrink_heaps(spark)
+    assert counts() > before
